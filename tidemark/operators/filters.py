@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import kernels
-from tidemark.operators.index import IDX, N, SeriesSpec, drop_halo, expand_halo, max_series_length, shift, with_index
+from tidemark.operators.index import IDX, N, SeriesSpec, drop_halo, expand_halo, max_series_length, with_index
 
 
 def qcol(name: str) -> Column:
@@ -36,7 +36,14 @@ def numeric(name: str) -> Column:
 
 
 class SmoothingFilter(ABC):
-    """A filter: ``name``, ``params()`` and a window expression or a scan."""
+    """A filter: ``name``, ``params()`` and a window expression or a scan.
+
+    ``sql(x, w)`` returns Spark SQL text for the filtered value of the column named
+    ``x`` (already double, NaN as null) on an indexed frame, where ``w`` is the
+    ``PARTITION BY ... ORDER BY ...`` clause of the series window. It may instead
+    return ``(helpers, final)``: helper expressions computed once per row and a
+    function building the result from the helper column names.
+    """
 
     name: str = ""
     scan = False
@@ -49,19 +56,30 @@ class SmoothingFilter(ABC):
         return (0, 0)
 
     @abstractmethod
-    def expr(self, x: Column, spec: SeriesSpec) -> Column:
-        """Filtered value of ``x`` on an indexed frame (columns ``_idx``, ``_n``)."""
+    def sql(self, x: str, w: str):
+        """Filtered value of column ``x`` (see class docstring)."""
+
+
+def _shift(x: str, o: int, w: str, default: str | None = None) -> str:
+    if o == 0:
+        return x
+    d = f", {default}" if default is not None else ""
+    fn = "lead" if o > 0 else "lag"
+    return f"{fn}({x}, {abs(o)}{d}) OVER ({w})"
+
 
+def _num(v: float) -> str:
+    return f"CAST({float(v)!r} AS DOUBLE)"
 
-def _frame_size(h_left: int, h_right: int) -> Column:
-    idx, n = F.col(IDX), F.col(N)
-    return F.least(idx + h_right, n - 1) - F.greatest(idx - h_left, F.lit(0)) + 1
+
+def _frame_size(h_left: int, h_right: int) -> str:
+    return f"(least({IDX} + {h_right}, {N} - 1) - greatest({IDX} - {h_left}, 0) + 1)"
 
 
 class NoFilter(SmoothingFilter):
     name = "none"
 
-    def expr(self, x, spec):
+    def sql(self, x, w):
         return x
 
 
@@ -86,30 +104,23 @@ class MovingAverageFilter(SmoothingFilter):
         h = self.window // 2
         return (h, 2 * h - 1 if self.head == "as_reference" else h)
 
-    def expr(self, x, spec):
+    def sql(self, x, w):
         h = self.window // 2
-        w = spec.window().rowsBetween(-h, h)
-        idx, n = F.col(IDX), F.col(N)
+        frame = f"OVER ({w} ROWS BETWEEN {h} PRECEDING AND {h} FOLLOWING)"
         size = _frame_size(h, h)
-        total = F.sum(x).over(w)
-        complete = F.count(x).over(w) == size
+        total = f"sum({x}) {frame}"
+        complete = f"count({x}) {frame} = {size}"
         if self.head == "expanding":
-            smooth = F.when(complete, total / size)
-        else:
-            # Reference arithmetic: head row i sums 2i+h+1 values over h+i+1, the
-            # interior sums 2h+1 values over ``window``; series shorter than 3h-1 fail.
-            head = None
-            for i in range(h):
-                extra = [shift(x, o, spec) for o in range(h + 1, i + h + 1)]
-                num = total
-                for e in extra:
-                    num = num + e
-                head = (F.when(idx == i, num / F.lit(h + i + 1)) if head is None else head.when(idx == i, num / F.lit(h + i + 1)))
-            tail = total / (F.lit(h) + n - idx)
-            body = total / F.lit(self.window)
-            core = (head.when(idx >= n - h, tail) if head is not None else F.when(idx >= n - h, tail)).otherwise(body)
-            smooth = F.when(complete & (n >= 3 * h - 1), core)
-        return F.when(n < self.window, x).otherwise(smooth)
+            return f"CASE WHEN {N} < {self.window} THEN {x} WHEN {complete} THEN {total} / {size} END"
+        # Reference arithmetic: head row i sums 2i+h+1 values over h+i+1, the
+        # interior sums 2h+1 values over ``window``; series shorter than 3h-1 fail.
+        parts = [f"WHEN {N} < {self.window} THEN {x}", f"WHEN NOT ({complete}) OR {N} < {3 * h - 1} THEN NULL"]
+        for i in range(h):
+            extra = "".join(f" + {_shift(x, o, w)}" for o in range(h + 1, i + h + 1))
+            parts.append(f"WHEN {IDX} = {i} THEN ({total}{extra}) / {h + i + 1}")
+        parts.append(f"WHEN {IDX} >= {N} - {h} THEN {total} / ({h} + {N} - {IDX})")
+        parts.append(f"ELSE {total} / {self.window}")
+        return "CASE " + " ".join(parts) + " END"
 
 
 @dataclass
@@ -131,28 +142,21 @@ class MedianFilter(SmoothingFilter):
         h = self.kernel_size // 2
         return (h, h)
 
-    def expr(self, x, spec):
+    def sql(self, x, w):
         k = self.kernel_size
         h = k // 2
-        n = F.col(N)
         if self.edge == "zero":
-            vals = [shift(x, o, spec, 0.0) for o in range(-h, h + 1)]
-            any_null = F.lit(False)
-            for v in vals:
-                any_null = any_null | v.isNull()
-            med = F.element_at(F.array_sort(F.array(*vals)), h + 1)
-            smooth = F.when(~any_null, med)
-        else:
-            vals = [shift(x, o, spec) for o in range(-h, h + 1)]
-            size = _frame_size(h, h)
-            present = F.lit(0)
-            for v in vals:
-                present = present + v.isNotNull().cast("int")
-            srt = F.array_sort(F.array(*vals))  # nulls (outside the series) sort last
-            lo = F.element_at(srt, F.floor((size + 1) / 2).cast("int"))
-            hi = F.element_at(srt, F.floor(size / 2).cast("int") + 1)
-            smooth = F.when(present == size, (lo + hi) / 2)
-        return F.when(n < k, x).otherwise(smooth)
+            vals = [_shift(x, o, w, "0.0D") for o in range(-h, h + 1)]
+            nulls = " OR ".join(f"{v} IS NULL" for v in vals)
+            med = f"element_at(array_sort(array({', '.join(vals)})), {h + 1})"
+            return f"CASE WHEN {N} < {k} THEN {x} WHEN {nulls} THEN NULL ELSE {med} END"
+        vals = [_shift(x, o, w) for o in range(-h, h + 1)]
+        size = _frame_size(h, h)
+        present = " + ".join(f"CAST({v} IS NOT NULL AS INT)" for v in vals)
+        srt = f"array_sort(array({', '.join(vals)}))"  # nulls (outside the series) sort last
+        lo = f"element_at({srt}, CAST(floor(({size} + 1) / 2) AS INT))"
+        hi = f"element_at({srt}, CAST(floor({size} / 2) AS INT) + 1)"
+        return f"CASE WHEN {N} < {k} THEN {x} WHEN {present} = {size} THEN ({lo} + {hi}) / 2 END"
 
 
 @dataclass
@@ -171,21 +175,30 @@ class SavitzkyGolayFilter(SmoothingFilter):
     def halo(self):
         return (self.window - 1, self.window - 1)
 
-    def expr(self, x, spec):
+    def sql(self, x, w):
         width = self.window
         h = width // 2
-        idx, n = F.col(IDX), F.col(N)
         hat = kernels.savgol_hat(width, self.polyorder)
-        hat_lit = F.array(*[F.array(*[F.lit(v) for v in row]) for row in hat])
-        vals = F.array(*[shift(x, o, spec) for o in range(-(width - 1), width)])
-        lo = F.least(F.greatest(idx - h, F.lit(0)), n - width)
-        r = idx - lo
-        coeffs = F.element_at(hat_lit, (r + 1).cast("int"))
-        y = None
-        for j in range(width):
-            term = F.element_at(coeffs, j + 1) * F.element_at(vals, (lo + j - idx + width).cast("int"))
-            y = term if y is None else y + term
-        return F.when(n < width, x).otherwise(y)
+        # Interior rows: a fixed dot product with the middle hat row. Edge rows pick
+        # their hat row and window start; the shift array is built once per row.
+        interior = " + ".join(f"{_num(hat[h][d + h])} * {_shift(x, d, w)}" for d in range(-h, h + 1))
+        helpers = {
+            "vals": f"array({', '.join(_shift(x, o, w) for o in range(-(width - 1), width))})",
+            "lo": f"least(greatest({IDX} - {h}, 0), {N} - {width})",
+            "mid": interior,
+        }
+        flat = f"array({', '.join(_num(v) for row in hat for v in row)})"
+
+        def final(col):
+            base = f"CAST({col('lo')} - {IDX} + {width} AS INT)"
+            rowoff = f"CAST(({IDX} - {col('lo')}) * {width} + 1 AS INT)"
+            edge = " + ".join(
+                f"element_at({flat}, {rowoff} + {j}) * element_at({col('vals')}, {base} + {j})" for j in range(width)
+            )
+            return (f"CASE WHEN {N} < {width} THEN {x} WHEN {IDX} >= {h} AND {IDX} < {N} - {h} THEN {col('mid')} "
+                    f"ELSE {edge} END")
+
+        return helpers, final
 
 
 @dataclass
@@ -207,19 +220,25 @@ class GaussianFilter(SmoothingFilter):
         r = kernels.gaussian_radius(self.sigma, self.truncate)
         return (r, r)
 
-    def expr(self, x, spec):
+    def sql(self, x, w):
         weights = kernels.gaussian_weights(self.sigma, self.truncate)
         rad = len(weights) // 2
-        idx, n = F.col(IDX), F.col(N)
-        vals = F.array(*[shift(x, o, spec) for o in range(-rad, rad + 1)])
-        two_n = 2 * n
-        y = None
-        for d, wgt in zip(range(-rad, rad + 1), weights):
-            m = F.pmod(idx + d, two_n)
-            folded = F.when(m < n, m).otherwise(two_n - 1 - m)
-            term = F.lit(wgt) * F.element_at(vals, (folded - idx + rad + 1).cast("int"))
-            y = term if y is None else y + term
-        return y
+        interior = " + ".join(f"{_num(wt)} * {_shift(x, d, w)}" for d, wt in zip(range(-rad, rad + 1), weights))
+        helpers = {
+            "vals": f"array({', '.join(_shift(x, o, w) for o in range(-rad, rad + 1))})",
+            "mid": interior,
+        }
+
+        def final(col):
+            terms = []
+            for d, wt in zip(range(-rad, rad + 1), weights):
+                # half-sample reflection, repeated for series shorter than the radius
+                m = f"pmod({IDX} + {d}, 2 * {N})"
+                folded = f"CASE WHEN {m} < {N} THEN {m} ELSE 2 * {N} - 1 - {m} END"
+                terms.append(f"{_num(wt)} * element_at({col('vals')}, CAST({folded} - {IDX} + {rad + 1} AS INT))")
+            return f"CASE WHEN {IDX} >= {rad} AND {IDX} < {N} - {rad} THEN {col('mid')} ELSE {' + '.join(terms)} END"
+
+        return helpers, final
 
 
 @dataclass
@@ -233,7 +252,7 @@ class KalmanFilter(SmoothingFilter):
     def params(self):
         return {"process_variance": float(self.process_variance), "measurement_variance": float(self.measurement_variance)}
 
-    def expr(self, x, spec):
+    def sql(self, x, w):
         raise TypeError("kalman is a scan; use apply_filters")
 
 
@@ -308,12 +327,26 @@ def apply_filters(
         left = max(f.halo()[0] for _, f in windowed)
         right = max(f.halo()[1] for _, f in windowed)
         out = expand_halo(out, spec, left, right)
-        exprs = {}
-        for c in cols:
-            x = numeric(c)
-            for label, f in windowed:
-                exprs[out_name(c, label)] = f.expr(x, spec)
-        out = drop_halo(out.withColumns(exprs), spec)
+        w = spec.window_sql()
+        xs = {f"_x{ci}": numeric(c) for ci, c in enumerate(cols)}
+        out = out.withColumns(xs)
+        exprs, helpers, finals = {}, {}, {}
+        for ci, c in enumerate(cols):
+            for fi, (label, f) in enumerate(windowed):
+                res = f.sql(f"_x{ci}", w)
+                if isinstance(res, tuple):
+                    # staged filter: helper columns computed once, then the result
+                    hsql, final = res
+                    prefix = f"_h{ci}_{fi}_"
+                    helpers.update({prefix + k: F.expr(v) for k, v in hsql.items()})
+                    finals[out_name(c, label)] = F.expr(final(lambda k, p=prefix: p + k))
+                else:
+                    exprs[out_name(c, label)] = F.expr(res)
+        out = out.withColumns({**exprs, **helpers})
+        if finals:
+            out = out.withColumns(finals)
+        out = out.drop(*helpers, *xs)
+        out = drop_halo(out, spec)
     if scans and spec.chunked and not windowed:
         out = out.withColumn("_chunk", F.floor(F.col(IDX) / F.lit(spec.rows_per_chunk)).cast("long"))
     max_len = spec.max_len

@@ -70,6 +70,11 @@ class SeriesSpec:
     def window_keys(self) -> list[str]:
         return list(self.keys) + ([CHUNK] if self.chunked else [])
 
+    def window_sql(self) -> str:
+        """``PARTITION BY ... ORDER BY ...`` text of :meth:`window` for SQL expressions."""
+        q = lambda c: "`" + c.replace("`", "``") + "`"
+        return f"PARTITION BY {', '.join(q(c) for c in self.window_keys())} ORDER BY {', '.join(q(c) for c in self.order)}"
+
     def window(self) -> Window:
         """Ordered window over one series (or one chunk of it, with halo rows)."""
         return Window.partitionBy(*self.window_keys()).orderBy(*[F.col(c) for c in self.order])

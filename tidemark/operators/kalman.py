@@ -29,18 +29,15 @@ from tidemark.functions import kernels
 from tidemark.operators.index import IDX, N, SeriesSpec, max_series_length
 
 FOLD_ROWS = 4096
-GAIN_LITERAL_MAX = 65536
 BROADCAST_ROWS = 2_000_000
 
 
 def _gain(step, gains, k_inf, df):
-    """Gain of a step column: literal table lookup, constant after convergence."""
+    """Gain of a step column: a small broadcast table (one row per step until the
+    gain converges, a proven bound), constant after convergence."""
     g = len(gains)
-    if g <= GAIN_LITERAL_MAX:
-        table = F.array(*[F.lit(v) for v in gains])
-        return df, F.when(step <= g, F.element_at(table, F.least(step, F.lit(g)).cast("int"))).otherwise(F.lit(k_inf))
     spark = df.sparkSession
-    tbl = spark.createDataFrame(pd.DataFrame({"_gstep": np.arange(1, g + 1, dtype=np.int64), "_gk": np.asarray(gains)}))
+    tbl = spark.createDataFrame(pd.DataFrame({"_gstep": np.arange(1, g + 1, dtype=np.int64), "_gk": np.asarray(gains, dtype=np.float64)}))
     df = df.join(F.broadcast(tbl), F.least(step, F.lit(g)) == F.col("_gstep"), "left").drop("_gstep")
     return df, F.when(step <= g, F.col("_gk")).otherwise(F.lit(k_inf))
 
@@ -133,6 +130,15 @@ def block_carries(blocks: DataFrame, keys: list[str], ncols: int) -> DataFrame:
     return ``(keys, pos, X_i)``: the state entering each map, seeded with the first
     non-null ``Z`` of the series. Groups never exceed ``FOLD_ROWS`` rows."""
     key_fields = [f for f in blocks.schema.fields if f.name in keys]
+
+    def _scan(L, C, x):
+        """State entering each affine map ``x -> exp(L) x + C`` (exact sequential order)."""
+        out = np.empty(len(L), dtype=np.float64)
+        for j, (a, b) in enumerate(zip(np.exp(L), C)):
+            out[j] = x
+            x = a * x + b
+        return out
+
     longest = int(blocks.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0)
     out_schema = T.StructType(list(key_fields) + [T.StructField("pos", T.LongType())] + [T.StructField(f"X{i}", T.DoubleType()) for i in range(ncols)])
 
@@ -186,15 +192,6 @@ def block_carries(blocks: DataFrame, keys: list[str], ncols: int) -> DataFrame:
     return joined.groupBy(*keys, "_sup").applyInPandas(replay, out_schema)
 
 
-def _scan(L: np.ndarray, C: np.ndarray, x: float) -> np.ndarray:
-    """State entering each affine map ``x -> exp(L) x + C`` (exact sequential order)."""
-    out = np.empty(len(L), dtype=np.float64)
-    for j, (a, b) in enumerate(zip(np.exp(L), C)):
-        out[j] = x
-        x = a * x + b
-    return out
-
-
 def kalman_pandas(df: DataFrame, spec: SeriesSpec, column: str, output: str,
                   process_variance: float, measurement_variance: float) -> DataFrame:
     """Cross-check form: the textbook loop per series with ``applyInPandas``.

@@ -53,3 +53,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never a local one): survives executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidemark`` importable on executors (pandas UDF workers) via ``addPyFile``."""
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-pkg-"), "tidemark.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(id(sc))
