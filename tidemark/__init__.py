@@ -6,7 +6,16 @@ an order column); filters, features, metrics and the experiment driver all run a
 Spark plans.
 """
 
-from tidemark.operators.index import SeriesSpec
+import sys as _sys
+
+try:  # ship our helpers inside pickled UDF closures: workers need not import the package
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - fall back to session.ship_package
+    pass
+
+from tidemark.operators.index import SeriesSpec  # noqa: E402
 
 __all__ = ["SeriesSpec"]
 __version__ = "0.1.0"

@@ -31,10 +31,20 @@ def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction"
     return g.agg(F.count(F.lit(1)).alias("sample_count"), *cols)
 
 
-def _abs_error_quantiles(df: DataFrame, y, p, group: list[str], method: str) -> DataFrame:
+# Groups up to this many rows use Spark's exact in-memory percentile.
+EXACT_GROUP_ROWS = 2_000_000
+
+
+def _abs_error_quantiles(df: DataFrame, y, p, group: list[str], method: str, max_group_rows: int | None = None) -> DataFrame:
     qs = (0.25, 0.5, 0.75)
     a = F.abs(y - p)
     g = df.groupBy(*[qcol(c) for c in group]) if group else df
+    if method == "auto":
+        # size check: the exact aggregate holds a whole group in one task's memory
+        if max_group_rows is None:
+            cnt = df.groupBy(*[qcol(c) for c in group]).count() if group else df.groupBy().count()
+            max_group_rows = int(cnt.agg(F.max("count")).first()[0] or 0)
+        method = "exact" if max_group_rows <= EXACT_GROUP_ROWS else "rank"
     if method == "exact":
         # Spark's exact percentile keeps every distinct value of a group in memory.
         pct = F.percentile(a, list(qs))
@@ -64,7 +74,8 @@ def _abs_error_quantiles(df: DataFrame, y, p, group: list[str], method: str) ->
     return (picked.groupBy(*[qcol(c) for c in group]) if group else picked).agg(*aggs)
 
 
-def error_stats(df: DataFrame, label="label", prediction="prediction", group=(), quantiles: str = "rank") -> DataFrame:
+def error_stats(df: DataFrame, label="label", prediction="prediction", group=(), quantiles: str = "auto",
+                max_group_rows: int | None = None) -> DataFrame:
     """Error distribution per group (population std, linear-interpolated quartiles)."""
     y, p = qcol(label).cast("double"), qcol(prediction).cast("double")
     e = y - p
@@ -79,7 +90,7 @@ def error_stats(df: DataFrame, label="label", prediction="prediction", group=(),
         M.within_ratio(0.10)(y, p).alias("samples_within_10percent"),
         F.count(F.lit(1)).alias("sample_count"),
     )
-    q = _abs_error_quantiles(df, y, p, list(group), quantiles)
+    q = _abs_error_quantiles(df, y, p, list(group), quantiles, max_group_rows)
     if group:
         out = base.join(q, on=list(group), how="left")
     else:  # two one-row aggregates: equi-join on a constant key
@@ -88,18 +99,19 @@ def error_stats(df: DataFrame, label="label", prediction="prediction", group=(),
 
 
 def evaluation_report(df: DataFrame, label="label", prediction="prediction", group=("filter_type",),
-                      metrics=M.SUMMARY_METRICS, quantiles: str = "rank") -> DataFrame:
+                      metrics=M.SUMMARY_METRICS, quantiles: str = "auto", max_group_rows: int | None = None) -> DataFrame:
     """Per group ``metrics`` and ``error_stats`` structs plus ``sample_count``."""
     met = evaluate(df, label, prediction, group, metrics).drop("sample_count")
-    st = error_stats(df, label, prediction, group, quantiles)
     names = [M.column_name(m) for m in metrics]
+    met = met.select(*[qcol(c) for c in group], *[F.col(n).alias(f"_m_{n}") for n in names])
+    st = error_stats(df, label, prediction, group, quantiles, max_group_rows)
     if group:
         joined = met.join(st, on=list(group), how="inner")
     else:
         joined = met.withColumn("_one", F.lit(1)).join(st.withColumn("_one", F.lit(1)), "_one")
     return joined.select(
         *[qcol(c) for c in group],
-        F.struct(*[F.col(n) for n in names]).alias("metrics"),
+        F.struct(*[F.col(f"_m_{n}").alias(n) for n in names]).alias("metrics"),
         F.struct(*[F.col(n) for n in ERROR_STATS]).alias("error_stats"),
         F.col("sample_count"),
     )

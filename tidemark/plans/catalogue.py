@@ -582,7 +582,7 @@ FROM pairs WHERE p IS NOT NULL GROUP BY event_type"""
 
 @query("error_stats", _ERR_SQL)
 def q_error_stats(spark, sf):
-    st = EV.error_stats(_pairs(spark, sf), "y", "p", ["event_type"])
+    st = EV.error_stats(_pairs(spark, sf), "y", "p", ["event_type"], quantiles="rank")
     return st.select("event_type", *[r6(F.col(c)).alias(c) for c in EV.ERROR_STATS], "sample_count")
 
 
@@ -641,7 +641,7 @@ SELECT m.event_type, m.m_rmse, m.m_r2, m.m_mape, e.error_mean AS e_error_mean, e
 FROM m JOIN e ON e.event_type = m.event_type""",
 )
 def q_report(spark, sf):
-    rep = EV.evaluation_report(_pairs(spark, sf), "y", "p", ["event_type"], ("RMSE", "R2", "MAPE"))
+    rep = EV.evaluation_report(_pairs(spark, sf), "y", "p", ["event_type"], ("RMSE", "R2", "MAPE"), quantiles="auto")
     return rep.select(
         "event_type", r6(F.col("metrics.rmse")).alias("m_rmse"), r6(F.col("metrics.r2")).alias("m_r2"),
         r6(F.col("metrics.mape")).alias("m_mape"), r6(F.col("error_stats.error_mean")).alias("e_error_mean"),
@@ -741,3 +741,66 @@ def q_model_choice(spark, sf):
 
 
 __all__ = ["QUERIES", "SQL"]
+
+
+# ------------------------------------------------------------------ regressors R1-R4, experiment X3-X6
+
+EXP_FEATURES = ["value", "k"]
+
+
+@query(
+    "linear_next_step",
+    f"""WITH {_PAIRS}
+SELECT round(regr_slope(y, p), 6) AS slope, round(regr_intercept(y, p), 6) AS intercept, count(*) AS train_rows
+FROM pairs WHERE p IS NOT NULL""",
+)
+def q_linear(spark, sf):
+    from tidemark.operators import models as MD
+
+    pr = _pairs(spark, sf).select(F.array("p").alias("features"), F.col("y").alias("label"))
+    model = MD.fit_linear(pr)
+    m = model.model
+    n = m.summary.numInstances
+    return spark.range(1).select(
+        r6(F.lit(float(m.coefficients[0]))).alias("slope"), r6(F.lit(float(m.intercept))).alias("intercept"),
+        F.lit(int(n)).cast("long").alias("train_rows"),
+    )
+
+
+def _experiment(model_type: str, filters=config.FILTERS_TO_COMPARE, **params):
+    def run(spark, sf):
+        from tidemark.plans.experiment import run_experiment
+
+        res = run_experiment(_ev(spark, sf), EV_SPEC, EXP_FEATURES, "value", EXP_FEATURES, filters=filters,
+                             model_type=model_type, model_params=params or None)
+        return res.summary
+
+    return run
+
+
+query("experiment_linear")(_experiment("linear_regression"))
+query("experiment_auto")(_experiment("auto"))
+query("forest_next_step")(_experiment("random_forest", ("moving_average",)))
+query("svr_next_step")(_experiment("svr", ("moving_average",)))
+query("mlp_next_step")(_experiment("mlp", ("moving_average",)))
+
+
+@query("training_history")
+def q_history(spark, sf):
+    from tidemark.plans.experiment import run_experiment
+
+    res = run_experiment(_ev(spark, sf), EV_SPEC, EXP_FEATURES, "value", EXP_FEATURES, filters=("moving_average",),
+                         model_type="mlp")
+    hist = res.histories.get("moving_average", [])
+    return spark.createDataFrame(hist, "epoch int, train_loss double, val_loss double, lr double")
+
+
+# ------------------------------------------------------------------ streaming
+
+
+@query("stream_kalman", _filter_sql((O.kalman_cte("fk"), "fk"), cte=True))
+def q_stream_kalman(spark, sf):
+    from tidemark.streaming.kalman_stream import stream_events_kalman
+
+    out = stream_events_kalman(spark, sf)
+    return out.select("user_id", "event_id", r6(F.col("value_f")).alias("value_f"))
