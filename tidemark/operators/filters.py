@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import kernels
-from tidemark.operators.index import IDX, N, SeriesSpec, drop_halo, expand_halo, max_series_length, with_index
+from tidemark.operators.index import IDX, N, SeriesSpec, drop_halo, expand_halo, max_series_length, with_index, with_index_info
 
 
 def qcol(name: str) -> Column:
@@ -319,7 +319,11 @@ def apply_filters(
             obj = create_filter(f)
             pairs.append((obj.name, obj))
     cols = present_columns(df, columns)
-    base = df if indexed else with_index(df, spec)
+    known_len = spec.max_len
+    if indexed:
+        base = df
+    else:
+        base, known_len = with_index_info(df, spec)
     windowed = [(label, f) for label, f in pairs if not f.scan]
     scans = [(label, f) for label, f in pairs if f.scan]
     out = base
@@ -349,7 +353,7 @@ def apply_filters(
         out = drop_halo(out, spec)
     if scans and spec.chunked and not windowed:
         out = out.withColumn("_chunk", F.floor(F.col(IDX) / F.lit(spec.rows_per_chunk)).cast("long"))
-    max_len = spec.max_len
+    max_len = known_len
     if scans and max_len is None:
         max_len = max_series_length(df, spec)
     for label, f in scans:

@@ -82,18 +82,25 @@ class SeriesSpec:
 
 def with_index(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Add ``_idx`` (0-based position in the series) and ``_n`` (series length)."""
+    return with_index_info(df, spec)[0]
+
+
+def with_index_info(df: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, int | None]:
+    """:func:`with_index` plus the longest series length when it is known without
+    an extra job (the range index measures it while sizing its offset table)."""
     if spec.chunked:
         return _range_index(df, spec)
     w = Window.partitionBy(*spec.keys).orderBy(*[F.col(c) for c in spec.order])
-    return df.withColumns(
+    out = df.withColumns(
         {
             IDX: F.row_number().over(w) - F.lit(1),
             N: F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
         }
     )
+    return out, spec.max_len
 
 
-def _range_index(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+def _range_index(df: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, int]:
     spark = df.sparkSession
     keys, order = list(spec.keys), list(spec.order)
     parts_n = spec.index_partitions or max(
@@ -126,12 +133,13 @@ def _range_index(df: DataFrame, spec: SeriesSpec) -> DataFrame:
         F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(N),
     )
     # One row per (partition, key present in it): size checked before broadcasting.
-    if parts.count() <= BROADCAST_ROWS:
+    size = parts.agg(F.count(F.lit(1)).alias("rows"), F.max(N).alias("longest")).first()
+    if size["rows"] <= BROADCAST_ROWS:
         parts = F.broadcast(parts)
     cond = [F.col("_pid") == F.col("_qpid")] + [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, kalias)]
     out = ranged.join(parts, on=cond, how="inner")
     out = out.withColumn(IDX, F.col("_off") + F.col("_pos") - F.col("_p0"))
-    return out.drop("_pid", "_pos", "_qpid", "_p0", "_off", *kalias)
+    return out.drop("_pid", "_pos", "_qpid", "_p0", "_off", *kalias), int(size["longest"] or 0)
 
 
 def expand_halo(df: DataFrame, spec: SeriesSpec, left: int, right: int) -> DataFrame:

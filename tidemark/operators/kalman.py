@@ -111,9 +111,10 @@ def _join_carries(df: DataFrame, spec: SeriesSpec, ncols: int) -> DataFrame:
             F.min_by(F.col(f"_kz{i}"), F.when(F.col(f"_kz{i}").isNotNull(), F.col(IDX))).alias(f"Z{i}"),
         ]
     blocks = df.groupBy(*keys, F.col("_kblk").alias("pos")).agg(*aggs)
-    carries = block_carries(blocks, keys, ncols)
+    sizes: dict = {}
+    carries = block_carries(blocks, keys, ncols, sizes)
     carries = carries.select(*keys, F.col("pos").alias("_kblk"), *[F.col(f"X{i}").alias(f"_kc{i}") for i in range(ncols)])
-    if carries.count() <= BROADCAST_ROWS:
+    if sizes.get("total", BROADCAST_ROWS + 1) <= BROADCAST_ROWS:  # one row per block, counted already
         carries = F.broadcast(carries)
     return df.join(carries, on=keys + ["_kblk"], how="left")
 
@@ -125,7 +126,7 @@ def _fold_schema(keys_schema: list[T.StructField], ncols: int, with_pos: str) ->
     return T.StructType(fields)
 
 
-def block_carries(blocks: DataFrame, keys: list[str], ncols: int) -> DataFrame:
+def block_carries(blocks: DataFrame, keys: list[str], ncols: int, sizes: dict | None = None) -> DataFrame:
     """For a table ``(keys, pos, L_i, C_i, Z_i)`` of affine maps ``x -> exp(L) x + C``
     return ``(keys, pos, X_i)``: the state entering each map, seeded with the first
     non-null ``Z`` of the series. Groups never exceed ``FOLD_ROWS`` rows."""
@@ -139,7 +140,11 @@ def block_carries(blocks: DataFrame, keys: list[str], ncols: int) -> DataFrame:
             x = a * x + b
         return out
 
-    longest = int(blocks.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0)
+    per_series = blocks.groupBy(*keys).count() if keys else blocks.groupBy().count()
+    stat = per_series.agg(F.max("count").alias("longest"), F.sum("count").alias("total")).first()
+    longest = int(stat["longest"] or 0)
+    if sizes is not None:
+        sizes["total"] = int(stat["total"] or 0)
     out_schema = T.StructType(list(key_fields) + [T.StructField("pos", T.LongType())] + [T.StructField(f"X{i}", T.DoubleType()) for i in range(ncols)])
 
     if longest <= FOLD_ROWS:
