@@ -388,8 +388,10 @@ def filters_long(
     """
     names = [create_filter(f).name if not isinstance(f, tuple) else f[0] for f in filters]
     cols = present_columns(df, columns)
-    wide = apply_filters(df, spec, filters, cols)
     keep = list(dict.fromkeys([*spec.keys, *spec.order, *carry]))
+    # only the needed columns go through the index (and its checkpoint when chunked)
+    df = df.select(*[qcol(c) for c in dict.fromkeys([*keep, *cols])])
+    wide = apply_filters(df, spec, filters, cols)
     run_order = {name: i for i, name in enumerate(names)}
     structs = [
         F.struct(
@@ -419,6 +421,7 @@ def compare_filter_effects(
     """
     cols = present_columns(df, columns)
     names = [create_filter(f).name if not isinstance(f, tuple) else f[0] for f in filters]
+    df = df.select(*[qcol(c) for c in dict.fromkeys([*spec.keys, *spec.order, *cols])])
     wide = apply_filters(df, spec, filters, cols)
     m = metric.lower()
     group = list(spec.keys) if by_series else []

@@ -79,6 +79,43 @@ query("filter_gaussian", _filter_sql((O.gaussian_cte("fg"), "fg"), cte=True))(_f
 query("filter_kalman", _filter_sql((O.kalman_cte("fk"), "fk"), cte=True))(_filter_query("kalman"))
 
 
+query("filter_savgol_7_2", _filter_sql(O.f_savgol(window=7, polyorder=2)))(_filter_query("savitzky_golay", window=7, polyorder=2))
+query("filter_median_shrink", _filter_sql(O.f_median_shrink()))(_filter_query("median", edge="shrink"))
+query("filter_gaussian_sigma1", _filter_sql((O.gaussian_cte("fg", sigma=1.0), "fg"), cte=True))(_filter_query("gaussian", sigma=1.0))
+query("filter_kalman_q1e-2_r1", _filter_sql((O.kalman_cte("fk", q=1e-2, r=1.0), "fk"), cte=True))(
+    _filter_query("kalman", process_variance=1e-2, measurement_variance=1.0)
+)
+
+ORD_SPEC = SeriesSpec(keys=("o_custkey",), order=("o_orderdate", "o_orderkey"))
+
+
+@query(
+    "filter_orders_all",
+    O.with_recursive(O.ORD, O.filter_ctes()[0])
+    + f"SELECT g AS o_custkey, id AS o_orderkey, filter_type, round(f, 4) AS price_f FROM (\n{O.long_union(O.filter_ctes()[1])})",
+)
+def q_orders(spark, sf):
+    """Orders per customer, ordered by date then key (a tie-broken multi-column order)."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    long = FL.filters_long(o, ORD_SPEC, config.FILTERS_TO_COMPARE, ["o_totalprice"])
+    # values reach 10^5: 4 decimals (averages of cent prices are exact there, filter noise ~1e-10)
+    return long.select("o_custkey", "o_orderkey", "filter_type", F.round(F.col("o_totalprice"), 4).alias("price_f"))
+
+
+CHUNKED_EV_SPEC = SeriesSpec(keys=("user_id",), order=("ts",), chunk_rows=32)
+
+
+@query(
+    "filter_all_chunked_series",
+    O.with_recursive(O.EV, O.filter_ctes()[0])
+    + f"SELECT g AS user_id, id AS event_id, filter_type, run_order, round(f, 6) AS value_f FROM (\n{O.long_union(O.filter_ctes()[1])})",
+)
+def q_all_chunked(spark, sf):
+    """Every filter per user with the skew-safe path: range index and 32-row halo chunks."""
+    long = FL.filters_long(_ev(spark, sf), CHUNKED_EV_SPEC, config.FILTERS_TO_COMPARE, ["value"], carry=["event_id"])
+    return long.select("user_id", "event_id", "filter_type", "run_order", r6(F.col("value")).alias("value_f"))
+
+
 @query(
     "filter_short_series",
     O.with_recursive(O.CONV, O.gaussian_cte("fg"), O.kalman_cte("fk"),

@@ -26,6 +26,13 @@ LONG_EV = """ev AS (
          count(*) OVER () AS n
   FROM events)"""
 
+ORD = """ev AS (
+  SELECT o_custkey AS g, o_orderkey AS id, o_totalprice AS x,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS idx,
+         count(*) OVER (PARTITION BY o_custkey) AS n,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS ord
+  FROM orders)"""
+
 CONV = """ev AS (
   SELECT conv_id AS g, turn AS id, turn AS ord, CAST(length(text) AS DOUBLE) AS x,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS idx,
@@ -79,6 +86,12 @@ def f_median(col="x", kernel=config.MEDIAN_KERNEL_SIZE):
     return f"CASE WHEN n < {k} THEN {col} ELSE list_sort([{items}])[{h + 1}] END"
 
 
+def f_median_shrink(col="x", kernel=config.MEDIAN_KERNEL_SIZE):
+    k = kernels.median_kernel(kernel)
+    h = k // 2
+    return f"CASE WHEN n < {k} THEN {col} ELSE median({col}) OVER {W} ROWS BETWEEN {h} PRECEDING AND {h} FOLLOWING) END"
+
+
 def f_savgol(col="x", window=config.SG_WINDOW, polyorder=config.SG_POLYORDER):
     width, p = kernels.savgol_params(window, polyorder)
     hat = kernels.savgol_hat(width, p)
