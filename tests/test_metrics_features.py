@@ -133,3 +133,37 @@ def test_chunks_user_function(spark):
 
     out = PR.process_in_chunks(ev, spec, fn, "chunk_id long, rows long", chunk_size=3000).orderBy("chunk_id").collect()
     assert [r["rows"] for r in out] == [3000, 3000, 3000, 1000]
+
+
+def test_median_shrink_and_params(spark):
+    from tests import refimpl  # noqa: F401
+    from tidemark.operators import filters as FL
+
+    x = [5.0, 1.0, 4.0, 2.0, 3.0, 9.0]
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(x)], "s long, t long, v double")
+    out = FL.apply_filter(df, SeriesSpec(keys=("s",), order=("t",)), "median", ["v"], edge="shrink").orderBy("t").collect()
+    exp = [np.median(x[max(0, i - 2): i + 3]) for i in range(len(x))]
+    assert [r["v"] for r in out] == pytest.approx(exp)
+    params = {r["filter_type"]: r["params"] for r in FL.filter_params().collect()}
+    assert params["savitzky_golay"] == {"window": 11.0, "polyorder": 3.0}
+    assert params["gaussian"] == {"sigma": 2.0} and params["none"] == {}
+
+
+def test_custom_metric_and_guards(spark):
+    M.register_metric(M.MetricSpec("max_abs", lambda y, p: F.max(F.abs(y - p))))
+    M.register_metric(M.MetricSpec("broken", lambda y, p: 1 / 0))
+    df = _pairs(spark, [1.0, 2.0, 3.0], [1.0, 2.5, 1.0])
+    r = EV.evaluate(df, metrics=("max_abs", "broken", "RMSE")).first()
+    assert r["max_abs"] == 2.0 and math.isnan(r["broken"]) and r["rmse"] > 0
+    ins = {r["g"]: r["skipped_reason"] for r in PR.insufficient(
+        spark.createDataFrame([("a",), ("a",), ("b",)], "g string"), ["g"], 2).collect()}
+    assert ins == {"a": None, "b": "insufficient data after preprocessing"}
+
+
+def test_order_uniqueness_check(spark):
+    from tidemark.operators.index import check_unique_order
+
+    df = spark.createDataFrame([(1, 0, 1.0), (1, 0, 2.0)], "s long, t long, v double")
+    with pytest.raises(ValueError):
+        check_unique_order(df, SeriesSpec(keys=("s",), order=("t",)))
+    check_unique_order(df, SeriesSpec(keys=("s",), order=("t", "v")))
