@@ -128,3 +128,16 @@ def test_plan_single_exchange(spark):
     wide = FL.apply_filters(ev, spec, ALL, ["value"])
     plan = wide._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_auto_chunking_switches_for_hot_series(spark, monkeypatch):
+    from tidemark.operators import index as IX
+
+    monkeypatch.setattr(IX, "AUTO_CHUNK_ABOVE", 50)
+    monkeypatch.setattr(IX, "AUTO_CHUNK_ROWS", 64)
+    ev = spark.read.parquet(f"{SF01}/events.parquet")
+    spec = SeriesSpec(keys=("user_id",), order=("ts",))
+    resolved, longest = IX.resolve(ev, spec)
+    assert resolved.chunked and resolved.rows_per_chunk == 64 and longest == 86
+    pdf = FL.apply_filters(ev, spec, ALL, ["value"]).toPandas()
+    _check(pdf, "user_id", "ts")

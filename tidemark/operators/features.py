@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.operators.filters import numeric, qcol
-from tidemark.operators.index import IDX, N, SeriesSpec, drop_halo, expand_halo, with_index
+from tidemark.operators.index import IDX, N, SeriesSpec, drop_halo, expand_halo, resolve, with_index
 
 _EPS64 = 2.220446049250313e-16
 BROADCAST_ROWS = 2_000_000
@@ -116,6 +116,8 @@ def sequences(
     values (time step outer, feature inner); ``flat=False`` keeps
     ``array<struct>``. Series with ``n <= length`` give no rows.
     """
+    if not indexed:
+        spec, _ = resolve(df, spec)
     base = df if indexed else with_index(df, spec)
     base = expand_halo(base, spec, length, 0)
     w = spec.window().rowsBetween(-length, -1)
@@ -186,6 +188,8 @@ def preprocess(
     behaviour); ``"train"`` fits it only on rows up to the last training target.
     Output: keys, order, ``features``, ``label``, ``split``, ``usable``.
     """
+    if not indexed:
+        spec, _ = resolve(df, spec)
     base = df if indexed else with_index(df, spec)
     fit_rows = None
     if fit_on == "train":

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import kernels
-from tidemark.operators.index import IDX, N, SeriesSpec, drop_halo, expand_halo, max_series_length, with_index, with_index_info
+from tidemark.operators.index import IDX, N, SeriesSpec, drop_halo, expand_halo, max_series_length, resolve, with_index, with_index_info
 
 
 def qcol(name: str) -> Column:
@@ -319,6 +319,8 @@ def apply_filters(
             obj = create_filter(f)
             pairs.append((obj.name, obj))
     cols = present_columns(df, columns)
+    if not indexed:
+        spec, _ = resolve(df, spec)
     known_len = spec.max_len
     if indexed:
         base = df

@@ -30,6 +30,9 @@ OWNER = "_owner"
 
 # Offset tables up to this many rows are broadcast; above it the join shuffles.
 BROADCAST_ROWS = 2_000_000
+# chunk_rows="auto": a series longer than this is processed in halo chunks.
+AUTO_CHUNK_ABOVE = 4_000_000
+AUTO_CHUNK_ROWS = 1 << 20
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -39,12 +42,14 @@ class SeriesSpec:
 
     ``order`` may list several columns (tie-breakers); the order must be unique
     within a series. ``chunk_rows`` switches to the skew-safe range index with halo
-    chunks of that many rows.
+    chunks of that many rows; ``"auto"`` (default) measures the longest series
+    once and chunks only when one exceeds ``AUTO_CHUNK_ABOVE`` rows (a hot key);
+    ``None`` always uses one window per series.
     """
 
     keys: tuple[str, ...] = ()
     order: tuple[str, ...] = ("ts",)
-    chunk_rows: int | None = None
+    chunk_rows: int | str | None = "auto"
     index_partitions: int | None = None
     max_len: int | None = None
     extra: dict = field(default_factory=dict, compare=False, hash=False)
@@ -56,16 +61,16 @@ class SeriesSpec:
         object.__setattr__(self, "order", order)
         if not order:
             raise ValueError("a series needs an order column")
-        if self.chunk_rows is not None and int(self.chunk_rows) < 1:
+        if self.chunk_rows not in (None, "auto") and int(self.chunk_rows) < 1:
             raise ValueError("chunk_rows must be positive")
 
     @property
     def chunked(self) -> bool:
-        return self.chunk_rows is not None or not self.keys
+        return isinstance(self.chunk_rows, int) or not self.keys
 
     @property
     def rows_per_chunk(self) -> int:
-        return int(self.chunk_rows or 1 << 16)
+        return int(self.chunk_rows) if isinstance(self.chunk_rows, int) else AUTO_CHUNK_ROWS
 
     def window_keys(self) -> list[str]:
         return list(self.keys) + ([CHUNK] if self.chunked else [])
@@ -80,6 +85,18 @@ class SeriesSpec:
         return Window.partitionBy(*self.window_keys()).orderBy(*[F.col(c) for c in self.order])
 
 
+def resolve(df: DataFrame, spec: SeriesSpec) -> tuple[SeriesSpec, int | None]:
+    """Settle ``chunk_rows="auto"``: one key-only aggregate finds the longest series;
+    a hot series (over ``AUTO_CHUNK_ABOVE`` rows) switches to halo chunks."""
+    from dataclasses import replace
+
+    if spec.chunk_rows != "auto" or not spec.keys:
+        return spec, spec.max_len
+    longest = spec.max_len if spec.max_len is not None else max_series_length(df, spec)
+    chunk = AUTO_CHUNK_ROWS if longest > AUTO_CHUNK_ABOVE else None
+    return replace(spec, chunk_rows=chunk, max_len=longest), longest
+
+
 def with_index(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Add ``_idx`` (0-based position in the series) and ``_n`` (series length)."""
     return with_index_info(df, spec)[0]

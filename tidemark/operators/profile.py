@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.filters import qcol
-from tidemark.operators.index import IDX, SeriesSpec, with_index
+from tidemark.operators.index import IDX, SeriesSpec, resolve, with_index
 
 BROADCAST_ROWS = 2_000_000
 
@@ -199,6 +199,8 @@ def category_ratio(df: DataFrame, columns, exact: bool = True) -> DataFrame:
 
 def with_chunks(df: DataFrame, spec: SeriesSpec, chunk_size: int = 10000, indexed: bool = False) -> DataFrame:
     """A5: ``chunk_id = floor(idx / chunk_size)`` over consecutive rows of each series."""
+    if not indexed:
+        spec, _ = resolve(df, spec)
     base = df if indexed else with_index(df, spec)
     return base.withColumn("chunk_id", F.floor(F.col(IDX) / F.lit(int(chunk_size))).cast("long"))
 
