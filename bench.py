@@ -23,7 +23,6 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from tidemark import config
-    from tidemark.operators import evaluate as EV
     from tidemark.operators import features as FE
     from tidemark.operators import filters as FL
     from tidemark.operators import kalman as KM

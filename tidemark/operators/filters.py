@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import kernels
-from tidemark.operators.index import IDX, N, SeriesSpec, drop_halo, expand_halo, max_series_length, resolve, with_index, with_index_info
+from tidemark.operators.index import IDX, N, SeriesSpec, drop_halo, expand_halo, max_series_length, resolve, with_index_info
 
 
 def qcol(name: str) -> Column:
