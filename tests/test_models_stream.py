@@ -99,3 +99,22 @@ def test_sources(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         telemetry.load_telemetry_csv(spark, str(tmp_path / "missing.csv"))
     assert telemetry.synthetic_pairs(spark, 100).count() == 100
+
+
+def test_save_load_models(spark, tmp_path):
+    df, _, _ = _linear_frame(spark, 60)
+    lin = MD.fit_linear(df)
+    lin.save(str(tmp_path / "lin"))
+    back = MD.load_spark_model("linear_regression", str(tmp_path / "lin"))
+    a = lin.transform(df).select("prediction").toPandas()["prediction"].values
+    b = back.transform(df).select("prediction").toPandas()["prediction"].values
+    np.testing.assert_allclose(a, b)
+    mlp = MD.fit_mlp(df, hidden=(4,), controls=MD.TrainControls(max_iter=10, local_epochs=5))
+    mlp.save(str(tmp_path / "mlp"))
+    m2 = MD.load_gradient_model(spark, str(tmp_path / "mlp"))
+    np.testing.assert_allclose(mlp.transform(df).toPandas()["prediction"], m2.transform(df).toPandas()["prediction"])
+
+
+def test_select_filters():
+    assert FL.select_filters("Kalman, bogus,MEDIAN") == ["kalman", "median"]
+    assert FL.select_filters("bogus") == list(FL.FILTERS)

@@ -284,6 +284,15 @@ def create_filter(filter_type: str | SmoothingFilter, **params) -> SmoothingFilt
     return cls(**params)
 
 
+def select_filters(names) -> list[str]:
+    """P9 (legacy runners): comma list or sequence of names, lower-cased; unknown
+    names are dropped and an empty result falls back to every filter."""
+    if isinstance(names, str):
+        names = [n.strip() for n in names.split(",")]
+    known = [n.lower() for n in (names or []) if n and n.lower() in FILTERS]
+    return known or list(FILTERS)
+
+
 def present_columns(df: DataFrame, columns) -> list[str]:
     """Keep the requested columns that exist (missing ones are skipped)."""
     have = set(df.columns)
