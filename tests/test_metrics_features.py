@@ -167,3 +167,27 @@ def test_order_uniqueness_check(spark):
     with pytest.raises(ValueError):
         check_unique_order(df, SeriesSpec(keys=("s",), order=("t",)))
     check_unique_order(df, SeriesSpec(keys=("s",), order=("t", "v")))
+
+
+def test_chunked_preprocess_equals_plain(spark):
+    ev = spark.read.parquet(f"{SF01}/events.parquet").select("user_id", "ts", "event_id", "value")
+    plain = SeriesSpec(keys=("user_id",), order=("ts",), chunk_rows=None)
+    chunked = SeriesSpec(keys=("user_id",), order=("ts",), chunk_rows=16)
+    a = FE.preprocess(ev, plain, ["value"], "value", 10, carry=["event_id"]).toPandas().set_index("event_id").sort_index()
+    b = FE.preprocess(ev, chunked, ["value"], "value", 10, carry=["event_id"]).toPandas().set_index("event_id").sort_index()
+    assert len(a) == len(b) == 8500
+    assert (a["split"] == b["split"]).all() and (a["label"] == b["label"]).all()
+    np.testing.assert_allclose(np.stack(a["features"]), np.stack(b["features"]), rtol=1e-12, atol=1e-12)
+
+
+def test_error_stats_rank_on_one_hot_group(spark):
+    rng = np.random.default_rng(5)
+    y = rng.normal(size=5000)
+    p = y + rng.normal(size=5000)
+    df = spark.createDataFrame(pd.DataFrame({"g": ["hot"] * 4990 + ["cold"] * 10, "label": y, "prediction": p}))
+    st = {r["g"]: r for r in EV.error_stats(df, group=["g"], quantiles="rank").collect()}
+    ae = np.abs(y - p)
+    for g, sl in (("hot", slice(0, 4990)), ("cold", slice(4990, 5000))):
+        q1, med, q3 = np.percentile(ae[sl], [25, 50, 75])
+        assert st[g]["error_q1"] == pytest.approx(q1) and st[g]["abs_error_median"] == pytest.approx(med)
+        assert st[g]["error_q3"] == pytest.approx(q3)
