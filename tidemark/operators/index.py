@@ -197,12 +197,39 @@ def shift(x: Column, offset: int, spec: SeriesSpec, default=None) -> Column:
     return F.lag(x, -offset, default).over(w)
 
 
+_LEN_MEMO: dict = {}
+
+
+def _plan_key(df: DataFrame, spec: SeriesSpec):
+    """Identity of a deterministic input plan (canonical plan hash and its files)."""
+    try:
+        plan = df._jdf.queryExecution().analyzed()
+        if not plan.deterministic():
+            return None
+        return (plan.semanticHash(), tuple(spec.keys), tuple(sorted(df.inputFiles())))
+    except Exception:  # noqa: BLE001 - no memo when the plan cannot be identified
+        return None
+
+
 def max_series_length(df: DataFrame, spec: SeriesSpec) -> int:
-    """Longest series (one small aggregate job, partial aggregation first)."""
+    """Longest series (one small aggregate job, partial aggregation first).
+
+    Remembered per session for a deterministic input plan over the same files, so
+    several operators on one input measure it once.
+    """
+    key = _plan_key(df, spec)
+    if key is not None and key in _LEN_MEMO:
+        return _LEN_MEMO[key]
     if not spec.keys:
-        return int(df.count())
-    row = df.groupBy(*spec.keys).count().agg(F.max("count")).first()
-    return int(row[0] or 0)
+        value = int(df.count())
+    else:
+        row = df.groupBy(*spec.keys).count().agg(F.max("count")).first()
+        value = int(row[0] or 0)
+    if key is not None:
+        if len(_LEN_MEMO) > 256:
+            _LEN_MEMO.clear()
+        _LEN_MEMO[key] = value
+    return value
 
 
 def check_unique_order(df: DataFrame, spec: SeriesSpec) -> None:
