@@ -148,7 +148,9 @@ def _range_index(df: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, int]:
         (F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_c")).alias("_off"),
         F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(N),
     )
-    # One row per (partition, key present in it): size checked before broadcasting.
+    # One row per (partition, key present in it): kept (small) so the size check
+    # and the join below share one computation; size checked before broadcasting.
+    parts = parts.persist()
     size = parts.agg(F.count(F.lit(1)).alias("rows"), F.max(N).alias("longest")).first()
     if size["rows"] <= BROADCAST_ROWS:
         parts = F.broadcast(parts)

@@ -110,7 +110,9 @@ def _join_carries(df: DataFrame, spec: SeriesSpec, ncols: int) -> DataFrame:
             F.max_by(F.exp(F.col(f"_kg{i}")) * F.col(f"_ks{i}"), F.col(IDX)).alias(f"C{i}"),
             F.min_by(F.col(f"_kz{i}"), F.when(F.col(f"_kz{i}").isNotNull(), F.col(IDX))).alias(f"Z{i}"),
         ]
-    blocks = df.groupBy(*keys, F.col("_kblk").alias("pos")).agg(*aggs)
+    # one row per block (1/B of the data): kept so the size checks and the carry
+    # fold read it once instead of recomputing the block windows
+    blocks = df.groupBy(*keys, F.col("_kblk").alias("pos")).agg(*aggs).persist()
     sizes: dict = {}
     carries = block_carries(blocks, keys, ncols, sizes)
     carries = carries.select(*keys, F.col("pos").alias("_kblk"), *[F.col(f"X{i}").alias(f"_kc{i}") for i in range(ncols)])
@@ -180,7 +182,7 @@ def block_carries(blocks: DataFrame, keys: list[str], ncols: int, sizes: dict |
             res[f"Z{i}"] = [float(z.iloc[0]) if len(z) else np.nan]
         return pd.DataFrame(res)
 
-    supers = sup.groupBy(*keys, "_sup").applyInPandas(fold, fold_schema)
+    supers = sup.groupBy(*keys, "_sup").applyInPandas(fold, fold_schema).persist()
     sup_carry = block_carries(supers, keys, ncols).select(
         *keys, F.col("pos").alias("_sup"), *[F.col(f"X{i}").alias(f"_S{i}") for i in range(ncols)]
     )
