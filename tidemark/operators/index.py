@@ -116,12 +116,33 @@ def with_index_info(df: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, int | N
     return out, spec.max_len
 
 
+def _bytes(conf_value: str) -> int:
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    v = conf_value.strip().lower()
+    for suffix in sorted(units, key=len, reverse=True):
+        if v.endswith(suffix):
+            return int(float(v[: -len(suffix)]) * units[suffix])
+    return int(v)
+
+
+def range_partitions(df: DataFrame) -> int:
+    """Partitions for an explicit range repartition (AQE does not resize those):
+    the optimizer's size estimate of the input over the advisory partition size,
+    at least the cluster's parallelism and the configured shuffle partitions."""
+    spark = df.sparkSession
+    floor = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+        return int(min(max(floor, -(-size // max(target, 1))), 1_000_000))
+    except Exception:  # noqa: BLE001 - no estimate: fall back to the configured count
+        return floor
+
+
 def _range_index(df: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, int]:
     spark = df.sparkSession
     keys, order = list(spec.keys), list(spec.order)
-    parts_n = spec.index_partitions or max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    parts_n = spec.index_partitions or range_partitions(df)
     ranged = (
         df.repartitionByRange(parts_n, *keys, *order)
         .sortWithinPartitions(*keys, *order)
