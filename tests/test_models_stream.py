@@ -118,3 +118,33 @@ def test_save_load_models(spark, tmp_path):
 def test_select_filters():
     assert FL.select_filters("Kalman, bogus,MEDIAN") == ["kalman", "median"]
     assert FL.select_filters("bogus") == list(FL.FILTERS)
+
+
+def test_stream_drops_late_rows(spark):
+    import datetime as dt
+    import time as _time
+    import uuid
+
+    from tidemark.session import checkpoint_dir
+    from tidemark.streaming.kalman_stream import kalman_stream, run_to_table
+
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/late-{uuid.uuid4().hex[:8]}"
+    t0 = dt.datetime(2024, 1, 1)
+    first = [(1, t0 + dt.timedelta(minutes=i), i, float(v)) for i, v in enumerate([1.0, 2.0, 3.0])]
+    second = [(1, t0 + dt.timedelta(minutes=1, seconds=30), 10, 100.0),  # late: older than minute 2
+              (1, t0 + dt.timedelta(minutes=3), 3, 4.0)]
+    schema = "user_id long, ts timestamp, event_id long, value double"
+    spark.createDataFrame(first, schema).coalesce(1).write.mode("append").parquet(folder)
+    _time.sleep(1.1)
+    spark.createDataFrame(second, schema).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out = run_to_table(spark, kalman_stream(stream, "user_id", "ts", "value", carry=("event_id",)), "late")
+    got = {r["event_id"]: r["value_f"] for r in out.collect()}
+    assert 10 not in got and sorted(got) == [0, 1, 2, 3]
+    np.testing.assert_allclose([got[i] for i in range(4)], refimpl_kalman([1.0, 2.0, 3.0, 4.0]))
+
+
+def refimpl_kalman(x):
+    from tests import refimpl
+
+    return refimpl.kalman(x)
