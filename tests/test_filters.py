@@ -141,3 +141,27 @@ def test_auto_chunking_switches_for_hot_series(spark, monkeypatch):
     assert resolved.chunked and resolved.rows_per_chunk == 64 and longest == 86
     pdf = FL.apply_filters(ev, spec, ALL, ["value"]).toPandas()
     _check(pdf, "user_id", "ts")
+
+
+def test_edge_fixtures(spark):
+    spec = SeriesSpec(keys=("s",), order=("t",))
+    empty = spark.createDataFrame([], "s long, t long, v double")
+    assert FL.apply_filters(empty, spec, ALL, ["v"]).count() == 0
+    one = _frame(spark, [(1, 0, 5.0)])
+    row = FL.apply_filters(one, spec, ALL, ["v"]).first()
+    for name in ALL:
+        assert row[f"v__{name}"] == pytest.approx(refimpl.REF[name]([5.0])[0]), name
+    ints = spark.createDataFrame([(1, i, i * 3) for i in range(12)], "s long, t long, v int")
+    pdf = FL.apply_filters(ints, spec, ALL, ["v"]).toPandas().sort_values("t")
+    for name in ALL:
+        np.testing.assert_allclose(pdf[f"v__{name}"].values, refimpl.REF[name](np.arange(12) * 3.0), rtol=1e-9, atol=1e-9)
+    vals = [1e12, 3e11, 1e-9, 2e-9, 5e-10, 7.0, 1e12, 4e-12, 9e8, 1e-3, 2.0, 8e11, 6e-9]
+    wide = FL.apply_filters(_frame(spark, [(1, i, v) for i, v in enumerate(vals)]), spec, ALL, ["v"]).toPandas().sort_values("t")
+    for name in ALL:
+        np.testing.assert_allclose(wide[f"v__{name}"].values, refimpl.REF[name](vals), rtol=1e-7, atol=1e-3)
+
+
+def test_missing_column_is_skipped(spark):
+    df = _frame(spark, [(1, i, float(i)) for i in range(6)])
+    out = FL.apply_filter(df, SeriesSpec(keys=("s",), order=("t",)), "median", ["v", "absent"])
+    assert out.columns == df.columns and out.count() == 6
