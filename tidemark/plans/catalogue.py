@@ -841,3 +841,42 @@ def q_stream_kalman(spark, sf):
 
     out = stream_events_kalman(spark, sf)
     return out.select("user_id", "event_id", r6(F.col("value_f")).alias("value_f"))
+
+
+# ------------------------------------------------------------------ user-function paths
+
+
+@query(
+    "chunk_user_function",
+    """SELECT chunk_id, count(*) AS rows, round(sum(value), 6) AS value_sum, round(max(value) - min(value), 6) AS value_range
+FROM (SELECT value, CAST(floor((row_number() OVER (ORDER BY event_id) - 1) / 1000) AS BIGINT) AS chunk_id FROM events)
+GROUP BY chunk_id""",
+)
+def q_chunk_udf(spark, sf):
+    """A5 with a user function: a pandas function per block of 1,000 consecutive rows."""
+    import pandas as pd
+
+    ev = table(spark, sf, "events").select("event_id", "value")
+
+    def per_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
+        v = pdf["value"]
+        return pd.DataFrame({"chunk_id": [int(pdf["chunk_id"].iloc[0])], "rows": [len(pdf)],
+                             "value_sum": [round(float(v.sum()), 6)], "value_range": [round(float(v.max() - v.min()), 6)]})
+
+    spec = SeriesSpec(keys=(), order=("event_id",), chunk_rows=4096)
+    return PR.process_in_chunks(ev, spec, per_chunk, "chunk_id long, rows long, value_sum double, value_range double", 1000)
+
+
+@query(
+    "batched_scoring",
+    _SEQ_SQL + f"""
+SELECT g AS user_id, id AS event_id, round(list_sum(hx) + list_sum(hk), 6) AS score
+FROM s WHERE idx >= {SEQ_LEN}""",
+)
+def q_batched_scoring(spark, sf):
+    """A user scoring function over Arrow batches of lag features (here the feature sum)."""
+    from tidemark.operators import models as MD
+
+    seq = FE.sequences(_ev(spark, sf), EV_SPEC, ["value", "k"], "value", SEQ_LEN).select("user_id", "event_id", "features")
+    scored = MD.batched_predict(seq, lambda X: X.sum(axis=1, keepdims=True), batch_rows=None, output="score")
+    return scored.select("user_id", "event_id", r6(F.col("score")).alias("score"))
