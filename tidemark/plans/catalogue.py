@@ -880,3 +880,27 @@ def q_batched_scoring(spark, sf):
     seq = FE.sequences(_ev(spark, sf), EV_SPEC, ["value", "k"], "value", SEQ_LEN).select("user_id", "event_id", "features")
     scored = MD.batched_predict(seq, lambda X: X.sum(axis=1, keepdims=True), batch_rows=None, output="score")
     return scored.select("user_id", "event_id", r6(F.col("score")).alias("score"))
+
+
+# ------------------------------------------------------------------ CSV telemetry source
+
+
+@query("telemetry_csv_savgol", _filter_sql(O.f_savgol()))
+def q_csv(spark, sf):
+    """Events written as one CSV file per user in time order, loaded with the
+    telemetry loader (series = file, order = file position) and smoothed."""
+    import uuid
+
+    from tidemark.session import checkpoint_dir
+    from tidemark.sources.telemetry import load_telemetry_csv
+
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex[:12]}"
+    ev = table(spark, sf, "events").select("user_id", "event_id", "ts", "value")
+    (ev.repartition("user_id").sortWithinPartitions("user_id", "ts").select("user_id", "event_id", "value")
+       .write.partitionBy("user_id").option("header", True).csv(folder))
+    loaded = load_telemetry_csv(spark, f"{folder}/*/*.csv")
+    loaded = loaded.withColumn("user_id", F.regexp_extract("source_file", r"user_id=(-?[0-9]+)", 1).cast("long"))
+    loaded = loaded.withColumn("event_id", F.col("event_id").cast("long")).withColumn("value", F.col("value").cast("double"))
+    spec = SeriesSpec(keys=("source_file",), order=("row_id",))
+    out = FL.apply_filter(loaded, spec, "savitzky_golay", ["value"])
+    return out.select("user_id", "event_id", r6(F.col("value")).alias("value_f"))

@@ -27,7 +27,10 @@ def load_telemetry_csv(spark: SparkSession, path: str, series_from_file: bool =
 
     ``path`` may be a glob of many files (the reference reads one). With
     ``series_from_file`` each file becomes one series keyed by ``source_file``;
-    rows keep their file order in ``row_id`` (the reference's time order).
+    rows keep their file order in ``row_id`` (the reference's time order). File
+    order survives only for files Spark reads unsplit (smaller than
+    ``spark.sql.files.maxPartitionBytes``); for larger files order the series by
+    ``Time Elapsed (s)`` instead.
     """
     if not any(ch in path for ch in "*?[") and not os.path.exists(path) and "://" not in path:
         raise FileNotFoundError(f"Data file not found: {path}")
