@@ -127,8 +127,11 @@ def split_by_time(spark: SparkSession, df: DataFrame, ts: str, pieces: int, name
 
 def stream_events_kalman(spark: SparkSession, sf_dir: str, pieces: int = 4, files_per_piece: int = 4) -> DataFrame:
     """The whole ``events`` table replayed as a stream in time order, Kalman per user."""
+    # timestamp_ntz -> TIMESTAMP through epoch microseconds, independent of the
+    # session time zone (a DST shift must not merge or reorder readings)
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     ev = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).select(
-        "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "value"
+        "user_id", F.timestamp_micros(micros).alias("ts"), "event_id", "value"
     )
     folder = split_by_time(spark, ev, "ts", pieces, "events", files_per_piece)
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", files_per_piece).parquet(folder)
