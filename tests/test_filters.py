@@ -165,3 +165,12 @@ def test_missing_column_is_skipped(spark):
     df = _frame(spark, [(1, i, float(i)) for i in range(6)])
     out = FL.apply_filter(df, SeriesSpec(keys=("s",), order=("t",)), "median", ["v", "absent"])
     assert out.columns == df.columns and out.count() == 6
+
+
+def test_kalman_multi_block_plain_mode(spark):
+    rng = np.random.default_rng(11)
+    rows = [(s, i, float(v)) for s in range(3) for i, v in enumerate(np.cumsum(rng.normal(size=1500)) + 50)]
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["s", "t", "v"]), "s long, t long, v double")
+    spec = SeriesSpec(keys=("s",), order=("t",), chunk_rows=None)
+    pdf = FL.apply_filters(df, spec, ["kalman"], ["v"]).toPandas()
+    _check(pdf, "s", "t", col="v", tol=1e-9, names=["kalman"])
