@@ -148,3 +148,13 @@ def refimpl_kalman(x):
     from tests import refimpl
 
     return refimpl.kalman(x)
+
+
+def test_prepare_plan_single_shuffle(spark):
+    from tidemark.plans import experiment as X
+
+    ev = events_signal(spark, SF01)
+    pre = X.prepare(ev, SeriesSpec(keys=("user_id",), order=("ts",)), ["value", "k"], "value", ["value", "k"])
+    plan = pre._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+    assert len(shuffles) == 1, plan
