@@ -58,7 +58,10 @@ def kalman_stream(
     )
 
     def step_fn(keys, batches, state):
-        pdf = pd.concat(list(batches), ignore_index=True)
+        frames = [b for b in batches if len(b)]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True)
         if state.exists:
             x, p, step, started, last_ts = state.get
         else:
