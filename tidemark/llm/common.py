@@ -38,3 +38,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def crc_of_id(doc_id: Column) -> Column:
     """CRC-32 of the id written as text (a null id counts as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")))
+
+
+def publish(spark: SparkSession, data: bytes, tag: str) -> str:
+    """Put a bounded block of bytes into the shared folder and have every executor fetch
+    it; tasks find it as ``SparkFiles.get(name)`` and can map it into memory."""
+    path = shared_path(spark, tag)
+    jvm = spark.sparkContext._jvm
+    to = jvm.org.apache.hadoop.fs.Path(path)
+    out = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(to)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    spark.sparkContext.addFile(path)
+    return path.rsplit("/", 1)[1]
