@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import op10_bpe_encode_decode
+from tidemark.llm.minhash import op6_document_fingerprints
 from tidemark.llm.simhash import op3_simhash_near_dedup
 from tidemark.llm.substring import op8_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
 }
