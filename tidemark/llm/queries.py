@@ -7,18 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import op10_bpe_encode_decode
+from tidemark.llm.hnsw import op5_nearest_neighbours
 from tidemark.llm.langid import op7_language_id
 from tidemark.llm.minhash import op6_document_fingerprints
 from tidemark.llm.quality import op4_quality_classifier
 from tidemark.llm.simhash import op3_simhash_near_dedup
 from tidemark.llm.substring import op8_substring_dedup
+from tidemark.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_language_id": op7_language_id,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
 }
 
