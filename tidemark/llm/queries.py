@@ -14,8 +14,11 @@ from tidemark.llm.quality import op4_quality_classifier
 from tidemark.llm.simhash import op3_simhash_near_dedup
 from tidemark.llm.substring import op8_substring_dedup
 from tidemark.llm.toxicity import op9_toxicity
+from tidemark.llm.urls import SQL as URL_SQL
+from tidemark.llm.urls import op2_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_nearest_neighbours": op5_nearest_neighbours,
@@ -26,4 +29,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_url_filter": URL_SQL}
