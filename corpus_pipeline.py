@@ -1,16 +1,84 @@
-"""The corpus pipeline: stages over ``documents``, each one operator's decision."""
+"""The corpus pipeline: stages over ``documents``, each one operator's decision.
+
+quality classifier      rejected documents go
+SimHash near-dedup      one document of each group stays, the one with the smallest id
+substring dedup         repeated 20-word windows go; a text that loses nothing stays as it is,
+                        a document that loses all its words goes
+mixing                  nine tenths of the tokens, by the production weights, from one epoch
+                        (more would put copies back that the stages before took out)
+BPE                     ids and digests of every text left
+
+Rows with a null id pass the near-duplicate stage unjudged, as no decision can name
+them; of rows with the same id that stage keeps one. Null texts count as empty. Every stage
+takes an empty table to an empty table. All but the last return the columns of their input.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
-from tidemark.llm.simhash import near_duplicates
+from tidemark.llm import bpe, mixing, quality, simhash, substring
+from tidemark.llm.common import crc_of_id, stored
 from tidemark.session import ship_package
 from tidemark.sources.tables import table
 
-STAGES: list = []
-ORACLE_SQL = None
+MIX_SHARE = (9, 10)
+MIX_EPOCHS = 1
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble scores 0.5 or more."""
+    ship_package(spark)
+    labels = table(spark, sf_dir, "labels").where(crc_of_id(F.col("doc_id")) % 3 != 1)
+    return quality.keep_good(docs, quality.train(docs, labels), 0.5)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group (3-word shingles, 3 bits)."""
+    ship_package(spark)
+    groups = simhash.near_duplicates(docs, shingle=3, radius=3)
+    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row"))
+    named = rows.join(stored(kept, "pipeline-kept"), "doc_id", "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("row.text"))
+    one = named.withColumn("rn", first).where(F.col("rn") <= 1).select("row.*")
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without their repeated 20-word windows."""
+    ship_package(spark)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    cut = substring.dedup_substrings(docs, window=20, carry=rest, keep_layout=True)
+    left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return left.select(*[columns.get(c, F.col(f"carried.`{c}`")).alias(c) for c in docs.columns])
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mixture, as often as it takes them."""
+    plan = mixing.mix(docs, mixing.source_domain(F.col("source")), budget_share=MIX_SHARE, max_epochs=MIX_EPOCHS)
+    copies = stored(plan.where(F.col("copies") > 0).groupBy(F.col("doc_id").alias("id")).agg(F.max("copies").alias("copies")), "pipeline-mix")
+    rows = docs.select(F.struct(*docs.columns).alias("row")).join(copies, F.col("row.doc_id").eqNullSafe(F.col("id")))
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, their digest and that of the text they decode to."""
+    ship_package(spark)
+    encoded = bpe.encode(docs, bpe.default_vocabulary())
+    return encoded.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("SimHash near-dedup", near_dedup_stage),
+    ("substring dedup", substring_stage),
+    ("mixing sources", mixing_stage),
+    ("BPE encoding", bpe_stage),
+]
+ORACLE_SQL = None  # a classifier and BPE: tested against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

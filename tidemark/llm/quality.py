@@ -10,10 +10,9 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -65,22 +64,10 @@ def statistics(text: str) -> list[float]:
     ]
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """``docs(id, text, *rest)`` -> ``id, *rest`` and one double column per statistic;
-    texts do not come back."""
-    rest = [c for c in docs.columns if c not in ("id", "text")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = np.array([statistics(t.as_py() or "") for t in batch.column("text")], dtype=float).reshape(-1, len(STATISTICS))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("id", *rest)] + [pa.array(rows[:, i]) for i in range(len(STATISTICS))],
-                names=["id", *rest, *STATISTICS],
-            )
-
-    kinds = dict(docs.dtypes)
-    ddl = ", ".join([f"`{c}` {kinds[c]}" for c in ("id", *rest)] + [f"{s} double" for s in STATISTICS])
-    return docs.select("id", "text", *rest).mapInArrow(run, ddl)
+@F.pandas_udf("array<double>")
+def statistics_of(text: pd.Series) -> pd.Series:
+    """The statistics of each text (null: empty) in a column; a few hundred bytes a row."""
+    return pd.Series([statistics(t or "") for t in text])
 
 
 class RuleEnsemble:
@@ -89,9 +76,9 @@ class RuleEnsemble:
     def __init__(self, base: float, rules: list[tuple[tuple[Condition, ...], float]]):
         self.base, self.rules = base, rules
 
-    def column(self) -> Column:
-        """The score as an expression over the statistics columns."""
-        features = [F.col(s) for s in STATISTICS]
+    def column(self, found: Column) -> Column:
+        """The score as an expression over the array of statistics."""
+        features = [found[i] for i in range(len(STATISTICS))]
         total = F.lit(self.base)
         for rule, weight in self.rules:
             total = total + F.lit(weight) * rule_column(rule, features)
@@ -107,19 +94,19 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id
     Without labelled rows, or with one label only, the ensemble has no rules and scores
     everything by the share of label 1 (1 if nothing is labelled: nothing is rejected).
     """
-    rows = stored(with_statistics(labelled_sample(docs, labels, "quality", sample_rows, id_col, text_col)), "quality-sample")
+    rows = labelled_sample(docs, labels, "quality", sample_rows, id_col, text_col)
+    rows = stored(rows.select("label", statistics_of("text").alias("s")), "quality-sample")
     n, ones = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not n or ones in (0, n):
         share = min(max((ones or 0) / n if n else 1.0, 1e-6), 1 - 1e-6)
         return RuleEnsemble(float(np.log(share / (1 - share))), [])
-    features = array_to_vector(F.array(*[F.col(s) for s in STATISTICS])).alias("features")
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, seed=SEED, subsamplingRate=0.5, featureSubsetStrategy="onethird", minInstancesPerNode=5, maxBins=64
-    ).fit(rows.select("label", features))
+    ).fit(rows.select("label", array_to_vector("s").alias("features")))
     rules = sorted({r for tree in forest.trees for r in rules_of(tree)})
     if not rules:
         return RuleEnsemble(float(np.log(ones / (n - ones))), [])
-    columns = [F.col(s) for s in STATISTICS]
+    columns = [F.col("s")[i] for i in range(len(STATISTICS))]
     holds = stored(rows.select("label", F.array(*[rule_column(r, columns) for r in rules]).alias("holds")), "quality-rules")
     fit = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, maxIter=60, standardization=False).fit(
         holds.select("label", array_to_vector("holds").alias("features"))
@@ -135,8 +122,15 @@ def score(docs: DataFrame, model: RuleEnsemble, id_col: str = "doc_id", text_col
     scored by the rules like any other. Repeated rows and null ids are kept; other
     columns are not read; an empty table gives an empty table. Nothing is shuffled.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return with_statistics(rows).select(F.col("id").alias("doc_id"), model.column().alias("score"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), statistics_of(F.col(text_col).cast("string")).alias("s"))
+    return rows.select("doc_id", model.column(F.col("s")).alias("score"))
+
+
+def keep_good(docs: DataFrame, model: RuleEnsemble, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores ``least`` or more. Nothing is
+    shuffled or joined; names of columns cannot clash."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), statistics_of(F.col(text_col).cast("string")).alias("s"))
+    return rows.where(model.column(F.col("s")) >= least).select("row.*")
 
 
 def op4_quality_classifier(spark, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ from tidemark.llm.bpe import op10_bpe_encode_decode
 from tidemark.llm.hnsw import op5_nearest_neighbours
 from tidemark.llm.langid import op7_language_id
 from tidemark.llm.minhash import op6_document_fingerprints
+from tidemark.llm.mixing import SQL as MIXING_SQL
+from tidemark.llm.mixing import op1_mixing_sources
 from tidemark.llm.quality import op4_quality_classifier
 from tidemark.llm.simhash import op3_simhash_near_dedup
 from tidemark.llm.substring import op8_substring_dedup
@@ -18,6 +20,7 @@ from tidemark.llm.urls import SQL as URL_SQL
 from tidemark.llm.urls import op2_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing_sources": op1_mixing_sources,
     "op2_url_filter": op2_url_filter,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
@@ -29,4 +32,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
 }
 
-SQL: dict[str, str] = {"op2_url_filter": URL_SQL}
+SQL: dict[str, str] = {"op1_mixing_sources": MIXING_SQL, "op2_url_filter": URL_SQL}

@@ -21,13 +21,14 @@ chance near 2**-64 each pair (0.0005 expected collisions among 130 million windo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 WINDOW = 20
 GROUP_BITS = 9  # ids with the same value above these bits form a group of documents
@@ -200,15 +201,15 @@ _OUT = pa.schema(
 _OUT_DDL = "doc_id long, n_words long, n_removed long, removed array<struct<first:long,end:long>>, kept_text string"
 
 
-def _merge_stage(window: int):
+def _merge_stage(window: int, keep_layout: bool, out: pa.Schema):
     """Rows sorted by (group, kind, id): replies, then documents -> result rows."""
 
     def result(docs, elsewhere) -> Iterator[pa.RecordBatch]:
-        ids = [d if d is not None else LAST_ID for d, _ in docs]
-        hashes = [window_hashes(words_of(t), window) for _, t in docs]
+        ids = [d if d is not None else LAST_ID for d, *_ in docs]
+        hashes = [window_hashes(words_of(t), window) for _, t, *_ in docs]
         found = removed_windows(ids, hashes, np.concatenate(elsewhere) if elsewhere else np.empty(0, np.uint64))
         rows = []
-        for (doc_id, text), starts in zip(docs, found):
+        for (doc_id, text, *carried), starts in zip(docs, found):
             words, spans, gone = words_of(text), [], 0
             n = len(words)
             if len(starts):
@@ -217,13 +218,14 @@ def _merge_stage(window: int):
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], covered.view(np.int8), [0]])))
                 spans = [{"first": int(a), "end": int(b)} for a, b in edge.reshape(-1, 2)]
                 words = [words[i] for i in np.flatnonzero(~covered)]
-            rows.append({"doc_id": doc_id, "n_words": n, "n_removed": gone, "removed": spans, "kept_text": b" ".join(words).decode()})
-        yield pa.RecordBatch.from_pylist(rows, schema=_OUT)
+            kept = (text or "") if keep_layout and not gone else b" ".join(words).decode()
+            rows.append((doc_id, n, gone, spans, kept, *carried))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), out)], schema=out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, docs, elsewhere = None, [], []
         for batch in batches:
-            for group, doc_id, text, hashes in zip(*(c for c in batch.columns)):
+            for group, hashes, *doc in zip(*batch.columns):
                 if group.as_py() != now:
                     if docs:
                         yield from result(docs, elsewhere)
@@ -231,26 +233,32 @@ def _merge_stage(window: int):
                 if hashes.is_valid:
                     elsewhere.append(np.frombuffer(hashes.as_py(), "<u8"))
                 else:
-                    docs.append((doc_id.as_py(), text.as_py()))
+                    docs.append(tuple(x.as_py() for x in doc))
         if docs:
             yield from result(docs, elsewhere)
 
     return run
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, n_words, n_removed, removed, kept_text``.
+def dedup_substrings(
+    docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), keep_layout: bool = False
+) -> DataFrame:
+    """One row per input row: ``doc_id, n_words, n_removed, removed, kept_text``; with
+    ``carry``, the struct ``carried`` of these columns of the row as well.
 
     A word is removed if a window of ``window`` words that covers it also starts
     earlier: in a document with a smaller id, or earlier in the same one; windows are
     judged on the input. ``removed`` are maximal half-open word intervals;
-    ``kept_text`` joins the kept words by one space.
+    ``kept_text`` joins the kept words by one space; with ``keep_layout`` a text that
+    loses nothing stays as it is.
 
     Null and empty texts have no words and give an empty ``kept_text``. Rows with the
     same id are separate texts, neither earlier than the other. A null id comes after
     all others. An empty table gives an empty table; other columns are not read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *([F.struct(*carry).alias("carried")] if carry else [])
+    )
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = int(chars // 6 // BUCKET) + 1
     order_id = F.coalesce("doc_id", F.lit(LAST_ID))
@@ -259,12 +267,13 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     )
     replies = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count_stage, "grp long, hashes binary")
     group = F.shiftright(order_id, GROUP_BITS)
-    none = F.lit(None)
-    both = rows.select(group.alias("grp"), "doc_id", "text", none.cast("binary").alias("hashes")).unionByName(
-        replies.select("grp", none.cast("long").alias("doc_id"), none.cast("string").alias("text"), "hashes")
-    )
+    both = rows.withColumn("grp", group).unionByName(replies, allowMissingColumns=True)
     ordered = both.repartition("grp").sortWithinPartitions("grp", F.col("hashes").isNull(), F.col("doc_id").asc_nulls_last())
-    return ordered.mapInArrow(_merge_stage(window), _OUT_DDL)
+    out, ddl = _OUT, _OUT_DDL
+    if carry:
+        kind = rows.schema["carried"].dataType
+        out, ddl = out.append(pa.field("carried", to_arrow_type(kind))), f"{ddl}, carried {kind.simpleString()}"
+    return ordered.select("grp", "hashes", *rows.columns).mapInArrow(_merge_stage(window, keep_layout, out), ddl)
 
 
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:
