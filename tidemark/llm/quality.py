@@ -17,6 +17,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from tidemark.llm.common import crc_of_id, stored
 from tidemark.llm.trees import Condition, labelled_sample, rule_column, rules_of
@@ -64,7 +65,7 @@ def statistics(text: str) -> list[float]:
     ]
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def statistics_of(text: pd.Series) -> pd.Series:
     """The statistics of each text (null: empty) in a column; a few hundred bytes a row."""
     return pd.Series([statistics(t or "") for t in text])
