@@ -46,10 +46,10 @@ SECOND_PERSON = frozenset(
     "deiner ihr euch euer eure tú ti contigo tuyo tuya usted ustedes vosotros os vuestro vuestra".split()
 )
 #: Characters that stand for letters in disguised words (fixed values).
-DISGUISE = str.maketrans("0134578@$!|+", "oleastbasiit")
+DISGUISE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "i", "+": "t"})
 
 FEATURES = (
-    "hits", "log_hits", "distinct_hits", "best_hit", "weight_density", "beginnings", "log_beginnings", "best_beginning",
+    "distinct_hit_share", "distinct_hits", "hit_density", "best_hit", "weight_share", "beginning_share", "beginnings", "best_beginning",
     "second_person", "hits_near_second_person", "shouted_words", "upper", "exclaims", "questions", "punctuation",
     "disguised", "disguised_hits", "stretched", "log_words",
 )
@@ -136,9 +136,10 @@ class Featurizer:
         if not n:
             return [0.0] * len(FEATURES)
         rows = np.array(self._rows(words))
-        a = self.table[rows]
+        a, once = self.table[rows], self.table[np.unique(rows)]  # a word repeated a hundred times tells no more
         hit, person = a[:, 0] > 0, a[:, 2] > 0
-        hits, starts = int(hit.sum()), int((a[:, 1] > 0).sum())
+        m = len(once)
+        hits, starts = int((once[:, 0] > 0).sum()), int((once[:, 1] > 0).sum())
         near = 0
         if hits and person.any():
             at = np.flatnonzero(person)
@@ -150,8 +151,8 @@ class Featurizer:
         seen = np.bincount(raw, minlength=256)
         sums = a.sum(axis=0)
         return [
-            hits / n, float(np.log1p(hits)), float(len(set(rows[hit].tolist()))), float(a[:, 0].max()), sums[0] / n,
-            starts / n, float(np.log1p(starts)), float(a[:, 1].max()),
+            hits / m, float(hits), float(hit.sum()) / n, float(once[:, 0].max()), float(once[:, 0].sum()) / m,
+            starts / m, float(starts), float(once[:, 1].max()),
             sums[2] / n, near / n, sums[3] / n, float(seen[65:91].sum()) / len(raw),
             float(seen[33]) / n, float(seen[63]) / n, float(seen[_PUNCTUATION].sum()) / len(raw),
             sums[4] / n, sums[5] / n, sums[6] / n, float(np.log1p(n)),
