@@ -14,22 +14,26 @@ The model is bounded by its parameters, whatever the corpus: ``max_words`` words
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import crc_of_id, stored
 
-SAMPLE_ROWS = 4000  # labelled rows per language that training reads, about
-MAX_WORDS = 100_000  # words kept, the most frequent ones
-MAX_GRAMS = 100_000  # n-grams kept of each length
+SAMPLE_ROWS = 3000  # labelled rows per language that training reads, about
+MAX_WORDS = 50_000  # words kept, the most frequent ones
+MAX_GRAMS = 50_000  # n-grams kept of each length
 MIN_COUNT = 2  # of a word, to count as known
 ORDERS = (4, 3, 2, 1)
 ALPHA = 0.5  # added to every count
 CACHE = 1 << 18  # words whose scores a worker remembers
+TEXTS = 256  # texts scored at once
 _BORDER = "\x02"
 _letters = re.compile(r"[^\W\d_]+").findall
 
@@ -39,31 +43,60 @@ def words_of(text: str | None) -> list[str]:
     return _letters(text.lower()) if text else []
 
 
-def grams_of(word: str, n: int) -> list[str]:
-    padded = f"{_BORDER}{word}{_BORDER}" if n > 1 else word
-    return [padded[i : i + n] for i in range(len(padded) - n + 1)]
+def _gram_keys(codes: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit key of the n characters from each place on."""
+    size = max(0, len(codes) - n + 1)
+    key = np.full(size, n, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            key = (key ^ codes[k : k + size]) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+    return key
+
+
+def _places(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Characters of the words with their borders, how many of the word are left from
+    each on, and the word each belongs to."""
+    codes = np.frombuffer("".join(f"{_BORDER}{w}{_BORDER}" for w in words).encode("utf-32-le"), "<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    return codes, np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes)), np.repeat(np.arange(len(words)), sizes)
 
 
 class Model:
     """Scores of known words and n-grams, one column per language."""
 
-    def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: dict[int, dict[str, np.ndarray]]):
-        self.langs, self.words, self.grams = langs, words, grams
-        # of an n-gram that no order holds (a letter unseen in training): no evidence
-        self.nothing = np.zeros(len(langs), np.float32)
-
-    def unseen(self, word: str) -> np.ndarray:
-        """Mean over positions of the longest known n-gram that starts there."""
-        padded = f"{_BORDER}{word}{_BORDER}"
-        total, seen = np.zeros(len(self.langs), np.float32), 0
-        for i in range(len(padded)):
-            for n in ORDERS:
-                gram = padded[i : i + n]
-                if len(gram) == n and gram != _BORDER and (hit := self.grams[n].get(gram)) is not None:
-                    total += hit
-                    seen += 1
-                    break
-        return total / seen if seen else self.nothing
+    def __init__(self, langs: list[str], words: tuple[list[str], np.ndarray], grams: dict[int, tuple[np.ndarray, np.ndarray]]):
+        self.langs = langs
+        self.words, self.word_scores = {w: i for i, w in enumerate(words[0])}, words[1].astype(np.float32)
+        self.grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n, (keys, scores) in grams.items():
+            order = np.argsort(keys)
+            self.grams[n] = keys[order], scores.astype(np.float32)[order]
+
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """A row per word: the mean over its places of the longest known n-gram that
+        starts there; zero (no evidence) for a word without any."""
+        if not words:
+            return np.zeros((0, len(self.langs)), np.float32)
+        codes, left, of = _places(words)
+        total = np.zeros((len(codes), len(self.langs)), np.float32)
+        open_ = np.arange(len(codes))  # places without a known n-gram so far
+        for n in ORDERS:
+            keys, table = self.grams[n]
+            at = open_[left[open_] >= n]
+            if n == 1:
+                at = at[codes[at] != ord(_BORDER)]
+            if not len(keys) or not len(at):
+                continue
+            key = _gram_keys(codes, n)[at]
+            hit = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            ok = keys[hit] == key
+            total[at[ok]] = table[hit[ok]]
+            left[at[ok]] = 0  # settled
+            open_ = open_[left[open_] > 0]
+        starts = np.flatnonzero(np.diff(of, prepend=-1))
+        seen = np.add.reduceat((left == 0).astype(np.float32), starts)
+        return np.add.reduceat(total, starts, axis=0) / np.maximum(seen, 1.0)[:, None]
 
 
 class Scorer:
@@ -77,35 +110,42 @@ class Scorer:
         self.row: dict[str, int] = {}
         self.scores = np.zeros((1024, len(self.model.langs)), np.float32)
 
-    def text(self, words: list[str]) -> np.ndarray:
-        try:
-            rows = [self.row[w] for w in words]
-        except KeyError:
-            new = set(words) - self.row.keys()
-            if len(self.row) + len(new) > CACHE:
-                self._fresh()
-                new = set(words)
-            while len(self.row) + len(new) > len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            known, unseen, row = self.model.words, self.model.unseen, self.row
-            for w in new:
-                at = row[w] = len(row)
-                hit = known.get(w)
-                self.scores[at] = hit if hit is not None else unseen(w)
-            rows = [row[w] for w in words]
-        return self.scores[rows].sum(axis=0, dtype=np.float64)
-
-
-def predict(scorer: Scorer, text: str | None) -> tuple[str, float]:
-    words = words_of(text)
-    if not words or not scorer.model.langs:
-        return "und", 0.0
-    total = scorer.text(words)
-    # evidence of one text saturates: words of a text are far from independent
-    scaled = total / max(1.0, len(words) / 50.0)
-    share = np.exp(scaled - scaled.max())
-    best = int(total.argmax())
-    return scorer.model.langs[best], float(share[best] / share.sum())
+    def totals(self, texts: list[list[str]]) -> np.ndarray:
+        """Summed scores of each list of words."""
+        new = set().union(*texts) - self.row.keys()
+        if len(self.row) + len(new) > CACHE:
+            self._fresh()
+            new = set().union(*texts)
+        while len(self.row) + len(new) > len(self.scores):
+            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+        known, unseen = self.model.words, []
+        for w in new:
+            at = self.row[w] = len(self.row)
+            if (hit := known.get(w)) is not None:
+                self.scores[at] = self.model.word_scores[hit]
+            else:
+                unseen.append(w)
+        self.scores[[self.row[w] for w in unseen]] = self.model.unseen(unseen)
+        out = np.zeros((len(texts), len(self.model.langs)))
+        for i, words in enumerate(texts):
+            if words:
+                out[i] = self.scores[list(map(self.row.__getitem__, words))].sum(axis=0, dtype=np.float64)
+        return out
+
+
+def predict(scorer: Scorer, texts: list[str | None]) -> list[tuple[str, float]]:
+    """Language and its share for each text."""
+    words = [words_of(t) for t in texts]
+    langs = scorer.model.langs
+    if not langs:
+        return [("und", 0.0)] * len(texts)
+    out = []
+    for w, total in zip(words, scorer.totals(words)):
+        # evidence of one text saturates: words of a text are far from independent
+        share = np.exp((total - total.max()) / max(1.0, len(w) / 50.0))
+        best = int(total.argmax())
+        out.append((langs[best], float(share[best] / share.sum())) if w else ("und", 0.0))
+    return out
 
 
 def sample(rows: DataFrame, group: str, per_group: int, key: Column) -> DataFrame:
@@ -120,32 +160,42 @@ def sample(rows: DataFrame, group: str, per_group: int, key: Column) -> DataFram
     return rows.where(u < share)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, item, lang, n) of a task: kind 0 words, else the n-gram length."""
-    from collections import Counter
+_COUNTS = "kind int, item string, gram long, lang string, n long"
 
-    counts: dict[tuple[str, int], Counter] = {}
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, item, gram, lang, n) of a task: kind 0 counts words, a higher one n-grams of
+    that length by their keys."""
+    counts: dict[str, Counter] = {}
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = Counter(words_of(text))
-            counts.setdefault((lang, 0), Counter()).update(words)
-    for (lang, _), words in list(counts.items()):
-        for n in ORDERS:
-            grams = counts[lang, n] = Counter()
-            for w, k in words.items():
-                for g in grams_of(w, n):
-                    grams[g] += k
-    for (lang, kind), items in counts.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([kind] * len(items), pa.int32()), pa.array(list(items), pa.string()), pa.array([lang] * len(items), pa.string()), pa.array(list(items.values()), pa.int64())],
-            names=["kind", "item", "lang", "n"],
+            counts.setdefault(lang, Counter()).update(words_of(text))
+
+    def rows(kind: int, items: list | None, grams: np.ndarray | None, lang: str, n) -> pa.RecordBatch:
+        size = len(n)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([kind] * size, pa.int32()), pa.array(items or [None] * size, pa.string()),
+             pa.array([None] * size if grams is None else grams.view(np.int64), pa.int64()), pa.array([lang] * size, pa.string()), pa.array(n, pa.int64())],
+            names=["kind", "item", "gram", "lang", "n"],
         )
 
+    for lang, words in counts.items():
+        if not words:
+            continue
+        items, n = list(words), np.array(list(words.values()))
+        yield rows(0, items, None, lang, n)
+        codes, left, of = _places(items)
+        for size in ORDERS:
+            at = np.flatnonzero((left >= size) & ((size > 1) | (codes != ord(_BORDER))))
+            keys, inverse = np.unique(_gram_keys(codes, size)[at], return_inverse=True)
+            yield rows(size, None, keys, lang, np.bincount(inverse, n[of[at]], len(keys)).astype(np.int64))
+
 
-def _most(counts: DataFrame, most: int, least: int) -> DataFrame:
+def _most(counts: DataFrame, words: int, grams: int, least: int) -> DataFrame:
     """The items of at least ``least`` occurrences, above the threshold that leaves
-    ``most`` at most (by a histogram of 16 steps per doubling, a few hundred rows)."""
-    totals = counts.groupBy("kind", "item").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    ``words`` words and ``grams`` n-grams of each length at most (by a histogram of 16
+    steps per doubling, a few hundred rows)."""
+    totals = counts.groupBy("kind", "item", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     step = F.floor(F.log2("n") * 16)
     cut: dict[int, int] = {}
     kept: dict[int, int] = {}
@@ -153,14 +203,14 @@ def _most(counts: DataFrame, most: int, least: int) -> DataFrame:
     for r in sorted(totals.groupBy("kind", step.alias("s")).count().collect(), key=lambda r: -r["s"]):
         k = r["kind"]
         kept[k] = kept.get(k, 0) + r["count"]
-        if kept[k] > most:
+        if kept[k] > (grams if k else words):
             full.add(k)
         if k not in full:
             cut[k] = r["s"]
     limit = F.lit(None).cast("long")
     for k, s in cut.items():
         limit = F.when(F.col("kind") == k, F.lit(s)).otherwise(limit)
-    return totals.where(step >= limit).select("kind", "item")
+    return totals.where(step >= limit).select("kind", "item", "gram")
 
 
 def train(
@@ -173,24 +223,25 @@ def train(
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     taken = sample(rows, "lang", sample_rows, F.col("id")).select("lang", "text")
     counted = stored(
-        taken.mapInArrow(_count, "kind int, item string, lang string, n long").groupBy("kind", "item", "lang").agg(F.sum("n").alias("n")),
+        taken.mapInArrow(_count, _COUNTS).groupBy("kind", "item", "gram", "lang").agg(F.sum("n").alias("n")),
         "langid-counts",
     )
     sums = counted.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()
     langs = sorted({r["lang"] for r in sums})
     at = {lang: i for i, lang in enumerate(langs)}
     total = {(r["kind"], at[r["lang"]]): r["n"] for r in sums}
-    kept = counted.join(_most(counted, max(max_words, max_grams), MIN_COUNT), ["kind", "item"])
-    found: dict[int, dict[str, np.ndarray]] = {0: {}, **{n: {} for n in ORDERS}}
-    for r in kept.groupBy("kind", "item").agg(F.collect_list(F.struct("lang", "n")).alias("by")).toLocalIterator():
-        row = found[r["kind"]].setdefault(r["item"], np.zeros(len(langs)))
-        for lang, n in r["by"]:
-            row[at[lang]] += n
-    for kind, items in found.items():
+    most = _most(counted, max_words, max_grams, MIN_COUNT).alias("k")
+    same = [F.col(f"c.{x}").eqNullSafe(F.col(f"k.{x}")) for x in ("kind", "item", "gram")]
+    kept = counted.alias("c").join(most, reduce(lambda a, b: a & b, same), "left_semi")
+    wide = kept.groupBy("kind", "item", "gram").pivot("lang", langs).agg(F.sum("n")).fillna(0).toArrow() if langs else None
+    found: dict[int, tuple] = {}
+    for kind in (0, *ORDERS):
+        rows = wide.filter(pc.equal(wide["kind"], kind)) if langs else None
+        items = rows["gram"].to_numpy().view(np.uint64) if kind and langs else rows["item"].to_pylist() if langs else np.empty(0, np.uint64)
+        counts = np.stack([rows[lang].to_numpy() for lang in langs], axis=1) if langs else np.zeros((0, 0))
         base = np.array([total.get((kind, i), 0) for i in range(len(langs))], float) + ALPHA * (len(items) + 1)
-        for item, row in items.items():
-            logs = np.log((row + ALPHA) / base)
-            items[item] = (logs - logs.mean()).astype(np.float32)  # what sets languages apart
+        logs = np.log((counts + ALPHA) / base)
+        found[kind] = items, logs - logs.sum(axis=1, keepdims=True) / max(1, len(langs))  # what sets languages apart
     words = found.pop(0)
     return Model(langs, words, found)
 
@@ -206,12 +257,14 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in batches:
-            out = [predict(scorer, t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x for x, _ in out], pa.string()), pa.array([x for _, x in out], pa.float64())],
-                names=["doc_id", "lang_pred", "score"],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(at, TEXTS)
+                out = predict(scorer, batch.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([x for x, _ in out], pa.string()), pa.array([x for _, x in out], pa.float64())],
+                    names=["doc_id", "lang_pred", "score"],
+                )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
