@@ -157,7 +157,7 @@ def test_custom_metric_and_guards(spark):
     assert r["max_abs"] == 2.0 and math.isnan(r["broken"]) and r["rmse"] > 0
     ins = {r["g"]: r["skipped_reason"] for r in PR.insufficient(
         spark.createDataFrame([("a",), ("a",), ("b",)], "g string"), ["g"], 2).collect()}
-    assert ins == {"a": None, "b": "insufficient data after preprocessing"}
+    assert ins == {"a": None, "b": "too few rows for a train, validation and test part"}
 
 
 def test_order_uniqueness_check(spark):

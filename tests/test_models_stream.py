@@ -120,7 +120,7 @@ def test_select_filters():
     assert FL.select_filters("bogus") == list(FL.FILTERS)
 
 
-def test_stream_drops_late_rows(spark):
+def test_stream_marks_late_rows_and_keeps_ties(spark):
     import datetime as dt
     import time as _time
     import uuid
@@ -132,6 +132,7 @@ def test_stream_drops_late_rows(spark):
     t0 = dt.datetime(2024, 1, 1)
     first = [(1, t0 + dt.timedelta(minutes=i), i, float(v)) for i, v in enumerate([1.0, 2.0, 3.0])]
     second = [(1, t0 + dt.timedelta(minutes=1, seconds=30), 10, 100.0),  # late: older than minute 2
+              (1, t0 + dt.timedelta(minutes=2), 11, 3.5),  # at the last processed time: not late
               (1, t0 + dt.timedelta(minutes=3), 3, 4.0)]
     schema = "user_id long, ts timestamp, event_id long, value double"
     spark.createDataFrame(first, schema).coalesce(1).write.mode("append").parquet(folder)
@@ -139,9 +140,10 @@ def test_stream_drops_late_rows(spark):
     spark.createDataFrame(second, schema).coalesce(1).write.mode("append").parquet(folder)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
     out = run_to_table(spark, kalman_stream(stream, "user_id", "ts", "value", carry=("event_id",)), "late")
-    got = {r["event_id"]: r["value_f"] for r in out.collect()}
-    assert 10 not in got and sorted(got) == [0, 1, 2, 3]
-    np.testing.assert_allclose([got[i] for i in range(4)], refimpl_kalman([1.0, 2.0, 3.0, 4.0]))
+    rows = {r["event_id"]: r for r in out.collect()}
+    assert sorted(rows) == [0, 1, 2, 3, 10, 11]
+    assert [i for i, r in rows.items() if r["late"]] == [10] and rows[10]["value_f"] is None
+    assert [rows[i]["value_f"] for i in (0, 1, 2, 11, 3)] == pytest.approx(list(refimpl_kalman([1.0, 2.0, 3.0, 3.5, 4.0])))
 
 
 def refimpl_kalman(x):

@@ -68,6 +68,3 @@ EARLY_STOP_PATIENCE = 10
 LR_PATIENCE = 5
 LR_FACTOR = 0.5
 LR_FLOOR = 1e-6
-
-# Metrics for which a larger value is better (ranking direction).
-HIGHER_IS_BETTER = ("R2", "Corr", "samples_within_5percent", "samples_within_10percent")

@@ -7,11 +7,10 @@ most a few thousand numbers; they are embedded in plans as literals.
 from __future__ import annotations
 
 import functools
+import math
 
 import numpy as np
 
-_MAX_GAIN_STEPS = 1_000_000
-
 
 def savgol_params(window: int, polyorder: int) -> tuple[int, int]:
     """Parameter repair: too-small windows grow past the order, even windows grow by one."""
@@ -51,52 +50,55 @@ def gaussian_weights(sigma: float, truncate: float = 4.0) -> tuple[float, ...]:
     return tuple(float(v) for v in w)
 
 
-@functools.lru_cache(maxsize=64)
-def kalman_gains(process_variance: float, measurement_variance: float) -> tuple[tuple[float, ...], float]:
-    """Gain schedule of the scalar random-walk Kalman filter.
+KEEP_FLOOR = 1e-16  # share of the old state that a step keeps at least: a reset, to double precision
+
 
-    The gain of step ``i`` (``i >= 1``) does not depend on the data. Returns
-    ``(gains, k_inf)`` where ``gains[i - 1]`` is the gain of step ``i`` until the
-    recursion stops changing in double precision and ``k_inf`` is the constant
-    gain from then on.
+@functools.lru_cache(maxsize=64)
+def kalman_riccati(process_variance: float, measurement_variance: float) -> tuple[float, float, float, float]:
+    """Closed form of the scalar random-walk filter's error variance.
+
+    One step maps the variance ``p`` to ``r (p + q) / (p + q + r)``, a Moebius map with
+    fixed points ``p+ >= 0 >= p-``. In the coordinate ``u = (p - p+) / (p - p-)`` a step is a
+    multiplication, so ``p_i = p- + (p+ - p-) / (1 - u_0 rate**i)``. Returns ``(p-, span,
+    u_0, log rate)`` for the start ``p_0 = 1``; needs ``q > 0`` and ``r > 0``. Where the fixed
+    points nearly meet, ``1 - u_0`` is ``span / (1 - p-)``: use that for ``log u_0``.
     """
     q, r = float(process_variance), float(measurement_variance)
-    if r <= 0:
-        raise ValueError("measurement_variance must be positive")
-    p = 1.0
-    gains: list[float] = []
-    prev = None
-    for _ in range(_MAX_GAIN_STEPS):
-        pm = p + q
-        k = pm / (pm + r)
-        p = (1.0 - k) * pm
-        if prev is not None and k == prev:
-            break
-        gains.append(k)
-        prev = k
-    return tuple(gains), float(gains[-1])
-
-
-def kalman_block_rows(gains: tuple[float, ...], k_inf: float, limit: int = 512, max_mass: float = 600.0) -> int:
+    span = math.sqrt(q * q + 4.0 * q * r)
+    low, high = (-q - span) / 2.0, (-q + span) / 2.0
+    return low, span, (1.0 - high) / (1.0 - low), math.log1p(max(-span / (r - low), KEEP_FLOOR - 1.0))
+
+
+def kalman_gain(step: int, process_variance: float, measurement_variance: float) -> float:
+    """Gain of step ``step >= 1`` (the Column form is in the Kalman operator)."""
+    q, r = float(process_variance), float(measurement_variance)
+    if r == 0:
+        return 1.0
+    if q == 0:
+        return 1.0 / (r + step)
+    low, span, u0, log_rate = kalman_riccati(q, r)
+    grown = -math.expm1(math.log1p(-span / (1.0 - low)) + (step - 1) * log_rate) if u0 > 0 else 1.0 - u0 * math.exp((step - 1) * log_rate)
+    p = low + span / grown + q
+    return p / (p + r)
+
+
+def kalman_block_rows(process_variance: float, measurement_variance: float, limit: int = 512, max_mass: float = 600.0) -> int:
     """Largest power-of-two block (<= limit) whose summed ``|log(1 - k)|`` stays below ``max_mass``.
 
-    Keeps ``exp(-sum log(1 - k))`` inside double range for the in-block closed form.
+    Keeps ``exp(-sum log(1 - k))`` inside double range for the in-block closed form. The
+    gains are monotone in the step, so the worst block is the first or a settled one.
     """
-    logs = np.abs(np.log1p(-np.asarray(gains, dtype=np.float64)))
-    tail = float(abs(np.log1p(-k_inf)))
+    first = [-kalman_log_keep(kalman_gain(i, process_variance, measurement_variance)) for i in range(1, limit + 1)]
+    settled = -kalman_log_keep(kalman_gain(1 << 40, process_variance, measurement_variance))
     size = limit
-    while size > 1 and _worst_block_mass(logs, tail, size) > max_mass:
+    while size > 1 and max(sum(first[:size]), size * settled) > max_mass:
         size //= 2
     return size
 
 
-def _worst_block_mass(logs: np.ndarray, tail: float, size: int) -> float:
-    # step i (>= 1) sits at row i; blocks hold rows [b*size, (b+1)*size)
-    full = np.concatenate([[0.0], logs, [tail] * size])
-    worst = 0.0
-    for start in range(0, len(logs) + 1, size):
-        worst = max(worst, float(full[start : start + size].sum()))
-    return worst
+def kalman_log_keep(k: float) -> float:
+    """``log(1 - k)``, floored so that a gain of 1 (a reset to the measurement) is finite."""
+    return math.log(max(1.0 - k, KEEP_FLOOR)) if k > 0.5 else math.log1p(-k)
 
 
 def median_kernel(kernel_size: int) -> int:

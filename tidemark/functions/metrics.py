@@ -4,6 +4,9 @@ Every builder returns an aggregate Column, so any set of metrics is computed in
 one ``groupBy(...).agg(...)`` pass with partial (map-side) aggregation. Guards
 replace the exceptions and warnings of the NumPy versions: division by zero,
 constant inputs and empty masks give the documented NaN / inf / 0 / 1 values.
+
+One mask holds for every metric: a row counts if label and prediction are both
+present. A missing prediction is no prediction, not a prediction of 0. NaN is a value.
 """
 
 from __future__ import annotations
@@ -24,6 +27,16 @@ def INF():
     return F.lit(float("inf"))
 
 
+def present(y: Column, p: Column) -> Column:
+    """Whether a row counts: label and prediction are there."""
+    return y.isNotNull() & p.isNotNull()
+
+
+def both(y: Column, p: Column) -> tuple[Column, Column]:
+    """Label and prediction, null together."""
+    return F.when(p.isNotNull(), y), F.when(y.isNotNull(), p)
+
+
 def _e(y: Column, p: Column) -> Column:
     return y - p
 
@@ -43,6 +56,7 @@ def mae(y, p):
 
 def r2(y, p):
     """1 - SS_res / SS_tot; constant target gives 1 (perfect) or 0; fewer than 2 rows NaN."""
+    y, p = both(y, p)
     e = _e(y, p)
     ss_res = F.sum(e * e)
     ss_tot = F.var_pop(y) * F.count(y)
@@ -66,7 +80,9 @@ def mape_unmasked(y, p):
 
 def msle(y, p):
     """Mean squared log error after clamping both sides at 0."""
-    d = F.log1p(F.greatest(y, F.lit(0.0))) - F.log1p(F.greatest(p, F.lit(0.0)))
+    y, p = both(y, p)
+    # greatest() skips nulls: the mask must stand outside it
+    d = F.when(present(y, p), F.log1p(F.greatest(y, F.lit(0.0))) - F.log1p(F.greatest(p, F.lit(0.0))))
     return F.coalesce(F.avg(d * d), INF())
 
 
@@ -82,6 +98,7 @@ def relative_error(y, p):
 
 def corr(y, p):
     """Pearson correlation; NaN for constant input or fewer than 2 rows."""
+    y, p = both(y, p)
     vy, vp = F.var_pop(y), F.var_pop(p)
     return F.when((F.count(y) < 2) | (vy == 0) | (vp == 0), NAN()).otherwise(
         F.covar_pop(y, p) / (F.sqrt(vy) * F.sqrt(vp))
@@ -90,7 +107,7 @@ def corr(y, p):
 
 def corr_or_zero(y, p):
     """Evaluator variant: 0.0 with fewer than 2 rows, NaN for constant input."""
-    return F.when(F.count(y) < 2, F.lit(0.0)).otherwise(corr(y, p))
+    return F.when(F.count(both(y, p)[0]) < 2, F.lit(0.0)).otherwise(corr(y, p))
 
 
 def within_ratio(limit: float):
@@ -169,11 +186,12 @@ def metric_columns(y: Column, p: Column, names=SUMMARY_METRICS) -> list[Column]:
 
 
 def quality_band(metric: str, value: Column) -> Column:
-    """good / ok / bad labels used when printing metrics."""
+    """good / ok / bad labels used when printing metrics. Spark holds NaN for the largest
+    value, so it is named: NaN error is bad, NaN R2 or correlation neither good nor bad."""
     m = metric.lower()
     if m in ("mape", "relerr", "mape_unmasked"):
-        return F.when(value < 10, "good").otherwise("bad")
+        return F.when(F.isnan(value) | value.isNull(), "bad").when(value < 10, "good").otherwise("bad")
     if m in ("corr", "corr_or_zero", "r2"):
         hi, lo = (0.9, 0.7) if m.startswith("corr") else (0.9, 0.5)
-        return F.when(value > hi, "good").when(value < lo, "bad").otherwise("ok")
+        return F.when(F.isnan(value), "ok").when(value > hi, "good").when(value < lo, "bad").otherwise("ok")
     return F.lit(None).cast("string")

@@ -28,23 +28,14 @@ def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction"
     y, p = qcol(label).cast("double"), qcol(prediction).cast("double")
     cols = M.metric_columns(y, p, metrics)
     g = df.groupBy(*[qcol(c) for c in group]) if group else df
-    return g.agg(F.count(F.lit(1)).alias("sample_count"), *cols)
+    return g.agg(F.count_if(M.present(y, p)).alias("sample_count"), *cols)
 
 
-# Groups up to this many rows use Spark's exact in-memory percentile.
-EXACT_GROUP_ROWS = 2_000_000
-
-
-def _abs_error_quantiles(df: DataFrame, y, p, group: list[str], method: str, max_group_rows: int | None = None) -> DataFrame:
+def _abs_error_quantiles(df: DataFrame, y, p, group: list[str], method: str) -> DataFrame:
     qs = (0.25, 0.5, 0.75)
     a = F.abs(y - p)
+    df = df.where(a.isNotNull())  # rows without an error have no rank
     g = df.groupBy(*[qcol(c) for c in group]) if group else df
-    if method == "auto":
-        # size check: the exact aggregate holds a whole group in one task's memory
-        if max_group_rows is None:
-            cnt = df.groupBy(*[qcol(c) for c in group]).count() if group else df.groupBy().count()
-            max_group_rows = int(cnt.agg(F.max("count")).first()[0] or 0)
-        method = "exact" if max_group_rows <= EXACT_GROUP_ROWS else "rank"
     if method == "exact":
         # Spark's exact percentile keeps every distinct value of a group in memory.
         pct = F.percentile(a, list(qs))
@@ -55,8 +46,9 @@ def _abs_error_quantiles(df: DataFrame, y, p, group: list[str], method: str, max
     # "rank": exact linear-interpolated quantiles by distributed ranking. The
     # absolute errors are range-partitioned per group (a hot group spreads over
     # many tasks), numbered, and only the few rows at the needed ranks are kept.
-    keyed = df.select(*[qcol(c) for c in group], a.alias("_ae"))
-    ranked = with_index(keyed, SeriesSpec(keys=tuple(group), order=("_ae",), chunk_rows=1 << 20))
+    # The row number breaks ties, so a value that most rows share spreads as well.
+    keyed = df.select(*[qcol(c) for c in group], a.alias("_ae"), F.monotonically_increasing_id().alias("_tie"))
+    ranked = with_index(keyed, SeriesSpec(keys=tuple(group), order=("_ae", "_tie"), chunk_rows=1 << 20))
     names = ("error_q1", "abs_error_median", "error_q3")
     idx = F.col(IDX)
     spots = [(n, F.lit(q) * (F.col(N) - 1)) for q, n in zip(qs, names)]
@@ -74,9 +66,23 @@ def _abs_error_quantiles(df: DataFrame, y, p, group: list[str], method: str, max
     return (picked.groupBy(*[qcol(c) for c in group]) if group else picked).agg(*aggs)
 
 
-def error_stats(df: DataFrame, label="label", prediction="prediction", group=(), quantiles: str = "auto",
-                max_group_rows: int | None = None) -> DataFrame:
-    """Error distribution per group (population std, linear-interpolated quartiles)."""
+def _join_groups(left: DataFrame, right: DataFrame, group: list[str]) -> DataFrame:
+    """Left join of two tables with one row per group; a null group meets itself."""
+    names = [f"_g{i}" for i in range(len(group))]
+    right = right.select(*[qcol(c).alias(n) for c, n in zip(group, names)], *[qcol(c) for c in right.columns if c not in group])
+    same = F.lit(True)
+    for c, n in zip(group, names):
+        same = same & left[f"`{c}`"].eqNullSafe(F.col(n))
+    return left.join(right, same, "left").drop(*names)
+
+
+def error_stats(df: DataFrame, label="label", prediction="prediction", group=(), quantiles: str = "rank") -> DataFrame:
+    """Error distribution per group (population std, linear-interpolated quartiles).
+
+    Rows whose label or prediction is missing do not count; a null group is a group.
+    ``quantiles``: ``rank`` (distributed, any group size), ``exact`` (Spark's percentile:
+    the distinct errors of a group in one task's memory) or ``approx``; the first two agree.
+    """
     y, p = qcol(label).cast("double"), qcol(prediction).cast("double")
     e = y - p
     g = df.groupBy(*[qcol(c) for c in group]) if group else df
@@ -88,25 +94,25 @@ def error_stats(df: DataFrame, label="label", prediction="prediction", group=(),
         F.min(F.abs(e)).alias("error_min"),
         M.within_ratio(0.05)(y, p).alias("samples_within_5percent"),
         M.within_ratio(0.10)(y, p).alias("samples_within_10percent"),
-        F.count(F.lit(1)).alias("sample_count"),
+        F.count_if(M.present(y, p)).alias("sample_count"),
     )
-    q = _abs_error_quantiles(df, y, p, list(group), quantiles, max_group_rows)
+    q = _abs_error_quantiles(df, y, p, list(group), quantiles)
     if group:
-        out = base.join(q, on=list(group), how="left")
+        out = _join_groups(base, q, list(group))
     else:  # two one-row aggregates: equi-join on a constant key
         out = base.withColumn("_one", F.lit(1)).join(q.withColumn("_one", F.lit(1)), "_one", "left")
     return out.select(*[qcol(c) for c in group], *ERROR_STATS, "sample_count")
 
 
 def evaluation_report(df: DataFrame, label="label", prediction="prediction", group=("filter_type",),
-                      metrics=M.SUMMARY_METRICS, quantiles: str = "auto", max_group_rows: int | None = None) -> DataFrame:
+                      metrics=M.SUMMARY_METRICS, quantiles: str = "rank") -> DataFrame:
     """Per group ``metrics`` and ``error_stats`` structs plus ``sample_count``."""
     met = evaluate(df, label, prediction, group, metrics).drop("sample_count")
     names = [M.column_name(m) for m in metrics]
     met = met.select(*[qcol(c) for c in group], *[F.col(n).alias(f"_m_{n}") for n in names])
-    st = error_stats(df, label, prediction, group, quantiles, max_group_rows)
+    st = error_stats(df, label, prediction, group, quantiles)
     if group:
-        joined = met.join(st, on=list(group), how="inner")
+        joined = _join_groups(met, st, list(group))
     else:
         joined = met.withColumn("_one", F.lit(1)).join(st.withColumn("_one", F.lit(1)), "_one")
     return joined.select(

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from tidemark import config
 from tidemark.operators.filters import numeric, qcol
 from tidemark.operators.index import IDX, N, SeriesSpec, drop_halo, expand_halo, resolve, with_index
+from tidemark.session import written
 
 _EPS64 = 2.220446049250313e-16
-BROADCAST_ROWS = 2_000_000
 
 
 def _stats_exprs(columns, kind: str) -> dict[str, Column]:
@@ -61,14 +61,20 @@ def fit_scaler(df: DataFrame, columns, kind: str = "standard", group=(), where:
 
 
 def apply_scaler(df: DataFrame, params: DataFrame, columns, kind: str = "standard", group=()) -> DataFrame:
-    """Scale ``columns`` in place with a parameter table from :func:`fit_scaler`."""
-    if params.count() <= BROADCAST_ROWS:
-        params = F.broadcast(params)
+    """Scale ``columns`` in place with a parameter table from :func:`fit_scaler`.
+
+    A null group key has parameters of its own. How to join is left to Spark, which
+    knows the table's bytes.
+    """
+    params = written(params, "scaler")
     if group:
-        joined = df.join(params, on=list(group), how="left")
+        names = [f"_sg{i}" for i in range(len(group))]
+        params = params.select(*[qcol(c).alias(n) for c, n in zip(group, names)], *[qcol(c) for c in params.columns if c not in group])
+        same = reduce(lambda a, b: a & b, [df[f"`{c}`"].eqNullSafe(F.col(n)) for c, n in zip(group, names)])
+        joined = df.join(params, same, "left").drop(*names)
     else:
         joined = df.withColumn("_one", F.lit(1)).join(params.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
-    helper = [c for c in params.columns if c not in group]
+    helper = [c for c in params.columns if c not in group and c in joined.columns]
     return joined.withColumns({c: _scaled(c, kind) for c in columns}).drop(*helper)
 
 

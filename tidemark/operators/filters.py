@@ -280,7 +280,7 @@ def create_filter(filter_type: str | SmoothingFilter, **params) -> SmoothingFilt
         return filter_type
     cls = FILTERS.get(str(filter_type).lower())
     if cls is None:
-        raise ValueError(f"Unknown filter type: {filter_type}")
+        raise ValueError(f"no filter named {filter_type!r}; there are {', '.join(FILTERS)}")
     return cls(**params)
 
 
@@ -293,6 +293,27 @@ def select_filters(names) -> list[str]:
     return known or list(FILTERS)
 
 
+def usable_filters(filters) -> tuple[list[tuple[str, SmoothingFilter]], list[tuple[str, str]]]:
+    """``(label, filter)`` pairs of the filters that can be made, and ``(label, reason)``
+    of those that cannot: one bad name or parameter does not stop the others."""
+    good, bad = [], []
+    for f in filters:
+        label, what = f if isinstance(f, tuple) else (None, f)
+        try:
+            obj = create_filter(what)
+            good.append((label or obj.name, obj))
+        except Exception as exc:  # noqa: BLE001 - the reason is kept
+            bad.append((str(label or what), f"{type(exc).__name__}: {exc}"))
+    return good, bad
+
+
+def filter_status(spark, filters=config.FILTERS_TO_COMPARE) -> DataFrame:
+    """``filter_type, run_order, skipped_reason`` (null: it runs) for a list of filters."""
+    good, bad = usable_filters(filters)
+    rows = [(label, i, None) for i, (label, _) in enumerate(good)] + [(label, None, reason) for label, reason in bad]
+    return spark.createDataFrame(rows, "filter_type string, run_order int, skipped_reason string")
+
+
 def present_columns(df: DataFrame, columns) -> list[str]:
     """Keep the requested columns that exist (missing ones are skipped)."""
     have = set(df.columns)
@@ -397,7 +418,8 @@ def filters_long(
     ``carry`` lists extra columns to keep (keys and order are always kept). With
     ``include_original`` each output row also holds ``<column>__original``.
     """
-    names = [create_filter(f).name if not isinstance(f, tuple) else f[0] for f in filters]
+    filters, _ = usable_filters(filters)  # the reasons of the others: filter_status
+    names = [label for label, _ in filters]
     cols = present_columns(df, columns)
     keep = list(dict.fromkeys([*spec.keys, *spec.order, *carry]))
     # only the needed columns go through the index (and its checkpoint when chunked)
@@ -431,7 +453,8 @@ def compare_filter_effects(
     Computed in one aggregation over the long form; ``by_series`` adds the keys.
     """
     cols = present_columns(df, columns)
-    names = [create_filter(f).name if not isinstance(f, tuple) else f[0] for f in filters]
+    filters, _ = usable_filters(filters)
+    names = [label for label, _ in filters]
     df = df.select(*[qcol(c) for c in dict.fromkeys([*spec.keys, *spec.order, *cols])])
     wide = apply_filters(df, spec, filters, cols)
     m = metric.lower()

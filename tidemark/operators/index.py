@@ -21,15 +21,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, written
 
 IDX = "_idx"
 N = "_n"
 CHUNK = "_chunk"
 OWNER = "_owner"
 
-# Offset tables up to this many rows are broadcast; above it the join shuffles.
-BROADCAST_ROWS = 2_000_000
 # chunk_rows="auto": a series longer than this is processed in halo chunks.
 AUTO_CHUNK_ABOVE = 4_000_000
 AUTO_CHUNK_ROWS = 1 << 20
@@ -133,8 +131,10 @@ def range_partitions(df: DataFrame) -> int:
     floor = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size >= 1 << 60:  # no estimate (local rows, checkpoints): the configured count
+            return floor
         target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
-        return int(min(max(floor, -(-size // max(target, 1))), 1_000_000))
+        return int(max(floor, -(-size // max(target, 1))))
     except Exception:  # noqa: BLE001 - no estimate: fall back to the configured count
         return floor
 
@@ -169,12 +169,11 @@ def _range_index(df: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, int]:
         (F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_c")).alias("_off"),
         F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(N),
     )
-    # One row per (partition, key present in it): kept (small) so the size check
-    # and the join below share one computation; size checked before broadcasting.
-    parts = parts.persist()
-    size = parts.agg(F.count(F.lit(1)).alias("rows"), F.max(N).alias("longest")).first()
-    if size["rows"] <= BROADCAST_ROWS:
-        parts = F.broadcast(parts)
+    # One row per (partition, key present in it): written, so that the length below and
+    # the join share one computation. The join's strategy is left to Spark, which
+    # knows the bytes: it broadcasts a small table and shuffles (and splits) a large one.
+    parts = written(parts, "offsets")
+    size = parts.agg(F.max(N).alias("longest")).first()
     cond = [F.col("_pid") == F.col("_qpid")] + [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, kalias)]
     out = ranged.join(parts, on=cond, how="inner")
     out = out.withColumn(IDX, F.col("_off") + F.col("_pos") - F.col("_p0"))
@@ -220,39 +219,13 @@ def shift(x: Column, offset: int, spec: SeriesSpec, default=None) -> Column:
     return F.lag(x, -offset, default).over(w)
 
 
-_LEN_MEMO: dict = {}
-
-
-def _plan_key(df: DataFrame, spec: SeriesSpec):
-    """Identity of a deterministic input plan (canonical plan hash and its files)."""
-    try:
-        plan = df._jdf.queryExecution().analyzed()
-        if not plan.deterministic():
-            return None
-        return (plan.semanticHash(), tuple(spec.keys), tuple(sorted(df.inputFiles())))
-    except Exception:  # noqa: BLE001 - no memo when the plan cannot be identified
-        return None
-
-
 def max_series_length(df: DataFrame, spec: SeriesSpec) -> int:
-    """Longest series (one small aggregate job, partial aggregation first).
-
-    Remembered per session for a deterministic input plan over the same files, so
-    several operators on one input measure it once.
-    """
-    key = _plan_key(df, spec)
-    if key is not None and key in _LEN_MEMO:
-        return _LEN_MEMO[key]
+    """Longest series (one small aggregate job, partial aggregation first). Measured on
+    every call: give ``max_len`` in the spec to save it."""
     if not spec.keys:
-        value = int(df.count())
-    else:
-        row = df.groupBy(*spec.keys).count().agg(F.max("count")).first()
-        value = int(row[0] or 0)
-    if key is not None:
-        if len(_LEN_MEMO) > 256:
-            _LEN_MEMO.clear()
-        _LEN_MEMO[key] = value
-    return value
+        return int(df.count())
+    row = df.groupBy(*spec.keys).count().agg(F.max("count")).first()
+    return int(row[0] or 0)
 
 
 def check_unique_order(df: DataFrame, spec: SeriesSpec) -> None:

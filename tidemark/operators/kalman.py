@@ -19,27 +19,40 @@ gain schedule still advances by row position.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import kernels
 from tidemark.operators.index import IDX, N, SeriesSpec, max_series_length
+from tidemark.session import written
 
 FOLD_ROWS = 4096
-BROADCAST_ROWS = 2_000_000
 
 
-def _gain(step, gains, k_inf, df):
-    """Gain of a step column: a small broadcast table (one row per step until the
-    gain converges, a proven bound), constant after convergence."""
-    g = len(gains)
-    spark = df.sparkSession
-    tbl = spark.createDataFrame(pd.DataFrame({"_gstep": np.arange(1, g + 1, dtype=np.int64), "_gk": np.asarray(gains, dtype=np.float64)}))
-    df = df.join(F.broadcast(tbl), F.least(step, F.lit(g)) == F.col("_gstep"), "left").drop("_gstep")
-    return df, F.when(step <= g, F.col("_gk")).otherwise(F.lit(k_inf))
+def gain_column(step: Column, process_variance: float, measurement_variance: float) -> Column:
+    """Gain of a step column (1, 2, ...) in closed form: no table, any length."""
+    q, r = float(process_variance), float(measurement_variance)
+    if q < 0 or r < 0:
+        raise ValueError("variances must not be negative")
+    if r == 0:
+        return F.lit(1.0)  # exact measurements: every one resets the state
+    if q == 0:
+        return F.lit(1.0) / (F.lit(r) + step)
+    low, span, u0, log_rate = kernels.kalman_riccati(q, r)
+    i = step.cast("double") - 1
+    grown = -F.expm1(F.lit(math.log1p(-span / (1.0 - low))) + i * log_rate) if u0 > 0 else F.lit(1.0) - F.lit(u0) * F.exp(i * log_rate)
+    p = F.lit(low + q) + F.lit(span) / grown
+    return p / (p + r)
+
+
+def _log_keep(k: Column) -> Column:
+    """``log(1 - k)``, floored where the gain is 1 (see ``kernels.kalman_log_keep``)."""
+    return F.when(k > 0.5, F.log(F.greatest(F.lit(1.0) - k, F.lit(kernels.KEEP_FLOOR)))).otherwise(F.log1p(-k))
 
 
 def kalman_columns(
@@ -53,8 +66,7 @@ def kalman_columns(
     """Add Kalman-filtered columns ``{output: source}`` to an indexed frame (``_idx``, ``_n``)."""
     from tidemark.operators.filters import numeric
 
-    gains, k_inf = kernels.kalman_gains(process_variance, measurement_variance)
-    block = kernels.kalman_block_rows(gains, k_inf)
+    block = kernels.kalman_block_rows(process_variance, measurement_variance)
     if spec.chunked:
         # keep blocks inside chunks so the block window reuses the chunk shuffle
         block = min(block, spec.rows_per_chunk)
@@ -65,18 +77,16 @@ def kalman_columns(
     single = max_len <= block
 
     idx = F.col(IDX)
-    df, k = _gain(idx, gains, k_inf, df)
+    k = gain_column(idx, process_variance, measurement_variance)
     names = list(outputs)
     tmp = {}
     for i, (out, src) in enumerate(outputs.items()):
         z = numeric(src)
         ok = z.isNotNull() & (idx >= 1)
         tmp[f"_kz{i}"] = z
-        tmp[f"_ka{i}"] = F.when(ok, F.log1p(-k)).otherwise(F.lit(0.0))
+        tmp[f"_ka{i}"] = F.when(ok, _log_keep(k)).otherwise(F.lit(0.0))
         tmp[f"_kb{i}"] = F.when(ok, k * z).otherwise(F.lit(0.0))
     df = df.withColumns(tmp)
-    if "_gk" in df.columns:
-        df = df.drop("_gk")
 
     blk_keys = list(spec.keys) + (["_chunk"] if spec.chunked else [])
     df = df.withColumn("_kblk", F.lit(0).cast("long") if single else F.floor(idx / F.lit(block)).cast("long"))
@@ -110,15 +120,16 @@ def _join_carries(df: DataFrame, spec: SeriesSpec, ncols: int) -> DataFrame:
             F.max_by(F.exp(F.col(f"_kg{i}")) * F.col(f"_ks{i}"), F.col(IDX)).alias(f"C{i}"),
             F.min_by(F.col(f"_kz{i}"), F.when(F.col(f"_kz{i}").isNotNull(), F.col(IDX))).alias(f"Z{i}"),
         ]
-    # one row per block (1/B of the data): kept so the size checks and the carry
+    # one row per block (1/B of the data): written so that the length check and the carry
     # fold read it once instead of recomputing the block windows
-    blocks = df.groupBy(*keys, F.col("_kblk").alias("pos")).agg(*aggs).persist()
-    sizes: dict = {}
-    carries = block_carries(blocks, keys, ncols, sizes)
-    carries = carries.select(*keys, F.col("pos").alias("_kblk"), *[F.col(f"X{i}").alias(f"_kc{i}") for i in range(ncols)])
-    if sizes.get("total", BROADCAST_ROWS + 1) <= BROADCAST_ROWS:  # one row per block, counted already
-        carries = F.broadcast(carries)
-    return df.join(carries, on=keys + ["_kblk"], how="left")
+    blocks = written(df.groupBy(*keys, F.col("_kblk").alias("pos")).agg(*aggs), "kalman-blocks")
+    carries = written(block_carries(blocks, keys, ncols), "kalman-carries")
+    named = [F.col(f"`{c}`").alias(f"_kk{i}") for i, c in enumerate(keys)]
+    carries = carries.select(*named, F.col("pos").alias("_kpos"), *[F.col(f"X{i}").alias(f"_kc{i}") for i in range(ncols)])
+    same = F.col("_kblk") == F.col("_kpos")
+    for i, c in enumerate(keys):  # a null key is a series of its own
+        same = same & df[f"`{c}`"].eqNullSafe(F.col(f"_kk{i}"))
+    return df.join(carries, same, "left")
 
 
 def _fold_schema(keys_schema: list[T.StructField], ncols: int, with_pos: str) -> T.StructType:
@@ -128,7 +139,7 @@ def _fold_schema(keys_schema: list[T.StructField], ncols: int, with_pos: str) ->
     return T.StructType(fields)
 
 
-def block_carries(blocks: DataFrame, keys: list[str], ncols: int, sizes: dict | None = None) -> DataFrame:
+def block_carries(blocks: DataFrame, keys: list[str], ncols: int) -> DataFrame:
     """For a table ``(keys, pos, L_i, C_i, Z_i)`` of affine maps ``x -> exp(L) x + C``
     return ``(keys, pos, X_i)``: the state entering each map, seeded with the first
     non-null ``Z`` of the series. Groups never exceed ``FOLD_ROWS`` rows."""
@@ -143,10 +154,7 @@ def block_carries(blocks: DataFrame, keys: list[str], ncols: int, sizes: dict |
         return out
 
     per_series = blocks.groupBy(*keys).count() if keys else blocks.groupBy().count()
-    stat = per_series.agg(F.max("count").alias("longest"), F.sum("count").alias("total")).first()
-    longest = int(stat["longest"] or 0)
-    if sizes is not None:
-        sizes["total"] = int(stat["total"] or 0)
+    longest = int(per_series.agg(F.max("count")).first()[0] or 0)
     out_schema = T.StructType(list(key_fields) + [T.StructField("pos", T.LongType())] + [T.StructField(f"X{i}", T.DoubleType()) for i in range(ncols)])
 
     if longest <= FOLD_ROWS:
@@ -182,11 +190,15 @@ def block_carries(blocks: DataFrame, keys: list[str], ncols: int, sizes: dict |
             res[f"Z{i}"] = [float(z.iloc[0]) if len(z) else np.nan]
         return pd.DataFrame(res)
 
-    supers = sup.groupBy(*keys, "_sup").applyInPandas(fold, fold_schema).persist()
+    supers = written(sup.groupBy(*keys, "_sup").applyInPandas(fold, fold_schema), "kalman-supers")
     sup_carry = block_carries(supers, keys, ncols).select(
-        *keys, F.col("pos").alias("_sup"), *[F.col(f"X{i}").alias(f"_S{i}") for i in range(ncols)]
+        *[F.col(f"`{c}`").alias(f"_sk{i}") for i, c in enumerate(keys)],
+        F.col("pos").alias("_spos"), *[F.col(f"X{i}").alias(f"_S{i}") for i in range(ncols)],
     )
-    joined = sup.join(sup_carry, on=keys + ["_sup"], how="left")
+    same = F.col("_sup") == F.col("_spos")
+    for i, c in enumerate(keys):
+        same = same & sup[f"`{c}`"].eqNullSafe(F.col(f"_sk{i}"))
+    joined = sup.join(sup_carry, same, "left").drop("_spos", *[f"_sk{i}" for i in range(len(keys))])
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
@@ -219,7 +231,7 @@ def kalman_pandas(df: DataFrame, spec: SeriesSpec, column: str, output: str,
         for i, v in enumerate(z):
             if i >= 1:
                 pm = p + q
-                k = pm / (pm + r)
+                k = pm / (pm + r) if r > 0 else 1.0
                 p = (1.0 - k) * pm
             if np.isnan(v):
                 continue

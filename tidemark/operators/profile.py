@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.filters import qcol
-from tidemark.operators.index import IDX, SeriesSpec, resolve, with_index
-
-BROADCAST_ROWS = 2_000_000
+from tidemark.operators.index import IDX, N, SeriesSpec, resolve, with_index
+from tidemark.session import written
 
 _WIDTH = {
     T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4,
@@ -170,7 +169,7 @@ def size_saving(profile: DataFrame) -> DataFrame:
 def optimize(df: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """Apply the downcasts. Category columns become dense codes in sorted value
     order; the dictionary is numbered with the distributed range index and joined
-    back (broadcast only when its checked size is small)."""
+    back (Spark picks the join by its bytes)."""
     prof = profile if profile is not None else downcast_profile(df)
     decisions = {r["column"]: (r["target_type"], r["numpy_type"]) for r in prof.select("column", "target_type", "numpy_type").collect()}
     out = df
@@ -179,8 +178,7 @@ def optimize(df: DataFrame, profile: DataFrame | None = None) -> DataFrame:
         if label == "category":
             dic = df.select(qcol(f.name).alias("_v")).where(F.col("_v").isNotNull()).distinct()
             dic = with_index(dic, SeriesSpec(keys=(), order=("_v",), chunk_rows=1 << 20)).select("_v", F.col(IDX).cast("int").alias("_code"))
-            if dic.count() <= BROADCAST_ROWS:
-                dic = F.broadcast(dic)
+            dic = written(dic, "dictionary")
             out = out.join(dic, out[f"`{f.name}`"] == dic["_v"], "left").drop("_v").withColumn(f.name, F.col("_code")).drop("_code")
         elif target != f.dataType.simpleString():
             out = out.withColumn(f.name, qcol(f.name).cast(target))
@@ -207,9 +205,14 @@ def with_chunks(df: DataFrame, spec: SeriesSpec, chunk_size: int = 10000, indexe
 
 def process_in_chunks(df: DataFrame, spec: SeriesSpec, func, schema, chunk_size: int = 10000) -> DataFrame:
     """A5 with a user function: ``func(pandas.DataFrame) -> pandas.DataFrame`` per chunk,
-    run by ``applyInPandas`` (each group holds at most ``chunk_size`` rows)."""
+    run by ``applyInPandas`` (each group holds at most ``chunk_size`` rows). The function gets
+    the rows of a chunk in series order, with the input's columns and ``chunk_id``."""
     chunks = with_chunks(df, spec, chunk_size)
-    return chunks.groupBy(*spec.keys, "chunk_id").applyInPandas(func, schema)
+
+    def in_order(pdf):
+        return func(pdf.sort_values(IDX, kind="stable").drop(columns=[IDX, N]).reset_index(drop=True))
+
+    return chunks.groupBy(*spec.keys, "chunk_id").applyInPandas(in_order, schema)
 
 
 def head(df: DataFrame, spec: SeriesSpec, n: int) -> DataFrame:
@@ -222,5 +225,5 @@ def insufficient(df: DataFrame, group, min_rows: int, count_col: str = "sample_c
     counts = df.groupBy(*[qcol(c) for c in group]).agg(F.count(F.lit(1)).alias(count_col))
     return counts.withColumn(
         "skipped_reason",
-        F.when(F.col(count_col) < min_rows, F.lit("insufficient data after preprocessing")),
+        F.when(F.col(count_col) < min_rows, F.lit("too few rows for a train, validation and test part")),
     )

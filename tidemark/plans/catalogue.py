@@ -532,12 +532,23 @@ _PAIRS = """pairs AS (SELECT event_type, value AS y, lag(value) OVER (PARTITION
   lag(value, 2) OVER (PARTITION BY user_id ORDER BY ts) AS p2 FROM events)"""
 
 
-def _pairs(spark, sf):
-    ev = table(spark, sf, "events")
-    w = Window.partitionBy("user_id").orderBy("ts")
-    return ev.select("event_type", F.col("value").alias("y"), F.lag("value").over(w).alias("p"), F.lag("value", 2).over(w).alias("p2")).where(
-        F.col("p").isNotNull()
-    )
+def lagged(df: DataFrame, spec: SeriesSpec, columns: dict[str, tuple[str, int]]) -> DataFrame:
+    """Earlier values ``{output: (column, rows back)}`` per series, by the path that
+    splits a hot series into halo chunks."""
+    from tidemark.operators.index import drop_halo, expand_halo, resolve, with_index
+
+    spec, _ = resolve(df, spec)
+    back = max(k for _, k in columns.values())
+    base = expand_halo(with_index(df, spec), spec, back, 0)
+    w = spec.window()
+    out = drop_halo(base.withColumns({o: F.lag(c, k).over(w) for o, (c, k) in columns.items()}), spec)
+    return out.drop(IDX, N, "_chunk")
+
+
+def _pairs(spark, sf, chunk_rows="auto"):
+    ev = table(spark, sf, "events").select("user_id", "ts", "event_type", F.col("value").alias("y"))
+    spec = SeriesSpec(keys=("user_id",), order=("ts",), chunk_rows=chunk_rows)
+    return lagged(ev, spec, {"p": ("y", 1), "p2": ("y", 2)}).select("event_type", "y", "p", "p2").where(F.col("p").isNotNull())
 
 
 def _corr_sql(y, p):
@@ -718,23 +729,21 @@ def q_union(spark, sf):
 # ------------------------------------------------------------------ ranking X1/X2
 
 
-def _filter_rmse_sql() -> str:
+def _filter_rmse_sql(value: str = "sqrt(avg((y - p) * (y - p))) AS rmse") -> str:
     return (
         O.with_recursive(O.EV, _CTES)
-        + f"""SELECT filter_type, run_order, sqrt(avg((y - p) * (y - p))) AS rmse FROM (
+        + f"""SELECT filter_type, run_order, {value} FROM (
   SELECT u.filter_type, u.run_order, ev.x AS y, lag(u.f) OVER (PARTITION BY u.filter_type, u.g ORDER BY ev.ord) AS p
   FROM ({O.long_union(_NAMES)}) u JOIN ev ON ev.g = u.g AND ev.id = u.id) WHERE p IS NOT NULL GROUP BY 1, 2"""
     )
 
 
-def filter_rmse(spark, sf) -> DataFrame:
+def filter_rmse(spark, sf, metrics=("RMSE",)) -> DataFrame:
     """RMSE of predicting the next raw value by the previous filtered value, per filter."""
     long = FL.filters_long(_ev(spark, sf), EV_SPEC, config.FILTERS_TO_COMPARE, ["value"], carry=["event_id"], include_original=True)
-    w = Window.partitionBy("filter_type", "user_id").orderBy("ts")
-    pairs = long.select("filter_type", "run_order", F.col("value__original").alias("y"), F.lag("value").over(w).alias("p")).where(
-        F.col("p").isNotNull()
-    )
-    return EV.evaluate(pairs, "y", "p", ["filter_type", "run_order"], ("RMSE",)).drop("sample_count")
+    spec = SeriesSpec(keys=("filter_type", "user_id"), order=("ts",))
+    pairs = lagged(long, spec, {"p": ("value", 1)}).withColumnRenamed("value__original", "y").where(F.col("p").isNotNull())
+    return EV.evaluate(pairs, "y", "p", ["filter_type", "run_order"], metrics).drop("sample_count")
 
 
 @query(
@@ -756,9 +765,164 @@ def q_top3(spark, sf):
     return t.select("filter_type", "run_order", r6(F.col("rmse")).alias("rmse"), F.col("rank").cast("int").alias("rank"))
 
 
+def _ranked_sql(value: str, column: str, most: int) -> str:
+    return f"""SELECT filter_type, run_order, round({column}, 6) AS {column}, CAST(row_number() OVER (ORDER BY {column} DESC, run_order) AS INTEGER) AS rank
+FROM ({_filter_rmse_sql(value)}) QUALIFY row_number() OVER (ORDER BY {column} DESC, run_order) <= {most}"""
+
+
+def _ranked(out: DataFrame, column: str) -> DataFrame:
+    return out.select("filter_type", "run_order", r6(F.col(column)).alias(column), F.col("rank").cast("int").alias("rank"))
+
+
+@query("best_by_r2", _ranked_sql(f"{_r2_sql('y', 'p')} AS r2", "r2", 1))
+def q_best_r2(spark, sf):
+    """X1 by a metric whose larger values are better, under the summary's name for it."""
+    return _ranked(RK.best(filter_rmse(spark, sf, ("R2",)), "r2_score"), "r2")
+
+
+@query("best_by_corr", _ranked_sql(f"{_corr_sql('y', 'p')} AS corr", "corr", 1))
+def q_best_corr(spark, sf):
+    return _ranked(RK.best(filter_rmse(spark, sf, ("Corr",)), "correlation"), "corr")
+
+
+@query("top3_by_within", _ranked_sql(f"{_within_sql('y', 'p', 0.1)} AS samples_within_10percent", "samples_within_10percent", 3))
+def q_top3_within(spark, sf):
+    return _ranked(RK.top_k(filter_rmse(spark, sf, ("samples_within_10percent",)), 3, "samples_within_10percent"), "samples_within_10percent")
+
+
+# ------------------------------------------------------------------ nulls in keys, labels and predictions
+# every seventh user has no id, every fifth label and every third prediction is missing
+
+
+@query("filter_kalman_null_key", O.with_recursive(O.NULL_EV, O.kalman_cte("fk")) + "SELECT g AS user_id, id AS event_id, round(f, 6) AS value_f FROM fk".replace("g AS user_id", "CASE WHEN g = -1 THEN NULL ELSE g END AS user_id"))
+def q_kalman_null_key(spark, sf):
+    """All users whose number divides by seven form one series under a null key."""
+    return _kalman_null_key(spark, sf, "auto")
+
+
+def _kalman_null_key(spark, sf, chunk_rows):
+    ev = _ev(spark, sf).withColumn("user_id", F.when(F.col("user_id") % 7 != 0, F.col("user_id")))
+    spec = SeriesSpec(keys=("user_id",), order=("ts", "event_id"), chunk_rows=chunk_rows)
+    out = FL.apply_filter(ev, spec, "kalman", ["value"])
+    return out.select("user_id", "event_id", r6(F.col("value")).alias("value_f"))
+
+
+query("filter_kalman_null_key_chunked", SQL["filter_kalman_null_key"])(lambda spark, sf: _kalman_null_key(spark, sf, 64))
+
+_NULL_PAIRS = """pairs AS (SELECT CASE WHEN event_type <> 'click' THEN event_type END AS event_type, id,
+    CASE WHEN id % 5 <> 0 THEN y END AS y, CASE WHEN id % 3 <> 0 THEN p END AS p FROM (
+  SELECT event_type, event_id AS id, value AS y, lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events) WHERE p IS NOT NULL),
+whole AS (SELECT * FROM pairs WHERE y IS NOT NULL AND p IS NOT NULL)"""
+
+
+def _null_pairs(spark, sf):
+    ev = table(spark, sf, "events").select("user_id", "ts", "event_type", "event_id", F.col("value").alias("y"))
+    pr = lagged(ev, SeriesSpec(keys=("user_id",), order=("ts",)), {"p": ("y", 1)}).where(F.col("p").isNotNull())
+    return pr.select(
+        F.when(F.col("event_type") != "click", F.col("event_type")).alias("event_type"),
+        F.when(F.col("event_id") % 5 != 0, F.col("y")).alias("y"), F.when(F.col("event_id") % 3 != 0, F.col("p")).alias("p"),
+    )
+
+
+@query(
+    "metrics_nulls",
+    f"""WITH {_NULL_PAIRS}
+SELECT event_type, count(*) AS sample_count, round(avg((y - p) * (y - p)), 6) AS mse, round({_r2_sql('y', 'p')}, 6) AS r2,
+  round(avg((ln(1 + greatest(y, 0)) - ln(1 + greatest(p, 0))) * (ln(1 + greatest(y, 0)) - ln(1 + greatest(p, 0)))), 6) AS msle,
+  round({_corr_sql('y', 'p')}, 6) AS corr, round({_within_sql('y', 'p', 0.1)}, 6) AS samples_within_10percent
+FROM whole GROUP BY event_type""",
+)
+def q_metrics_nulls(spark, sf):
+    """Rows without a label or a prediction count for no metric; a null group is a group."""
+    names = ("MSE", "R2", "MSLE", "Corr", "samples_within_10percent")
+    out = EV.evaluate(_null_pairs(spark, sf), "y", "p", ["event_type"], names)
+    return out.select("event_type", "sample_count", *[r6(F.col(M.column_name(m))).alias(M.column_name(m)) for m in names])
+
+
+_NULL_ERR_SQL = f"""WITH {_NULL_PAIRS}
+SELECT event_type, round(avg(y - p), 6) AS error_mean, round(quantile_cont(abs(y - p), 0.25), 6) AS error_q1,
+  round(quantile_cont(abs(y - p), 0.5), 6) AS abs_error_median, round(quantile_cont(abs(y - p), 0.75), 6) AS error_q3, count(*) AS sample_count
+FROM whole GROUP BY event_type"""
+
+
+def _null_errors(quantiles):
+    def run(spark, sf):
+        st = EV.error_stats(_null_pairs(spark, sf), "y", "p", ["event_type"], quantiles=quantiles)
+        return st.select("event_type", *[r6(F.col(c)).alias(c) for c in ("error_mean", "error_q1", "abs_error_median", "error_q3")], "sample_count")
+
+    return run
+
+
+query("error_stats_null_rows", _NULL_ERR_SQL)(_null_errors("rank"))
+query("error_stats_null_rows_exact", _NULL_ERR_SQL)(_null_errors("exact"))
+
+
+@query(
+    "evaluation_report_null_group",
+    f"""WITH e AS ({_NULL_ERR_SQL}), {_NULL_PAIRS},
+m AS (SELECT event_type, round(sqrt(avg((y - p) * (y - p))), 6) AS m_rmse FROM whole GROUP BY event_type)
+SELECT m.event_type, m_rmse, abs_error_median, error_q1, error_q3, sample_count FROM m JOIN e ON m.event_type IS NOT DISTINCT FROM e.event_type""",
+)
+def q_report_null_group(spark, sf):
+    rep = EV.evaluation_report(_null_pairs(spark, sf), "y", "p", ["event_type"], ("RMSE",))
+    return rep.select("event_type", r6(F.col("metrics.rmse")).alias("m_rmse"),
+                      *[r6(F.col(f"error_stats.{c}")).alias(c) for c in ("abs_error_median", "error_q1", "error_q3")], "sample_count")
+
+
+@query(
+    "quality_bands_constant",
+    """SELECT l_returnflag, 'ok' AS corr_band, CASE WHEN r2 > 0.9 THEN 'good' WHEN r2 < 0.5 THEN 'bad' ELSE 'ok' END AS r2_band
+FROM (SELECT l_returnflag, 1 - sum((l_quantity - 25) * (l_quantity - 25)) / (var_pop(l_quantity) * count(*)) AS r2 FROM lineitem GROUP BY 1)""",
+)
+def q_bands_constant(spark, sf):
+    """A constant prediction has no correlation (NaN): neither good nor bad."""
+    li = table(spark, sf, "lineitem").select("l_returnflag", F.col("l_quantity").cast("double").alias("y"), F.lit(25.0).alias("p"))
+    m = EV.evaluate(li, "y", "p", ["l_returnflag"], ("R2", "Corr"))
+    return m.select("l_returnflag", M.quality_band("corr", F.col("corr")).alias("corr_band"), M.quality_band("r2", F.col("r2")).alias("r2_band"))
+
+
+# ------------------------------------------------------------------ failure containment
+
+
+@query(
+    "filters_with_bad_name",
+    f"WITH {O.EV},\nu AS (SELECT g, id, 'none' AS filter_type, 0 AS run_order, x AS f FROM ev UNION ALL SELECT g, id, 'median', 1, {O.f_median()} FROM ev)\n"
+    "SELECT g AS user_id, id AS event_id, filter_type, run_order, round(f, 6) AS value_f FROM u",
+)
+def q_bad_name(spark, sf):
+    """Unknown filters, named or labelled, do not stop the others."""
+    filters = ["none", "no_such_filter", ("narrow", "gauss"), "median"]
+    long = FL.filters_long(_ev(spark, sf), EV_SPEC, filters, ["value"], carry=["event_id"])
+    return long.select("user_id", "event_id", "filter_type", "run_order", r6(F.col("value")).alias("value_f"))
+
+
+@query(
+    "experiment_skipped",
+    f"""SELECT user_id, count(*) AS sample_count, 'too few rows for a train, validation and test part' AS skipped_reason
+FROM events GROUP BY user_id HAVING count(*) < {config.SEQUENCE_LENGTH} + 4""",
+)
+def q_skipped(spark, sf):
+    from tidemark.plans.experiment import skipped_series
+
+    return skipped_series(_ev(spark, sf), EV_SPEC)
+
+
 # ------------------------------------------------------------------ model rules R5/R9
 
 
+@query(
+    "model_choice_pooled",
+    """WITH s AS (SELECT user_id % 40 AS pool, user_id % 40 * user_id % 9 AS part, count(*) AS n_train FROM events GROUP BY GROUPING SETS ((1), (1, 2), ()))
+SELECT pool, part, n_train, CASE WHEN n_train > 5000 THEN 'linear_regression' WHEN n_train > 1000 THEN 'svr' ELSE 'random_forest' END AS model_type,
+  CAST(least(64, pow(2, floor(log2(greatest(16, least(256, floor(n_train / 10))))))) AS INTEGER) AS batch_size FROM s""",
+)
+def q_model_choice_pooled(spark, sf):
+    """R5 and R9 over pools of users from a handful of rows to the whole table."""
+    ev = table(spark, sf, "events").select((F.col("user_id") % 40).alias("pool"), (F.col("user_id") % 40 * F.col("user_id") % 9).alias("part"))
+    s = ev.groupingSets([["pool"], ["pool", "part"], []], "pool", "part").agg(F.count(F.lit(1)).alias("n_train"))
+    return s.select("pool", "part", "n_train", rules.model_choice(F.col("n_train")).alias("model_type"), rules.batch_size(F.col("n_train")).alias("batch_size"))
+
+
 @query(
     "model_choice",
     f"""WITH {O.EV}, s AS (SELECT g, max(n) - {SEQ_LEN} AS n_samples FROM ev GROUP BY g),
@@ -804,17 +968,91 @@ def q_linear(spark, sf):
     )
 
 
+_CLOCK = ("training_time_s", "inference_time_per_sample_s", "total_inference_time_s", "total_experiment_time_s")
+
+
 def _experiment(model_type: str, filters=config.FILTERS_TO_COMPARE, **params):
     def run(spark, sf):
         from tidemark.plans.experiment import run_experiment
 
         res = run_experiment(_ev(spark, sf), EV_SPEC, EXP_FEATURES, "value", EXP_FEATURES, filters=filters,
                              model_type=model_type, model_params=params or None)
-        return res.summary
+        return res.summary.drop(*_CLOCK)
 
     return run
 
 
+_SPLIT1 = _SPLIT.replace(f"idx - {SEQ_LEN}", "idx - 1").replace(f"n - {SEQ_LEN}", "n - 1")
+_EXP_SQL = (
+    O.with_recursive(O.EV, _CTES)
+    + f""", u AS (SELECT u.filter_type, u.run_order, ev.g, ev.id, ev.idx, ev.n, ev.x, u.f FROM ({O.long_union(_NAMES)}) u JOIN ev ON ev.g = u.g AND ev.id = u.id),
+z AS (SELECT *, (f - avg(f) OVER o) / CASE WHEN stddev_pop(f) OVER o = 0 THEN 1 ELSE stddev_pop(f) OVER o END AS zf FROM u WINDOW o AS (PARTITION BY filter_type, g)),
+s AS (SELECT *, lag(zf) OVER (PARTITION BY filter_type, g ORDER BY idx) AS p, {_SPLIT1} AS split FROM z),
+fit AS (SELECT filter_type, regr_slope(x, p) AS a, regr_intercept(x, p) AS b FROM s WHERE idx >= 1 AND n - 1 >= 4 AND split = 'train' GROUP BY 1),
+t AS (SELECT s.filter_type, s.run_order, s.g, s.id, s.x AS y, a * s.p + b AS pred FROM s JOIN fit USING (filter_type) WHERE s.idx >= 1 AND s.n - 1 >= 4 AND s.split = 'test')
+"""
+)
+
+
+def _lag1_experiment(spark, sf, **more):
+    from tidemark.plans.experiment import run_experiment
+
+    return run_experiment(_ev(spark, sf), EV_SPEC, ["value"], "value", ["value"], length=1, **more)
+
+
+@query(
+    "experiment_linear_lag1",
+    _EXP_SQL + f"""SELECT filter_type, run_order, 'linear_regression' AS model_type, count(*) AS sample_count, round(sqrt(avg((y - pred) * (y - pred))), 6) AS rmse,
+  round(avg(abs(y - pred)), 6) AS mae, round({_r2_sql('y', 'pred')}, 6) AS r2_score FROM t GROUP BY 1, 2""",
+)
+def q_experiment_lag1(spark, sf):
+    """X3/X4 with one lag: scale per series, split, fit and score every filter."""
+    out = _lag1_experiment(spark, sf, filters=[*config.FILTERS_TO_COMPARE, "no_such_filter"]).summary
+    return out.select("filter_type", "run_order", "model_type", "sample_count", *[r6(F.col(c)).alias(c) for c in ("rmse", "mae", "r2_score")])
+
+
+@query("experiment_predictions_lag1", _EXP_SQL + "SELECT filter_type, round(y, 6) AS label, round(pred, 6) AS prediction FROM t")
+def q_experiment_predictions(spark, sf):
+    """Every test prediction of the linear experiment."""
+    out = _lag1_experiment(spark, sf).predictions
+    return out.select("filter_type", r6(F.col("label")).alias("label"), r6(F.col("prediction")).alias("prediction"))
+
+
+@query("model_round_trip", _EXP_SQL + "SELECT filter_type, round(avg(pred), 6) AS mean_prediction, count(*) AS rows FROM t WHERE filter_type = 'median' GROUP BY 1")
+def q_model_round_trip(spark, sf):
+    """K3/K4: a model of the experiment is saved, loaded and predicts the test part again."""
+    import uuid
+
+    from tidemark.operators import models as MD
+    from tidemark.plans.experiment import prepare
+    from tidemark.session import checkpoint_dir
+
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex[:12]}"
+    _lag1_experiment(spark, sf, filters=["median"], save_dir=folder)
+    coefs = MD.load_linear(spark, f"{folder}/median_linear_regression_model")
+    pre = prepare(_ev(spark, sf), EV_SPEC, ["value"], "value", ["value"], ["median"], 1)
+    out = MD.predict_linear_grouped(pre.where((F.col("split") == "test") & F.col("complete")), coefs, "filter_type")
+    return out.groupBy("filter_type").agg(r6(F.avg("prediction")).alias("mean_prediction"), F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "source_to_results",
+    _EXP_SQL + """SELECT filter_type, 'linear_regression' AS model_type, round(sqrt(avg((y - pred) * (y - pred))), 6) AS rmse, count(*) AS report_rows FROM t GROUP BY 1""",
+)
+def q_source_to_results(spark, sf):
+    """K1/K2: one call from a parquet source to the CSV summary and JSON reports, read back."""
+    import uuid
+
+    from tidemark.plans.experiment import run_source
+    from tidemark.session import checkpoint_dir
+
+    out = f"{checkpoint_dir(spark).rstrip('/')}/results-{uuid.uuid4().hex[:12]}"
+    run_source(spark, "parquet", f"{sf.rstrip('/')}/events.parquet", EV_SPEC, ["value"], "value", ["value"], out, length=1)
+    summary = spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/summary")
+    reports = spark.read.json(f"{out}/reports").select("filter_type", F.col("sample_count").alias("report_rows"))
+    return summary.select("filter_type", "model_type", r6(F.col("rmse").cast("double")).alias("rmse")).join(reports, "filter_type")
+
+
 query("experiment_linear")(_experiment("linear_regression"))
 query("experiment_auto")(_experiment("auto"))
 query("forest_next_step")(_experiment("random_forest", ("moving_average",)))

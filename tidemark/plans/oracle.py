@@ -20,6 +20,10 @@ EV = """ev AS (
          count(*) OVER (PARTITION BY user_id) AS n
   FROM events)"""
 
+NULL_EV = """ev AS (
+  SELECT g, id, ts AS ord, x, row_number() OVER (PARTITION BY g ORDER BY ts, id) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n
+  FROM (SELECT CASE WHEN user_id % 7 = 0 THEN -1 ELSE user_id END AS g, event_id AS id, ts, value AS x FROM events))"""
+
 LONG_EV = """ev AS (
   SELECT 0 AS g, event_id AS id, event_id AS ord, value AS x,
          row_number() OVER (ORDER BY event_id) - 1 AS idx,

@@ -58,6 +58,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """Write a (small) table to the shared folder and read it back: lineage is cut, and
+    Spark knows its bytes when it picks a join."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+    schema = df.schema
+    df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 _SHIPPED: set[int] = set()
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,13 +25,13 @@ def load_telemetry_csv(spark: SparkSession, path: str, series_from_file: bool =
 
     ``path`` may be a glob of many files (the reference reads one). With
     ``series_from_file`` each file becomes one series keyed by ``source_file``;
-    rows keep their file order in ``row_id`` (the reference's time order). File
-    order survives only for files Spark reads unsplit (smaller than
-    ``spark.sql.files.maxPartitionBytes``); for larger files order the series by
-    ``Time Elapsed (s)`` instead.
+    rows keep their file order in ``row_id`` (the reference's time order): the place of
+    the split in the file, then the row in the split, whatever the file's size.
     """
-    if not any(ch in path for ch in "*?[") and not os.path.exists(path) and "://" not in path:
-        raise FileNotFoundError(f"Data file not found: {path}")
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.globStatus(hadoop_path):
+        raise FileNotFoundError(f"no file at {path}")
     raw = spark.read.option("header", True).option("mode", "FAILFAST").option("inferSchema", False).csv(path)
     cols = []
     for c in raw.columns:
@@ -41,9 +39,10 @@ def load_telemetry_csv(spark: SparkSession, path: str, series_from_file: bool =
         cols.append(col.cast("double").alias(c) if c in NUMERIC_COLUMNS else col)
     out = raw.select(*cols)
     if series_from_file:
-        out = out.withColumn("source_file", F.input_file_name())
-        # file order is the time order within a file
-        out = out.withColumn("row_id", F.monotonically_increasing_id())
+        # a split lies in one task: its start in the file, then the row's number in the task
+        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        out = raw.select(*cols, F.col("_metadata.file_path").alias("source_file"),
+                         F.struct(F.col("_metadata.file_block_start").alias("block"), row.alias("row")).alias("row_id"))
     return out
 
 

@@ -2,9 +2,11 @@
 
 The filter is causal, so a stream can be filtered incrementally: each
 micro-batch sorts a series' new rows by time and continues the recursion from the
-state kept by ``applyInPandasWithState``. Rows older than the series' last
-processed time are late and are dropped (the watermark bounds how long the
-engine waits for them). Output equals the batch filter on in-order data.
+state kept by ``applyInPandasWithState``. Rows older than the series' last processed
+time are late: the state has moved past them, so they come out unfiltered, marked
+``late``, and can be counted; none is lost. Rows *at* that time go on from the state.
+Output equals the batch filter on in-order data. A series keeps its few numbers of state
+as long as the query runs: there is no timeout, as a series may always go on.
 """
 
 from __future__ import annotations
@@ -46,15 +48,15 @@ def kalman_stream(
 ) -> DataFrame:
     """Filter ``value`` per ``key`` in ``ts`` order on a streaming DataFrame.
 
-    ``ts`` must be a TIMESTAMP column (cast ``timestamp_ntz`` first). Output:
-    ``key``, ``ts``, the ``carry`` columns and ``output``.
+    ``ts`` must be a TIMESTAMP column (cast ``timestamp_ntz`` first). Output: ``key``,
+    ``ts``, the ``carry`` columns, ``output`` (null for late rows) and ``late``.
     """
     q, r = float(process_variance), float(measurement_variance)
     cols = [key, ts, *carry, value]
     src = stream.select(*cols).withWatermark(ts, watermark)
     in_fields = {f.name: f for f in src.schema.fields}
     out_schema = T.StructType(
-        [in_fields[key], in_fields[ts], *[in_fields[c] for c in carry], T.StructField(output, T.DoubleType())]
+        [in_fields[key], in_fields[ts], *[in_fields[c] for c in carry], T.StructField(output, T.DoubleType()), T.StructField("late", T.BooleanType())]
     )
 
     def step_fn(keys, batches, state):
@@ -68,13 +70,18 @@ def kalman_stream(
             x, p, step, started, last_ts = np.nan, 1.0, 0, False, None
         pdf = pdf.sort_values(ts, kind="stable")
         if last_ts is not None:
-            pdf = pdf[pdf[ts] > pd.Timestamp(last_ts)]  # late rows: state has moved past them
+            behind = pdf[ts] < pd.Timestamp(last_ts)
+            if behind.any():
+                late = pdf.loc[behind, [key, ts, *carry]].copy()
+                late[output], late["late"] = np.nan, True
+                yield late
+            pdf = pdf[~behind]
         z = pdf[value].astype("float64").values
         out = np.full(len(z), np.nan)
         for i, v in enumerate(z):
             if step >= 1:
                 pm = p + q
-                k = pm / (pm + r)
+                k = pm / (pm + r) if r > 0 else 1.0
                 p = (1.0 - k) * pm
             if not np.isnan(v):
                 if not started:
@@ -87,7 +94,7 @@ def kalman_stream(
             last_ts = pdf[ts].iloc[-1].to_pydatetime()
         state.update((float(x) if started else None, float(p), int(step), bool(started), last_ts))
         res = pdf[[key, ts, *carry]].copy()
-        res[output] = out
+        res[output], res["late"] = out, False
         yield res
 
     return src.groupBy(key).applyInPandasWithState(
