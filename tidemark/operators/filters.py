@@ -180,21 +180,22 @@ class SavitzkyGolayFilter(SmoothingFilter):
         h = width // 2
         hat = kernels.savgol_hat(width, self.polyorder)
         # Interior rows: a fixed dot product with the middle hat row. Edge rows pick
-        # their hat row and window start; the shift array is built once per row.
+        # their hat row and window start; the table of hat rows is in the plan once, the
+        # row's weights and the shift array are built once per row.
         interior = " + ".join(f"{_num(hat[h][d + h])} * {_shift(x, d, w)}" for d in range(-h, h + 1))
+        rows = ", ".join(f"array({', '.join(_num(v) for v in row)})" for row in hat)
+        lo = f"least(greatest({IDX} - {h}, 0), {N} - {width})"
+        place = f"CAST(least(greatest({IDX} - {lo}, 0), {width - 1}) + 1 AS INT)"  # short series take no weights
         helpers = {
             "vals": f"array({', '.join(_shift(x, o, w) for o in range(-(width - 1), width))})",
-            "lo": f"least(greatest({IDX} - {h}, 0), {N} - {width})",
+            "lo": lo,
+            "hat": f"element_at(array({rows}), {place})",
             "mid": interior,
         }
-        flat = f"array({', '.join(_num(v) for row in hat for v in row)})"
 
         def final(col):
             base = f"CAST({col('lo')} - {IDX} + {width} AS INT)"
-            rowoff = f"CAST(({IDX} - {col('lo')}) * {width} + 1 AS INT)"
-            edge = " + ".join(
-                f"element_at({flat}, {rowoff} + {j}) * element_at({col('vals')}, {base} + {j})" for j in range(width)
-            )
+            edge = " + ".join(f"element_at({col('hat')}, {j + 1}) * element_at({col('vals')}, {base} + {j})" for j in range(width))
             return (f"CASE WHEN {N} < {width} THEN {x} WHEN {IDX} >= {h} AND {IDX} < {N} - {h} THEN {col('mid')} "
                     f"ELSE {edge} END")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,22 +94,37 @@ def _int_label(lo: F.Column, hi: F.Column) -> F.Column:
     )
 
 
+def distinct_counts(df: DataFrame, columns, exact: bool = True) -> dict[str, int]:
+    """Distinct non-null values of each column. Exact counts group every column by
+    itself (a scan of that column, pre-aggregated before its shuffle): several exact
+    counts in one aggregate would copy every row once per column."""
+    if not columns:
+        return {}
+    if not exact:
+        row = df.agg(*[F.approx_count_distinct(qcol(c)).alias(f"_d{i}") for i, c in enumerate(columns)]).first()
+        return {c: int(row[i]) for i, c in enumerate(columns)}
+    each = [df.select(qcol(c).alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.lit(1)).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+            for i, c in enumerate(columns)]
+    return {columns[r["i"]]: int(r["n"]) for r in reduce(DataFrame.union, each).collect()}  # a row per column
+
+
 def downcast_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
-    """The type each column would get, from one aggregation pass.
+    """The type each column would get, from one aggregation pass (and one per
+    string column for its distinct values).
 
     Integers follow the min/max rule; double becomes float; a string column becomes
     a dictionary-coded category when distinct/rows < 0.5. Also reports the
     distinct ratio and the estimated bytes before and after.
     """
     fields = df.schema.fields
+    distinct = distinct_counts(df, [f.name for f in fields if isinstance(f.dataType, T.StringType)], exact_distinct)
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(fields):
         x = qcol(f.name)
         if isinstance(f.dataType, _INTEGRAL):
             aggs += [F.min(x).cast("long").alias(f"_lo{i}"), F.max(x).cast("long").alias(f"_hi{i}")]
         if isinstance(f.dataType, T.StringType):
-            d = F.count_distinct(x) if exact_distinct else F.approx_count_distinct(x)
-            aggs += [d.alias(f"_d{i}"), F.sum(F.octet_length(x)).alias(f"_b{i}")]
+            aggs += [F.lit(distinct[f.name]).alias(f"_d{i}"), F.sum(F.octet_length(x)).alias(f"_b{i}")]
     one = df.agg(*aggs)
     rows_c = F.col("_rows")
     out = []
@@ -187,11 +204,9 @@ def optimize(df: DataFrame, profile: DataFrame | None = None) -> DataFrame:
 
 def category_ratio(df: DataFrame, columns, exact: bool = True) -> DataFrame:
     """A4: distinct / rows for each column."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(columns):
-        aggs.append((F.count_distinct(qcol(c)) if exact else F.approx_count_distinct(qcol(c))).alias(f"_d{i}"))
-    one = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column"), (F.col(f"_d{i}") / F.col("_rows")).alias("distinct_ratio")) for i, c in enumerate(columns)]
+    distinct = distinct_counts(df, list(columns), exact)
+    one = df.agg(F.count(F.lit(1)).alias("_rows"))
+    rows = [F.struct(F.lit(c).alias("column"), (F.lit(distinct[c]) / F.col("_rows")).alias("distinct_ratio")) for c in columns]
     return one.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 

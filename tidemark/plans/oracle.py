@@ -1,15 +1,17 @@
 """Independent SQL formulations of the catalogue queries (DuckDB dialect).
 
 These are written directly from the operator definitions (plain window frames,
-recursive CTEs, self-joins), not from the Spark plans, so that agreement is a real
-check. Tables are the pre-registered views ``events``, ``conversations``,
+recursive CTEs, self-joins) and share no table of weights with the Spark plans:
+Gaussian weights are computed in SQL, Savitzky-Golay weights in exact rational
+arithmetic here, so that agreement is a real check. Tables are the pre-registered views ``events``, ``conversations``,
 ``lineitem``, ``part``, ``customer``.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from tidemark import config
-from tidemark.functions import kernels
 
 # ---------------------------------------------------------------- sources
 
@@ -84,21 +86,38 @@ def f_moving_average_reference(col="x", window=config.MA_WINDOW):
 
 
 def f_median(col="x", kernel=config.MEDIAN_KERNEL_SIZE):
-    k = kernels.median_kernel(kernel)
+    k = kernel + (kernel + 1) % 2
     h = k // 2
     items = ", ".join(_shift(col, o, "0.0") for o in range(-h, h + 1))
     return f"CASE WHEN n < {k} THEN {col} ELSE list_sort([{items}])[{h + 1}] END"
 
 
 def f_median_shrink(col="x", kernel=config.MEDIAN_KERNEL_SIZE):
-    k = kernels.median_kernel(kernel)
+    k = kernel + (kernel + 1) % 2
     h = k // 2
     return f"CASE WHEN n < {k} THEN {col} ELSE median({col}) OVER {W} ROWS BETWEEN {h} PRECEDING AND {h} FOLLOWING) END"
 
 
+def _hat(width: int, order: int) -> list[list[float]]:
+    """Weights of the least-squares polynomial, by exact rational elimination of the
+    normal equations: row r gives the fitted value at place r."""
+    xs = [Fraction(i - width // 2) for i in range(width)]
+    m = order + 1
+    rows = [[sum(x ** (i + j) for x in xs) for j in range(m)] + [x**i for x in xs] for i in range(m)]
+    for c in range(m):
+        pivot = next(r for r in range(c, m) if rows[r][c] != 0)
+        rows[c], rows[pivot] = rows[pivot], rows[c]
+        rows[c] = [v / rows[c][c] for v in rows[c]]
+        for r in range(m):
+            if r != c:
+                f = rows[r][c]
+                rows[r] = [a - f * b for a, b in zip(rows[r], rows[c])]
+    return [[float(sum(x**i * rows[i][m + j] for i in range(m))) for j in range(width)] for x in xs]
+
+
 def f_savgol(col="x", window=config.SG_WINDOW, polyorder=config.SG_POLYORDER):
-    width, p = kernels.savgol_params(window, polyorder)
-    hat = kernels.savgol_hat(width, p)
+    width = window  # the queries pass odd windows above the order, which need no repair
+    hat = _hat(width, polyorder)
     h = width // 2
     branches = []
     for r in range(width):
@@ -109,14 +128,13 @@ def f_savgol(col="x", window=config.SG_WINDOW, polyorder=config.SG_POLYORDER):
 
 
 def gaussian_cte(name: str, src: str = "ev", col: str = "x", sigma=config.GAUSSIAN_SIGMA) -> str:
-    w = kernels.gaussian_weights(sigma)
-    r = len(w) // 2
-    vals = ", ".join(f"({d}, {_num(v)})" for d, v in zip(range(-r, r + 1), w))
+    r = int(4.0 * sigma + 0.5)
+    weights = f"SELECT d, exp(-0.5 * d * d / ({sigma} * {sigma})) / sum(exp(-0.5 * d * d / ({sigma} * {sigma}))) OVER () AS w FROM range({-r}, {r + 1}) t(d)"
     m = "(((a.idx + wt.d) % (2 * a.n)) + 2 * a.n) % (2 * a.n)"
     fold = f"CASE WHEN {m} < a.n THEN {m} ELSE 2 * a.n - 1 - {m} END"
     return f"""{name} AS (
   SELECT a.g, a.id, sum(wt.w * b.{col}) AS f
-  FROM {src} a, (VALUES {vals}) AS wt(d, w), {src} b
+  FROM {src} a, ({weights}) AS wt, {src} b
   WHERE b.g = a.g AND b.idx = {fold}
   GROUP BY a.g, a.id)"""
 
