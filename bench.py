@@ -67,7 +67,10 @@ def main() -> None:
     long_spec = SeriesSpec(keys=(), order=("event_id",), chunk_rows=16384)
     timed("long_series_chunked", lambda: noop(FL.apply_filters(table(spark, sf_dir, "events").select("event_id", "value"),
                                                                   long_spec, config.FILTERS_TO_COMPARE, ["value"])))
-    timed("kalman_block_scan", lambda: noop(FL.apply_filter(ev, spec, "kalman", ["value"])))
+    # ten series of a tenth of the table each: many Kalman blocks and a carry between them
+    pooled = ev.withColumn("pool", F.col("user_id") % 10)
+    pool_spec = SeriesSpec(keys=("pool",), order=("ts", "event_id"))
+    timed("kalman_multi_block", lambda: noop(FL.apply_filter(pooled, pool_spec, "kalman", ["value"])))
     timed("kalman_applyinpandas", lambda: noop(KM.kalman_pandas(ev, spec, "value", "value_f", 1e-5, 0.1)))
     timed("preprocess", lambda: noop(FE.preprocess(ev, spec, ["value", "k"], "value", config.SEQUENCE_LENGTH)))
     timed("metrics", lambda: C.QUERIES["metrics_regression"](spark, sf_dir).collect())
@@ -82,6 +85,20 @@ def main() -> None:
 
     timed("linear_fit", linear_fit)
 
+    def prepared():
+        pre = FE.preprocess(FL.apply_filter(ev, spec, "moving_average", ["value", "k"]), spec, ["value", "k"], "value", 10)
+        pre = pre.where("usable").select("user_id", "ts", "features", "label", "split")
+        return pre.where("split = 'train'").drop("split"), pre.where("split = 'val'").drop("split")
+
+    def fit(kind, **params):
+        train, val = prepared()
+        MD.create_and_fit(kind, train, val, **params)
+
+    timed("forest_fit_20x6", lambda: fit("random_forest", n_estimators=20, max_depth=6))
+    timed("svr_fit_50_epochs", lambda: fit("svr", controls=MD.TrainControls(max_iter=50, local_epochs=25)))
+    timed("mlp_fit_50_epochs", lambda: fit("mlp", hidden=(32,), max_iter=50))
+    timed("stream_kalman", lambda: noop(C.QUERIES["stream_kalman"](spark, sf_dir)))
+
     def experiment():
         res = run_experiment(ev, spec, ["value", "k"], "value", ["value", "k"], model_type="linear_regression")
         res.summary.collect()
