@@ -114,3 +114,23 @@ def test_unknown_metric_and_direction(spark):
     for metric in ("nonsense", "correlation"):
         with pytest.raises(ValueError):
             RK.best(df, metric)
+
+
+def test_python_metric_beside_the_others(spark):
+    from tidemark.functions import metrics as M
+    from tidemark.operators import evaluate as EV
+
+    M.register_metric(M.python_metric("p90_error", lambda y, p: np.quantile(np.abs(y - p), 0.9)))
+    rows = [("a", float(i), float(i % 3)) for i in range(20)] + [(None, 1.0, 2.0), (None, None, 3.0), ("a", 5.0, None)]
+    got = {r["g"]: r for r in EV.evaluate(spark.createDataFrame(rows, "g string, label double, prediction double"), group=["g"], metrics=("MAE", "p90_error")).collect()}
+    err = [abs(i - i % 3) for i in range(20)]
+    assert got["a"]["p90_error"] == pytest.approx(np.quantile(err, 0.9)) and got["a"]["mae"] == pytest.approx(np.mean(err))
+    assert got[None]["p90_error"] == 1.0 and got[None]["sample_count"] == 1
+
+
+def test_repeated_order_values_raise_when_asked(spark):
+    df = spark.createDataFrame([(1, 1, 2.0), (1, 1, 3.0)], "g int, i long, v double")
+    with pytest.raises(ValueError):
+        FL.apply_filter(df, SeriesSpec(keys=("g",), order=("i",), check_order=True), "median", ["v"])
+    with pytest.warns(UserWarning, match="nothere"):
+        FL.apply_filter(df, SeriesSpec(keys=("g",), order=("i",)), "none", ["v", "nothere"])

@@ -136,6 +136,7 @@ class MetricSpec:
     name: str
     build: Callable[[Column, Column], Column]
     higher_is_better: bool = False
+    python: bool = False  # a pandas aggregate: Spark keeps these apart from its own
 
 
 REGISTRY: dict[str, MetricSpec] = {}
@@ -145,6 +146,21 @@ def register_metric(spec: MetricSpec) -> None:
     REGISTRY[spec.name] = spec
 
 
+def python_metric(name: str, fn: Callable, higher_is_better: bool = False) -> MetricSpec:
+    """A metric from any Python function of two numpy arrays (label, prediction).
+
+    Runs as a grouped pandas aggregate: a group's rows meet in one task, so this is for
+    groups that fit there; rows without a label or prediction do not reach ``fn``.
+    """
+    from pyspark.sql.types import DoubleType
+
+    def run(y, p):
+        whole = y.notna() & p.notna()
+        return float(fn(y[whole].to_numpy(), p[whole].to_numpy()))
+
+    return MetricSpec(name, lambda y, p: F.pandas_udf(run, DoubleType(), F.PandasUDFType.GROUPED_AGG)(y, p), higher_is_better, python=True)
+
+
 for _spec in (
     MetricSpec("RMSE", rmse),
     MetricSpec("MSE", mse),

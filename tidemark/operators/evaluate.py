@@ -24,11 +24,17 @@ ERROR_STATS = (
 
 
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction", group=(), metrics=M.SUMMARY_METRICS) -> DataFrame:
-    """One row per group with one DOUBLE column per metric (single aggregation)."""
+    """One row per group with one DOUBLE column per metric (single aggregation; a second one for Python metrics)."""
     y, p = qcol(label).cast("double"), qcol(prediction).cast("double")
-    cols = M.metric_columns(y, p, metrics)
+    own = [m for m in metrics if not M.REGISTRY[m].python]
     g = df.groupBy(*[qcol(c) for c in group]) if group else df
-    return g.agg(F.count_if(M.present(y, p)).alias("sample_count"), *cols)
+    out = g.agg(F.count_if(M.present(y, p)).alias("sample_count"), *M.metric_columns(y, p, own))
+    if len(own) == len(metrics):
+        return out
+    # Python metrics aggregate by themselves and meet the others per group
+    more = (df.groupBy(*[qcol(c) for c in group]) if group else df.groupBy()).agg(*M.metric_columns(y, p, [m for m in metrics if m not in own]))
+    joined = _join_groups(out, more, list(group)) if group else out.join(more)
+    return joined.select(*[qcol(c) for c in group], "sample_count", *[F.col(M.column_name(m)) for m in metrics])
 
 
 def _abs_error_quantiles(df: DataFrame, y, p, group: list[str], method: str) -> DataFrame:

@@ -13,6 +13,7 @@ actually reads for a row gives a null result for that row.
 
 from __future__ import annotations
 
+import warnings
 from abc import ABC, abstractmethod
 from dataclasses import dataclass
 
@@ -316,8 +317,10 @@ def filter_status(spark, filters=config.FILTERS_TO_COMPARE) -> DataFrame:
 
 
 def present_columns(df: DataFrame, columns) -> list[str]:
-    """Keep the requested columns that exist (missing ones are skipped)."""
+    """Keep the requested columns that exist (missing ones are skipped with a warning)."""
     have = set(df.columns)
+    if missing := [c for c in columns if c not in have]:
+        warnings.warn(f"columns not in the table: {', '.join(missing)}", stacklevel=3)
     return [c for c in columns if c in have]
 
 

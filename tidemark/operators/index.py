@@ -42,7 +42,9 @@ class SeriesSpec:
     within a series. ``chunk_rows`` switches to the skew-safe range index with halo
     chunks of that many rows; ``"auto"`` (default) measures the longest series
     once and chunks only when one exceeds ``AUTO_CHUNK_ABOVE`` rows (a hot key);
-    ``None`` always uses one window per series.
+    ``None`` always uses one window per series. ``check_order`` raises if an order
+    value repeats within a series (one more aggregate); without it rows that tie have
+    arbitrary positions among themselves.
     """
 
     keys: tuple[str, ...] = ()
@@ -50,6 +52,7 @@ class SeriesSpec:
     chunk_rows: int | str | None = "auto"
     index_partitions: int | None = None
     max_len: int | None = None
+    check_order: bool = False
 
     def __post_init__(self):
         keys = (self.keys,) if isinstance(self.keys, str) else tuple(self.keys)
@@ -102,6 +105,8 @@ def with_index(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 def with_index_info(df: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, int | None]:
     """:func:`with_index` plus the longest series length when it is known without
     an extra job (the range index measures it while sizing its offset table)."""
+    if spec.check_order:
+        check_unique_order(df, spec)
     if spec.chunked:
         return _range_index(df, spec)
     w = Window.partitionBy(*spec.keys).orderBy(*[F.col(c) for c in spec.order])

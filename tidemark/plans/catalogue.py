@@ -1053,6 +1053,24 @@ def q_source_to_results(spark, sf):
     return summary.select("filter_type", "model_type", r6(F.col("rmse").cast("double")).alias("rmse")).join(reports, "filter_type")
 
 
+@query(
+    "forest_stump",
+    """WITH v AS (SELECT l_quantity AS q, count(*) AS n, sum(l_extendedprice) AS s, sum(l_extendedprice * l_extendedprice) AS s2 FROM lineitem GROUP BY 1),
+c AS (SELECT q, sum(n) OVER l AS nl, sum(s) OVER l AS sl, sum(s2) OVER l AS s2l, sum(n) OVER () AS n, sum(s) OVER () AS s, sum(s2) OVER () AS s2 FROM v WINDOW l AS (ORDER BY q)),
+best AS (SELECT q AS cut, sl / nl AS low, (s - sl) / (n - nl) AS high FROM c WHERE nl < n
+  ORDER BY (s2l - sl * sl / nl) + ((s2 - s2l) - (s - sl) * (s - sl) / (n - nl)) LIMIT 1)
+SELECT q AS l_quantity, round(CASE WHEN q <= cut THEN low ELSE high END, 4) AS prediction, n AS rows FROM v, best""",
+)
+def q_forest_stump(spark, sf):
+    """R2: one tree of depth one over all rows is the split with the least squared error."""
+    from tidemark.operators import models as MD
+
+    li = table(spark, sf, "lineitem").select(F.array(F.col("l_quantity").cast("double")).alias("features"), F.col("l_extendedprice").cast("double").alias("label"))
+    out = MD.fit_forest(li, n_estimators=1, max_depth=1, max_bins=64, bootstrap=False).transform(li)
+    rows = out.groupBy(F.col("features")[0].alias("l_quantity")).agg(F.max("prediction").alias("prediction"), F.count(F.lit(1)).alias("rows"))
+    return rows.select("l_quantity", F.round("prediction", 4).alias("prediction"), "rows")
+
+
 query("experiment_linear")(_experiment("linear_regression"))
 query("experiment_auto")(_experiment("auto"))
 query("forest_next_step")(_experiment("random_forest", ("moving_average",)))
