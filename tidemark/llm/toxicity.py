@@ -56,6 +56,7 @@ FEATURES = (
 _LETTERS = re.compile(r"[^\W\d_]+").findall
 _DISGUISED = re.compile(r"[^\W\d_][\d@$!|+*.\-_#]+[^\W\d_]").search
 _STRETCHED = re.compile(r"([^\W\d_])\1\1").search
+_EDGES = ".,;:!?\"'()%$#&*|"
 _INNER = re.compile(r"[\W_]+")
 _PUNCTUATION = np.frombuffer(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", np.uint8)
 
@@ -96,6 +97,7 @@ class Featurizer:
     def __init__(self, lexicon: dict[str, float]):
         self.words = {k: v for k, v in lexicon.items() if not k.endswith("-")}
         self.starts = {k[:-1]: v for k, v in lexicon.items() if k.endswith("-")}
+        self.heads = {k[: BEGINNINGS[0]] for k in self.starts}
         self._fresh()
 
     def _fresh(self) -> None:
@@ -104,21 +106,25 @@ class Featurizer:
 
     def _attributes(self, word: str) -> tuple:
         low = word.lower()
-        letters = max(_LETTERS(low), key=len, default="")
-        hit = self.words.get(letters, 0.0)
-        start = max((self.starts.get(letters[:n], 0.0) for n in BEGINNINGS if len(letters) >= n), default=0.0)
+        letters = low.strip(_EDGES)
         disguised = hidden = 0.0
-        if _DISGUISED(low):
-            plain = _INNER.sub("", low.translate(DISGUISE))
-            disguised, hidden = 1.0, float(not hit and (plain in self.words or any(w in self.words for w in _LETTERS(low.translate(DISGUISE)))))
+        if not letters.isalpha():
+            letters = max(_LETTERS(low), key=len, default="")
+            if _DISGUISED(low):
+                plain = low.translate(DISGUISE)
+                disguised = 1.0
+                hidden = float(letters not in self.words and (_INNER.sub("", plain) in self.words or any(w in self.words for w in _LETTERS(plain))))
+        start = 0.0
+        if letters[: BEGINNINGS[0]] in self.heads:
+            start = max((self.starts.get(letters[:n], 0.0) for n in BEGINNINGS if len(letters) >= n), default=0.0)
         shouted = float(len(letters) > 1 and word.isupper())
-        return hit, start, float(letters in SECOND_PERSON), shouted, disguised, hidden, float(bool(_STRETCHED(low)))
+        return self.words.get(letters, 0.0), start, float(letters in SECOND_PERSON), shouted, disguised, hidden, float(_STRETCHED(low) is not None)
 
     def _rows(self, words: list[str]) -> list[int]:
         try:
             return [self.row[w] for w in words]
         except KeyError:
-            new = set(words) - self.row.keys()
+            new = [w for w in set(words) if w not in self.row]
             if len(self.row) + len(new) > CACHE:
                 self._fresh()
                 new = set(words)
