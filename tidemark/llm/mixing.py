@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 NONE = "(none)"  # the value of a null on a level
 LEVELS = ("domain", "lang", "source")
 _TOP = 1 << 60
