@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from tidemark.llm.common import shuffle_partitions
+
 WINDOW = 20
 GROUP_BITS = 9  # ids with the same value above these bits form a group of documents
 GROUP = 1 << GROUP_BITS
@@ -265,7 +267,10 @@ def dedup_substrings(
     packed = rows.select(order_id.alias("doc_id"), "text").mapInArrow(
         _pack_stage(window, buckets), "bucket int, hashes binary, places binary, ids binary"
     )
-    replies = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count_stage, "grp long, hashes binary")
+    # buckets dealt evenly; a task takes its buckets one by one
+    parts = min(buckets, 4 * shuffle_partitions(docs.sparkSession))
+    dealt = packed.repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket")
+    replies = dealt.mapInArrow(_count_stage, "grp long, hashes binary")
     group = F.shiftright(order_id, GROUP_BITS)
     both = rows.withColumn("grp", group).unionByName(replies, allowMissingColumns=True)
     ordered = both.repartition("grp").sortWithinPartitions("grp", F.col("hashes").isNull(), F.col("doc_id").asc_nulls_last())
