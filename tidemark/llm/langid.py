@@ -112,10 +112,11 @@ class Scorer:
 
     def totals(self, texts: list[list[str]]) -> np.ndarray:
         """Summed scores of each list of words."""
-        new = set().union(*texts) - self.row.keys()
+        words = set().union(*texts)
+        new = [w for w in words if w not in self.row]
         if len(self.row) + len(new) > CACHE:
             self._fresh()
-            new = set().union(*texts)
+            new = words
         while len(self.row) + len(new) > len(self.scores):
             self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
         known, unseen = self.model.words, []
@@ -144,7 +145,8 @@ def predict(scorer: Scorer, texts: list[str | None]) -> list[tuple[str, float]]:
         # evidence of one text saturates: words of a text are far from independent
         share = np.exp((total - total.max()) / max(1.0, len(w) / 50.0))
         best = int(total.argmax())
-        out.append((langs[best], float(share[best] / share.sum())) if w else ("und", 0.0))
+        letters = any(c.isalpha() for word in w for c in word)  # numerals such as one half are none
+        out.append((langs[best], float(share[best] / share.sum())) if letters else ("und", 0.0))
     return out
 
 

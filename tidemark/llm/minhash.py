@@ -178,7 +178,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(key.alias("key"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     spark = docs.sparkSession
     n = shuffle_partitions(spark)
-    shares = [i / (2 * n) for i in range(1, 2 * n)]
+    shares = [i / n for i in range(1, n)] or [1.0]
     found = rows.agg(F.percentile_approx("key", shares, 40 * n)).first()[0]
     bounds = np.unique(np.array(found or [], np.int64))
 
@@ -194,7 +194,9 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     none = F.lit(None).cast("long")
     own = ranged.select("part", F.lit(False).alias("ahead"), "key", "doc_id", "text")
     ahead = leads.select(F.col("to").alias("part"), F.lit(True).alias("ahead"), "key", none.alias("doc_id"), "text")
-    ordered = own.unionByName(ahead).repartition(n, "part").sortWithinPartitions("part", "ahead", "key", "text")
+    # one range per partition: hashing the ranges would put several into one task
+    dealt = own.unionByName(ahead).repartitionById(len(bounds) + 1, F.col("part"))
+    ordered = dealt.sortWithinPartitions("part", "ahead", "key", "text")
     return ordered.select("part", "ahead", "doc_id", "text").mapInArrow(_compare, _COMPARED_DDL)
 
 
