@@ -127,12 +127,12 @@ class Featurizer:
             new = [w for w in set(words) if w not in self.row]
             if len(self.row) + len(new) > CACHE:
                 self._fresh()
-                new = set(words)
+                new = list(set(words))
             while len(self.row) + len(new) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            for w in new:
-                at = self.row[w] = len(self.row)
-                self.table[at] = self._attributes(w)
+            at = len(self.row)
+            self.table[at : at + len(new)] = [self._attributes(w) for w in new]
+            self.row.update(zip(new, range(at, at + len(new))))
             return [self.row[w] for w in words]
 
     def features(self, text: str) -> list[float]:
@@ -141,23 +141,26 @@ class Featurizer:
         n = len(words)
         if not n:
             return [0.0] * len(FEATURES)
-        rows = np.array(self._rows(words))
-        a, once = self.table[rows], self.table[np.unique(rows)]  # a word repeated a hundred times tells no more
-        hit, person = a[:, 0] > 0, a[:, 2] > 0
+        counts = Counter(words)
+        rows = self._rows(list(counts))
+        once = self.table[rows]  # a word repeated a hundred times tells no more
+        times = np.fromiter(counts.values(), float, len(counts))
+        hit, person = once[:, 0] > 0, once[:, 2] > 0
         m = len(once)
-        hits, starts = int((once[:, 0] > 0).sum()), int((once[:, 1] > 0).sum())
+        hits, starts = int(hit.sum()), int((once[:, 1] > 0).sum())
         near = 0
         if hits and person.any():
-            at = np.flatnonzero(person)
-            mine = np.flatnonzero(hit)
+            told, meant = ({w for w, x in zip(counts, flag) if x} for flag in (hit, person))
+            mine = np.array([i for i, w in enumerate(words) if w in told])
+            at = np.array([i for i, w in enumerate(words) if w in meant])
             k = np.searchsorted(at, mine)
             gap = np.minimum(np.abs(mine - at[np.minimum(k, len(at) - 1)]), np.abs(mine - at[np.maximum(k - 1, 0)]))
             near = int((gap <= NEAR).sum())
         raw = np.frombuffer(text.encode(), np.uint8)
         seen = np.bincount(raw, minlength=256)
-        sums = a.sum(axis=0)
+        sums = times @ once
         return [
-            hits / m, float(hits), float(hit.sum()) / n, float(once[:, 0].max()), float(once[:, 0].sum()) / m,
+            hits / m, float(hits), float(times[hit].sum()) / n, float(once[:, 0].max()), float(once[:, 0].sum()) / m,
             starts / m, float(starts), float(once[:, 1].max()),
             sums[2] / n, near / n, sums[3] / n, float(seen[65:91].sum()) / len(raw),
             float(seen[33]) / n, float(seen[63]) / n, float(seen[_PUNCTUATION].sum()) / len(raw),
