@@ -31,7 +31,7 @@ from tidemark.llm.trees import Ensemble, labelled_sample
 
 SAMPLE_ROWS = 20_000  # labelled rows that training reads, about
 LEXICON_WORDS = 20_000  # entries of each lexicon, at most: the most telling ones
-LEAST_TEXTS = 3  # toxic texts an entry must occur in
+LEAST_TEXTS = 4  # toxic texts an entry must occur in
 LEAST_RATIO = 8.0  # of its document frequencies, toxic to other
 BEGINNINGS = (4, 5, 6, 7)  # letters of word beginnings
 TREES, DEPTH, STEP = 15, 3, 0.3
