@@ -134,3 +134,16 @@ def test_repeated_order_values_raise_when_asked(spark):
         FL.apply_filter(df, SeriesSpec(keys=("g",), order=("i",), check_order=True), "median", ["v"])
     with pytest.warns(UserWarning, match="nothere"):
         FL.apply_filter(df, SeriesSpec(keys=("g",), order=("i",)), "none", ["v", "nothere"])
+
+
+def test_experiment_in_chunks_equals_windows(spark):
+    from tidemark.plans.experiment import prepare
+
+    df = series(spark, 300, key=2)
+    got = []
+    for chunk in (None, 64):
+        pre = prepare(df, SeriesSpec(keys=("g",), order=("i",), chunk_rows=chunk), ["v"], "v", ["v"], ["none", "median", "kalman"], length=5)
+        got.append({(r["filter_type"], r["g"], r["i"]): (r["split"], r["label"], *r["features"]) for r in pre.collect()})
+    assert got[0].keys() == got[1].keys() and len(got[0]) == 3 * (295 + 25)
+    for k, v in got[0].items():
+        assert v[0] == got[1][k][0] and np.allclose(v[1:], got[1][k][1:], rtol=1e-9, atol=1e-9)

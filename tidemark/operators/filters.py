@@ -416,11 +416,13 @@ def filters_long(
     columns=(),
     carry=(),
     include_original: bool = False,
+    keep_index: bool = False,
 ) -> DataFrame:
     """Long form (F8/F11): one row per input row and filter, columns keep their names.
 
     ``carry`` lists extra columns to keep (keys and order are always kept). With
-    ``include_original`` each output row also holds ``<column>__original``.
+    ``include_original`` each output row also holds ``<column>__original``, with
+    ``keep_index`` its place in the series, for later steps that need not index again.
     """
     filters, _ = usable_filters(filters)  # the reasons of the others: filter_status
     names = [label for label, _ in filters]
@@ -428,7 +430,8 @@ def filters_long(
     keep = list(dict.fromkeys([*spec.keys, *spec.order, *carry]))
     # only the needed columns go through the index (and its checkpoint when chunked)
     df = df.select(*[qcol(c) for c in dict.fromkeys([*keep, *cols])])
-    wide = apply_filters(df, spec, filters, cols)
+    wide = apply_filters(df, spec, filters, cols, keep_index=keep_index)
+    keep += [IDX, N] if keep_index else []
     run_order = {name: i for i, name in enumerate(names)}
     structs = [
         F.struct(
