@@ -35,8 +35,8 @@ from tidemark.llm.common import shuffle_partitions
 WINDOW = 20
 GROUP_BITS = 9  # ids with the same value above these bits form a group of documents
 GROUP = 1 << GROUP_BITS
-PACK = 1 << 21  # windows that a map task packs at once
-BUCKET = 1 << 21  # windows that a bucket holds, about
+PACK = 1 << 20  # windows that a map task packs at once
+BUCKET = 1 << 20  # windows that a bucket holds, about
 LAST_ID = (1 << 63) - 1  # a null id comes after all others
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that powers keep all bits
