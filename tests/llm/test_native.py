@@ -121,6 +121,18 @@ def test_redirect_equivalence_equals_sql(lspark):
     assert U.judge(df.limit(0)).collect() == []
 
 
+def test_dot_segments_do_not_hide_an_alias(lspark, tmp_path):
+    """Page 6 refreshes to ../x, an alias of the blocked example.org/es/1."""
+    lspark.createDataFrame(PAGES, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = U.op2_url_filter(lspark, str(tmp_path))
+    no_python(got)
+    blocked = {r["page_id"] for r in got.collect() if r["verdict"] == "block"}
+    assert blocked == {1, 2, 3, 6, 9, 10, 11, 13, 14, 15, None}
+    paths = {"": "", "/": "/", "/a/b/c/./../../g": "/a/g", "/a/..": "/", "/a/b/.": "/a/b/", "/../../x": "/x", "/a//../b": "/a/b", "/a/...": "/a/...", "/.a/b.": "/.a/b.", "//x/../": "//"}
+    df = lspark.createDataFrame([*paths.items()], "p string, want string")
+    assert df.where(U.without_dots(F.col("p")) != F.col("want")).collect() == []
+
+
 def test_redirect_table_and_rule_order(lspark):
     df = lspark.createDataFrame([(1, "http://s.net/a", None), (2, "http://t.com/de/x", None)], "page_id long, url string, html string")
     moved = lspark.createDataFrame([("http://s.net/a", "http://t.com/de/x"), (None, "http://s.net/a")], "src string, dst string")

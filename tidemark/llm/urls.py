@@ -47,15 +47,27 @@ def path_of(url: Column) -> Column:
     return F.coalesce(_part(url, 3), F.lit(""))
 
 
-def address_of(url: Column) -> Column:
+def without_dots(path: Column) -> Column:
+    """A path, empty or from ``/`` on, without its ``.`` and ``..`` segments (RFC 3986, 5.2.4)."""
+    parts = F.split(F.substr(path, F.lit(2)), "/", -1)
+    popped = lambda kept: F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+    step = lambda kept, x: F.when(x == ".", kept).when(x == "..", popped(kept)).otherwise(F.concat(kept, F.array(x)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    last = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.when(path.contains("/."), F.concat(F.lit("/"), F.array_join(F.concat(kept, last), "/"))).otherwise(path)
+
+
+def address_of(url: Column, remove_dots: bool = False) -> Column:
     """A url as a node: scheme and host lower-cased, at least ``/`` as path, the query
-    kept, no fragment; null without ``://``."""
+    kept, no fragment; null without ``://``. ``remove_dots`` removes dot segments."""
     start = F.translate(F.concat(_part(url, 1), F.lit("://"), _part(url, 2)), UPPER, LOWER)
-    return F.when(url.contains("://"), F.concat(start, F.regexp_replace(path_of(url), "^$", "/"), _part(url, 4)))
+    path = without_dots(path_of(url)) if remove_dots else path_of(url)
+    return F.when(url.contains("://"), F.concat(start, F.regexp_replace(path, "^$", "/"), _part(url, 4)))
 
 
 def resolve(base: Column, target: Column) -> Column:
-    """``target`` as an absolute url, seen from a page at ``base`` (dot segments stay)."""
+    """``target`` as an absolute url, seen from a page at ``base`` (dot segments stay;
+    ``address_of`` removes them)."""
     scheme = _part(base, 1)
     root = F.concat(scheme, F.lit("://"), host_of(base))
     path = path_of(base)
@@ -87,7 +99,7 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Col
     return F.array_max(F.array(*found)) if found else F.lit(None).cast("struct<length:int,host_length:int,allows:boolean,rule:string,action:string>")
 
 
-def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html", remove_dots: bool = False) -> DataFrame:
     """``(a, b)``: addresses that a page's canonical links and refreshes make aliases."""
     rows = pages.select(F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     rows = rows.where(F.col("html").rlike(r"(?i)\bcanonical\b|\brefresh\b") & F.col("url").contains("://"))
@@ -98,12 +110,12 @@ def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     named = rows.select("url", F.explode(F.concat(hrefs, moves)).alias("target"))
     target = F.trim(F.replace(F.col("target"), F.lit("&amp;"), F.lit("&")))
     seen = named.select("url", resolve(F.col("url"), target).alias("target"))
-    return seen.select(address_of(F.col("url")).alias("a"), address_of(F.col("target")).alias("b"))
+    return seen.select(address_of(F.col("url"), remove_dots).alias("a"), address_of(F.col("target"), remove_dots).alias("b"))
 
 
 def judge(
     pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, redirects: DataFrame | None = None,
-    id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+    id_col: str = "page_id", url_col: str = "url", html_col: str = "html", remove_dots: bool = False,
 ) -> DataFrame:
     """One row per input row: ``page_id, host, path, rule, verdict``.
 
@@ -111,11 +123,13 @@ def judge(
     may hold ``(src, dst)`` urls. Null urls and urls without ``://`` have empty host and
     path, fit no rule with a host and have no aliases: allow. Null html names no alias.
     Repeated rows and null ids are kept; other columns are not read; an empty table
-    gives an empty table.
+    gives an empty table. ``remove_dots`` takes addresses that differ in dot segments
+    only as one (the query does); without it they stay apart, as in the SQL.
     """
-    edges = alias_edges(pages, url_col, html_col)
+    node = lambda c: address_of(F.col(c), remove_dots)
+    edges = alias_edges(pages, url_col, html_col, remove_dots)
     if redirects is not None:
-        edges = edges.unionByName(redirects.select(address_of(F.col("src")).alias("a"), address_of(F.col("dst")).alias("b")))
+        edges = edges.unionByName(redirects.select(node("src").alias("a"), node("dst").alias("b")))
     groups = connected_components(edges)
     own = groups.withColumn("r", rule_of(host_of(F.col("node")), path_of(F.col("node")), rules))
     decided = stored(
@@ -124,7 +138,7 @@ def judge(
     blocked = decided.where(F.col("blocked") & ~F.col("allowed")).select("root")
     aliases = stored(groups.join(blocked, "root").select(F.col("node").alias("_alias"), F.lit(True).alias("_blocked")), "url-aliases")
     url = F.col(url_col).cast("string")
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), address_of(url).alias("_address"))
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), address_of(url, remove_dots).alias("_address"))
     rows = rows.withColumn("_r", rule_of(F.col("host"), F.col("path"), rules))
     rows = rows.join(aliases, F.col("_address") == F.col("_alias"), "left")
     verdict = F.coalesce(F.col("_r.action"), F.when(F.col("_blocked"), F.lit("block")).otherwise(F.lit("allow")))
@@ -135,7 +149,7 @@ def op2_url_filter(spark, sf_dir: str) -> DataFrame:
     """Verdict on every page's url."""
     from tidemark.sources.tables import table
 
-    return judge(table(spark, sf_dir, "pages"))
+    return judge(table(spark, sf_dir, "pages"), remove_dots=True)
 
 
 def _sql() -> str:
