@@ -53,6 +53,19 @@ def test_few_shingles_fill_all_bins_alike():
     assert M.likeness(b"", b"") == 1.0 and M.likeness(b"", M.fingerprint("x")) == 0.0
 
 
+def test_empty_bins_draw_until_they_hit():
+    """Of few filled bins, none is preferred for being next around the ring."""
+    rng, ring, n = np.random.default_rng(8), 0, 0
+    for _ in range(40):
+        h = rng.integers(0, 1 << 64, 5, np.uint64)
+        full = np.unique(h >> np.uint64(55)).astype(int)
+        bins = M.bins_of(h)
+        empty = np.setdiff1d(np.arange(M.BINS), full)
+        ring += (bins[empty] == bins[full[np.searchsorted(full, empty) % len(full)]]).sum()
+        n += len(empty)
+    assert 0.15 < ring / n < 0.25
+
+
 def test_next_document_across_ranges(lspark):
     rows = [(7 * i - 50, f"text number {i} of the row " + "z" * i) for i in range(90)]
     got = {r["doc_id"]: r["edited_sha256"] for r in M.compare_with_next(lspark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}

@@ -14,7 +14,9 @@ c = 2**-BITS, clamped to 0..1. Its standard error is near 0.023 in the middle.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +32,7 @@ SHINGLE = 5
 BINS = 512
 BITS = 4
 SEED = 1729
+TRIES = 64  # bins that an empty bin asks at a time
 FIRST_ID = -(1 << 63)  # where a null id sorts
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -43,15 +46,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _donors() -> np.ndarray:
-    """Row j: the bins that bin j asks for a value, in order; the last ones are all
-    bins, so that some filled bin is always reached."""
-    tries = 64
-    asked = _mix(np.arange(BINS * tries, dtype=np.uint64) + np.uint64(SEED << 20)) % np.uint64(BINS)
-    return asked.reshape(BINS, tries).astype(np.int64)
-
-
-_ASK = _donors()
+@functools.lru_cache(maxsize=64)
+def _donors(block: int) -> np.ndarray:
+    """Row j: the next ``TRIES`` bins that bin j asks for a value, in order; block after
+    block, without end."""
+    start = np.uint64((SEED << 20) + block * BINS * TRIES)
+    asked = _mix(np.arange(BINS * TRIES, dtype=np.uint64) + start) % np.uint64(BINS)
+    return asked.reshape(BINS, TRIES).astype(np.uint16)
 
 
 def shingle_hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -80,13 +81,18 @@ def bins_of(hashes: np.ndarray) -> np.ndarray | None:
     filled = bins != _EMPTY
     if not filled.all():
         empty = np.flatnonzero(~filled)
-        asked = filled[_ASK[empty]]
-        first = asked.argmax(axis=1)
-        found = asked[np.arange(len(empty)), first]
-        given = np.where(found, _ASK[empty, first], 0)
-        if not found.all():  # none of the draws hit: the next filled bin around the ring
-            full = np.flatnonzero(filled)
-            given[~found] = full[np.searchsorted(full, empty[~found]) % len(full)]
+        given = np.empty(len(empty), np.int64)
+        left = np.arange(len(empty))  # places in ``empty`` whose draws have not hit yet
+        for block in itertools.count():
+            draws = _donors(block)[empty[left]]
+            asked = filled[draws]
+            first = asked.argmax(axis=1)
+            rows = np.arange(len(left))
+            found = asked[rows, first]
+            given[left[found]] = draws[rows, first][found]
+            left = left[~found]
+            if not len(left):
+                break
         bins[empty] = bins[given]
     return bins
 
