@@ -65,6 +65,16 @@ def test_shortage_goes_to_siblings_before_ancestors(lspark):
     assert got == {"a": 400, "b": 1100, "c": 0}
 
 
+def test_weight_zero_below_the_top_adds_no_capacity(lspark):
+    """d0 can spend on en only: what its share lacks goes to d1."""
+    rows = [("d0", "en", "a", 10, 100), ("d0", "fr", "b", 10, 900), ("d1", "en", "c", 10, 1000)]
+    leaves = lspark.createDataFrame(rows, "domain string, lang string, source string, docs long, tokens long")
+    got = {r["source"]: r["budget"] for r in M.budgets(leaves, M.LEVELS, ({}, {"fr": 0}, {}), 1000, 1).collect()}
+    assert got == {"a": 100, "b": 0, "c": 900}
+    got = {r["source"]: r["budget"] for r in M.budgets(leaves, M.LEVELS, ({}, {}, {"b": 0}), 1000, 1).collect()}
+    assert got == {"a": 100, "b": 0, "c": 900}
+
+
 def test_prefix_meets_each_budget(lspark):
     got = M.op1_mixing_sources(lspark, SF01).groupBy(*M.LEVELS).agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("n"), F.max("n_tokens").alias("m"), F.sum("n_tokens").alias("all"))
     leaves = M.op1_mixing_sources(lspark, SF01).groupBy(*M.LEVELS).agg(F.count(F.lit(1)).alias("docs"), F.sum("n_tokens").alias("tokens"))

@@ -50,6 +50,14 @@ def draw(seed: int, epoch: Column, doc_id: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
+def _weight(level: str, weights: Mapping[str, int]) -> Column:
+    """The weight of a node by its value on ``level``."""
+    weight = F.lit(1)
+    for value, w in weights.items():
+        weight = F.when(F.col(level) == value, F.lit(int(w))).otherwise(weight)
+    return weight
+
+
 def _share(children: DataFrame, parents: DataFrame | None, keys: Sequence[str], weights: Mapping[str, int], total: int) -> DataFrame:
     """``children(keys, cap)`` with ``budget``: the parent's, shared by weight up to cap.
 
@@ -57,9 +65,7 @@ def _share(children: DataFrame, parents: DataFrame | None, keys: Sequence[str],
     weight; the level follows from what the others weigh.
     """
     level, above = keys[-1], list(keys[:-1])
-    weight = F.lit(1)
-    for value, w in weights.items():
-        weight = F.when(F.col(level) == value, F.lit(int(w))).otherwise(weight)
+    weight = _weight(level, weights)
     rows = children.withColumn("w", weight.cast("long")).withColumn("c", F.when(F.col("w") > 0, F.col("cap")).otherwise(0))
     rows = rows.join(parents.select(*above, F.col("budget").alias("b")), above) if parents is not None else rows.withColumn("b", F.lit(total).cast("long"))
     ratio = F.when(F.col("w") > 0, F.col("c") / F.col("w")).otherwise(F.lit(-1.0))
@@ -80,9 +86,13 @@ def _share(children: DataFrame, parents: DataFrame | None, keys: Sequence[str],
 
 def budgets(leaves: DataFrame, levels: Sequence[str], weights: Sequence[Mapping[str, int]], total: int, max_epochs: int) -> DataFrame:
     """``leaves(levels, docs, tokens)`` with each leaf's token ``budget``. Weights are
-    whole numbers per value of a level (1 where none is given; 0: nothing). Shares are
-    rounded down, so the sum may fall short by a token per node."""
-    caps = leaves.withColumn("cap", F.col("tokens") * F.lit(max_epochs))
+    whole numbers per value of a level (1 where none is given; 0: nothing). What lies
+    below a weight of 0 adds nothing to the capacity of the nodes above. Shares are rounded
+    down, so the sum may fall short by a token per node."""
+    weighs = F.lit(True)
+    for level, given in zip(levels, weights):
+        weighs = weighs & (_weight(level, given) > 0)
+    caps = leaves.withColumn("cap", F.when(weighs, F.col("tokens") * F.lit(max_epochs)).otherwise(F.lit(0)).cast("long"))
     parents = None
     for i in range(len(levels)):
         keys = list(levels[: i + 1])
