@@ -70,3 +70,18 @@ def test_graph_round_trip_and_layers():
     assert (g.layers[0][:700] >= 0).any(axis=1).all()
     h = H.Graph.load(v, **g.flat())
     assert (g.search(v[:50])[0] == h.search(v[:50])[0]).all()
+
+
+def test_one_vector_much_longer_than_the_rest():
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(1500, 12))
+    v /= np.sqrt((v * v).sum(axis=1))[:, None]
+    for times in (1e3, 1e5, 1e9):
+        v[750] *= times / np.sqrt((v[750] ** 2).sum())
+        ids, _ = H.Graph(v).build().search(v[:200])
+        score = v[:200] @ v.T
+        hits = 0
+        for found, s in zip(ids, score):
+            found = found[found >= 0]
+            hits += len(set(found[np.argsort(-s[found])][:20]) & set(np.argsort(-s)[:20]))
+        assert hits / 4000 >= 0.95

@@ -3,7 +3,7 @@ small-world graph per shard, shard results merged.
 
 Graphs. Vectors of a shard get one more component so that all have the same length;
 inner products with a query (zero there) stay as they are, and nearness among vectors
-becomes a metric. Points enter in batches: a batch descends the layers by beam search,
+is their distance. Points enter in batches: a batch descends the layers by beam search,
 picks diverse neighbours among what it found and its own members, and links back; full
 lists are thinned by the same rule. All steps are numpy over the whole batch. A graph
 is stored as flat neighbour arrays, one row of a table per shard.
@@ -40,14 +40,16 @@ def _levels(n: int, seed: int) -> np.ndarray:
     return np.minimum((-np.log(np.maximum(u, 1e-12)) / np.log(M)).astype(np.int64), 6)
 
 
-def beam(points: np.ndarray, links: np.ndarray, queries: np.ndarray, entries: np.ndarray, ef: int) -> tuple[np.ndarray, np.ndarray]:
+def beam(points: np.ndarray, links: np.ndarray, queries: np.ndarray, entries: np.ndarray, ef: int, half: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The ``ef`` nearest points each query reaches: ids (-1: none) and products,
-    nearest first. ``entries`` are starting points per query (-1: none)."""
+    nearest first. ``entries`` are starting points per query (-1: none). With ``half``
+    (half the points' squares) nearness is that of ``_nearness``, not the product."""
+    own = (queries * queries).sum(axis=1) / 2
     b, n = len(queries), len(points)
     seen = np.zeros((b, n + 1), bool)  # the last column takes the missing ones
     seen[:, n] = True
     ids = np.full((b, ef), -1, np.int64)
-    near = np.full((b, ef), -np.inf, np.float32)
+    near = np.full((b, ef), -np.inf)
     done = np.ones((b, ef), bool)
 
     def products(rows: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,8 +60,10 @@ def beam(points: np.ndarray, links: np.ndarray, queries: np.ndarray, entries: np
         r, c = np.nonzero(fresh)
         at = found[r, c]
         seen[rows[r], at] = True
-        value = np.full(found.shape, -np.inf, np.float32)
+        value = np.full(found.shape, -np.inf)
         value[r, c] = np.einsum("kd,kd->k", points[at], queries[rows[r]])
+        if half is not None:
+            value[r, c] -= half[at] + own[rows[r]]
         return np.where(fresh, found, -1), value
 
     def merge(rows: np.ndarray, found: np.ndarray, value: np.ndarray) -> None:
@@ -89,15 +93,20 @@ def beam(points: np.ndarray, links: np.ndarray, queries: np.ndarray, entries: np
     return np.take_along_axis(ids, order, axis=1), np.take_along_axis(near, order, axis=1)
 
 
-def diverse(points: np.ndarray, cand: np.ndarray, near: np.ndarray, most: int) -> np.ndarray:
+def _nearness(products: np.ndarray, half_a: np.ndarray, half_b: np.ndarray) -> np.ndarray:
+    """Half the negative squared distance, from products and half the squares."""
+    return products - (half_a + half_b)
+
+
+def diverse(points: np.ndarray, half: np.ndarray, cand: np.ndarray, near: np.ndarray, most: int) -> np.ndarray:
     """Neighbours for a batch: candidates (sorted, nearest first; -1: none) that are
     nearer to the point than to any neighbour picked before; free places go to the
     nearest of the others."""
     b, c = cand.shape
-    v = points[np.maximum(cand, 0)]
-    among = v @ v.transpose(0, 2, 1)
+    v, h = points[np.maximum(cand, 0)], half[np.maximum(cand, 0)]
+    among = _nearness(v @ v.transpose(0, 2, 1), h[:, :, None], h[:, None, :])
     taken = np.zeros((b, c), bool)
-    closest = np.full((b, c), -np.inf, np.float32)  # to a picked neighbour
+    closest = np.full((b, c), -np.inf)  # to a picked neighbour
     count = np.zeros(b, np.int64)
     valid = cand >= 0
     for j in range(c):
@@ -114,14 +123,21 @@ def diverse(points: np.ndarray, cand: np.ndarray, near: np.ndarray, most: int) -
 
 
 class Graph:
-    """A shard's graph: unit-padded points, neighbour arrays per layer, entry point."""
+    """A shard's graph: padded points, neighbour arrays per layer, entry point.
+
+    The padding that gives all points unit length is kept as one minus itself, which
+    changes no distance, and points are compared by distance: beside one vector many
+    times longer than the rest their products would differ by less than rounding.
+    """
 
     def __init__(self, vectors: np.ndarray):
         v = np.asarray(vectors, np.float64)
         squares = (v * v).sum(axis=1)
         top = float(squares.max()) if len(v) else 1.0
         scale = 1.0 / np.sqrt(top)  # products only need to be comparable
-        self.points = np.concatenate([v * scale, np.sqrt(np.maximum(0.0, 1.0 - squares / top))[:, None]], axis=1).astype(np.float32)
+        pad = np.sqrt(np.maximum(0.0, 1.0 - squares / top))
+        self.points = np.concatenate([v * scale, (squares / top / (1.0 + pad))[:, None]], axis=1)
+        self.half = (self.points * self.points).sum(axis=1) / 2
         self.layers: list[np.ndarray] = []
         self.entry = -1
 
@@ -143,15 +159,15 @@ class Graph:
             return
         q = self.points[new]
         entries = np.full((len(new), 1), self.entry, np.int64)
-        own = q @ q.T
+        own = _nearness(q @ q.T, self.half[new][:, None], self.half[new][None, :])
         np.fill_diagonal(own, -np.inf)
         for layer in range(max(self.height, int(level[new].max())), -1, -1):
             here = level[new] >= layer
             if layer <= self.height:
-                ids, near = beam(self.points, self.layers[layer], q, entries, EF_BUILD if here.any() else 8)
+                ids, near = beam(self.points, self.layers[layer], q, entries, EF_BUILD if here.any() else 8, self.half)
                 entries = ids[:, :4]
             else:
-                ids, near = np.full((len(new), 1), -1, np.int64), np.full((len(new), 1), -np.inf, np.float32)
+                ids, near = np.full((len(new), 1), -1, np.int64), np.full((len(new), 1), -np.inf)
             if not here.any():
                 continue
             mates = np.where(here[None, :], own, -np.inf)[here]
@@ -168,7 +184,7 @@ class Graph:
 
     def _link(self, layer: int, nodes: np.ndarray, cand: np.ndarray, near: np.ndarray) -> None:
         links, most = self.layers[layer], (M0 if layer == 0 else M)
-        picked = diverse(self.points, cand, near, most // 2 if layer == 0 else most)
+        picked = diverse(self.points, self.half, cand, near, most // 2 if layer == 0 else most)
         links[nodes, : picked.shape[1]] = picked
         links[nodes, picked.shape[1] :] = -1
         # back links, by the point that receives them
@@ -196,15 +212,16 @@ class Graph:
             for i, t in enumerate(some):  # the receivers of this block
                 lists[i, held[t] : held[t] + count[t]] = by[first[t] : first[t] + count[t]]
             v = self.points[targets[some]]
-            value = np.einsum("bcd,bd->bc", self.points[np.maximum(lists, 0)], v)
+            at = np.maximum(lists, 0)
+            value = _nearness(np.einsum("bcd,bd->bc", self.points[at], v), self.half[at], self.half[targets[some]][:, None])
             value[lists < 0] = -np.inf
             sort = np.argsort(-value, axis=1, kind="stable")[:, : 2 * room]
-            links[targets[some], :most] = diverse(self.points, np.take_along_axis(lists, sort, axis=1), np.take_along_axis(value, sort, axis=1), most)
+            links[targets[some], :most] = diverse(self.points, self.half, np.take_along_axis(lists, sort, axis=1), np.take_along_axis(value, sort, axis=1), most)
             links[targets[some], most:] = -1
 
     def search(self, queries: np.ndarray, ef: int = EF_SEARCH) -> tuple[np.ndarray, np.ndarray]:
         """Points near each query, nearest first."""
-        q = np.concatenate([np.asarray(queries, np.float32), np.zeros((len(queries), 1), np.float32)], axis=1)
+        q = np.concatenate([np.asarray(queries, np.float64), np.zeros((len(queries), 1))], axis=1)
         entries = np.full((len(q), 1), self.entry, np.int64)
         for layer in range(self.height, 0, -1):
             entries = beam(self.points, self.layers[layer], q, entries, 16)[0][:, :8]
