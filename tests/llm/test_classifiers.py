@@ -109,6 +109,31 @@ def test_toxicity_awkward_rows(lspark, awkward, nothing):
     assert T.score(nothing, T.train(nothing, labels.limit(0))).collect() == []
 
 
+def test_rare_label_is_kept_and_weighted(lspark):
+    docs = lspark.range(4000).selectExpr("id AS doc_id", "'t' AS text")
+    labels = lspark.range(4000).selectExpr("id AS doc_id", "int(id % 100 = 0) AS toxic")
+    got = {r["label"]: r for r in trees.balanced_sample(docs, labels, "toxic", 400).groupBy("label").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
+    assert got[1.0]["n"] == 40 == got[1.0]["w"]
+    assert 300 <= got[0.0]["n"] <= 420 and abs(got[0.0]["w"] - 3960) < 600
+
+
+def test_calibration_rows_are_out_of_fold(lspark, monkeypatch):
+    """A rare label takes the same path: no trees give margins to rows they were fitted on."""
+    seen, fitted = [], []
+    class Watched(T.Ensemble):
+        def probability(self, x):
+            seen.append(len(x))
+            return super().probability(x)
+    fit = T.GBTClassifier.fit
+    monkeypatch.setattr(T, "Ensemble", Watched)
+    monkeypatch.setattr(T.GBTClassifier, "fit", lambda self, df: (fitted.append(df.count()), fit(self, df))[1])
+    rows = [(i, ("you awful idiot " if i % 20 == 0 else "kind words here ") * 3 + f"w{i % 7}") for i in range(400)]
+    docs = lspark.createDataFrame(rows, "doc_id long, text string")
+    model = T.train(docs, lspark.createDataFrame([(i, int(i % 20 == 0)) for i in range(400)], "doc_id long, toxic int"))
+    assert len(seen) == T.PARTS and sum(seen) == 400 and fitted == [400 - k for k in seen] + [400]
+    assert model.levels.min() < 0.3 <= model.levels.max()
+
+
 def test_toxicity_features():
     f = T.Featurizer({"idiot": 3.0, "idio-": 2.0, "hater": 2.0})
     at = {n: i for i, n in enumerate(T.FEATURES)}

@@ -7,8 +7,8 @@ regression.
    lexicon hits as rarely as new texts do; new texts get the lexicon of all parts.
 2. Features of whole texts (``FEATURES``): lexicon densities, closeness of lexicon words
    to second-person words, capitals, punctuation, obfuscation.
-3. Spark's gradient-boosted trees on the sample; isotonic regression on rows that took
-   no part in either turns their margin into a probability.
+3. Spark's gradient-boosted trees on the sample. Isotonic regression turns their margin
+   into a probability; it is fitted on margins of every part by trees of the other parts.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import crc_of_id, stored
-from tidemark.llm.trees import Ensemble, labelled_sample
+from tidemark.llm.trees import Ensemble, balanced_sample
 
 SAMPLE_ROWS = 20_000  # labelled rows that training reads, about
 LEXICON_WORDS = 20_000  # entries of each lexicon, at most: the most telling ones
@@ -169,16 +169,16 @@ class Featurizer:
 
 
 def _with_features(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    """``rows(id, label, text)`` -> ``id, label, x`` with the features as an array."""
+    """``rows(id, label, weight, text)`` -> ``id, label, weight, x`` with the features as an array."""
     shared = rows.sparkSession.sparkContext.broadcast(lexicon)  # two bounded lexicons
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Featurizer(shared.value)
         for batch in batches:
-            x = [maker.features(t.as_py()) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float64()))], names=["id", "label", "x"])
+            x = [maker.features(t.as_py()) for t in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(x, pa.list_(pa.float64()))], names=["id", "label", "weight", "x"])
 
-    return rows.select("id", "label", "text").mapInArrow(run, "id long, label double, x array<double>")
+    return rows.select("id", "label", "weight", "text").mapInArrow(run, "id long, label double, weight double, x array<double>")
 
 
 class Model:
@@ -194,13 +194,14 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit on about ``sample_rows`` labelled documents in four parts: three for the
-    trees, the last for the calibration.
+    """Fit on about ``sample_rows`` labelled documents, of a rare label as many as there
+    are up to half of that, weighted back to their share. The trees see all rows; the
+    calibration sees margins that trees of three parts give the fourth.
 
     Without labelled rows, or with one label only, the score is the share of label 1.
     """
     part = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(PARTS)).cast("int")
-    rows = stored(labelled_sample(docs, labels, "toxic", sample_rows, id_col, text_col).withColumn("part", part), "toxic-sample")
+    rows = stored(balanced_sample(docs, labels, "toxic", sample_rows, id_col, text_col).withColumn("part", part), "toxic-sample")
     n = {(r["part"], int(r["label"])): r["count"] for r in rows.groupBy("part", "label").count().collect()}
     total = sum(n.values())
     ones = sum(k for (_, label), k in n.items() if label)
@@ -216,20 +217,24 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id
     crossed = [_with_features(rows.where(F.col("part") == p), lexicon(tuple(q for q in parts if q != p))) for p in parts]
     crossed = [c.withColumn("part", F.lit(p)) for p, c in zip(parts, crossed)]
     features = stored(reduce(DataFrame.unionByName, crossed), "toxic-features")
-    # calibration on the last part; if a label is rare there, on all parts
-    few = min(n.get((PARTS - 1, label), 0) for label in (0, 1)) < 20
-    fitted = features if few else features.where(F.col("part") < PARTS - 1)
-    if fitted.select("label").distinct().count() < 2:
-        return Model({}, None, np.zeros(1), np.array([ones / total]))
-    boosted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED, maxBins=64, minInstancesPerNode=3).fit(
-        fitted.select("label", array_to_vector("x").alias("features"))
-    )
-    trees = Ensemble(boosted)
-    held = (features if few else features.where(F.col("part") == PARTS - 1)).select("label", "x").toPandas()  # of the bounded sample
-    p = trees.probability(np.array(held["x"].tolist()).reshape(-1, len(FEATURES)))
-    spark = docs.sparkSession
-    points = spark.createDataFrame(list(zip(held["label"].tolist(), p.tolist())) or [(0.0, 0.0)], "label double, features double")
-    iso = IsotonicRegression().fit(points)
+    def fit(sample: DataFrame) -> Ensemble:
+        boosted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED, maxBins=64, minInstancesPerNode=3, weightCol="weight")
+        return Ensemble(boosted.fit(sample.select("label", "weight", array_to_vector("x").alias("features"))))
+
+    points = []
+    for p in parts:  # out of fold, of the bounded sample
+        held = features.where(F.col("part") == p).select("label", "x", "weight").toPandas()
+        if not len(held):
+            continue
+        rest = [sum(n.get((q, label), 0) for q in parts if q != p) for label in (0, 1)]
+        if min(rest):
+            margin = fit(features.where(F.col("part") != p)).probability(np.array(held["x"].tolist()).reshape(-1, len(FEATURES)))
+        else:  # all rows of a label lie in this part: the others know one answer
+            margin = np.full(len(held), float(rest[1] > 0))
+        points += zip(held["label"].tolist(), margin.tolist(), held["weight"].tolist())
+    trees = fit(features)
+    points = docs.sparkSession.createDataFrame(points, "label double, features double, weight double")
+    iso = IsotonicRegression(weightCol="weight").fit(points)
     return Model(lexicon(tuple(parts)), trees, iso.boundaries.toArray(), np.clip(iso.predictions.toArray(), 0.0, 1.0))
 
 

@@ -10,19 +10,44 @@ from pyspark.sql import functions as F
 Condition = tuple[int, float, bool]
 
 
+def balanced_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, text, label, weight)`` as ``labelled_sample``, but of either label (0 or 1)
+    half of ``rows`` if there are so many; places that one leaves go to the other.
+    ``weight``: the labelled documents that a chosen one stands for."""
+    by_id = _labels_by_id(labels, label)
+    n = {r["label"]: r["count"] for r in by_id.groupBy("label").count().collect()}
+    least = min(n.values(), default=0) if len(n) > 1 else 0
+    few = min(least, rows // 2)
+    share = {x: min(1.0, (few if k == least else rows - few) / k) for x, k in n.items()}
+    rate = F.lit(1.0)
+    for x, s in share.items():
+        rate = F.when(F.col("label") == x, F.lit(s)).otherwise(rate)
+    chosen = by_id.where(_place() < rate).withColumn("weight", 1.0 / rate)
+    return _texts(docs, id_col, text_col).join(F.broadcast(chosen), "id")
+
+
+def _labels_by_id(labels: DataFrame, label: str) -> DataFrame:
+    by_id = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
+    return by_id.withColumnRenamed("doc_id", "id")
+
+
+def _place() -> Column:
+    return F.xxhash64("id", F.lit(11)).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, text, label)`` of about ``rows`` labelled documents, chosen by hashed id.
 
     Only the chosen labels are broadcast: ``rows`` of them, about. Repeated labels of an
     id count once (the larger); null labels and null ids teach nothing.
     """
-    by_id = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
-    by_id = by_id.withColumnRenamed("doc_id", "id")
-    n = by_id.count()
-    u = F.xxhash64("id", F.lit(11)).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
-    chosen = by_id.where(u < F.lit(min(1.0, rows / max(n, 1))))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "id")
+    by_id = _labels_by_id(labels, label)
+    chosen = by_id.where(_place() < F.lit(min(1.0, rows / max(by_id.count(), 1))))
+    return _texts(docs, id_col, text_col).join(F.broadcast(chosen), "id")
 
 
 def _is_leaf(node) -> bool:
