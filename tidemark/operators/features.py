@@ -174,6 +174,35 @@ def chrono_split(df: DataFrame, length: int = 0, test_size: float = config.TEST_
     return df.withColumns({"split": split_labels(n_s, pos, test_size, validation_split), "usable": n_s >= 4})
 
 
+def scaled_series(
+    df: DataFrame, spec: SeriesSpec, features, target: str, length: int = config.SEQUENCE_LENGTH, scaler: str = "standard", fit_on: str = "all",
+    test_size: float = config.TEST_SIZE, validation_split: float = config.VALIDATION_SPLIT, indexed: bool = False,
+) -> DataFrame:
+    """The first half of :func:`preprocess`, for a resolved spec: rows with their features
+    scaled, the raw target as ``_target``, ``_idx`` and ``_n``."""
+    base = df if indexed else with_index(df, spec)
+    fit_rows = None
+    if fit_on == "train":
+        n_train, _, _ = split_sizes(F.col(N) - F.lit(length), test_size, validation_split)
+        fit_rows = F.col(IDX) < F.lit(length) + n_train
+    elif fit_on != "all":
+        raise ValueError("fit_on must be 'all' or 'train'")
+    # the target keeps its raw value; only the features are scaled
+    return scale_series(base.withColumn("_target", numeric(target)), spec, features, scaler, fit_rows)
+
+
+def mark_samples(df: DataFrame, spec: SeriesSpec, features, target: str = "_target", length: int = config.SEQUENCE_LENGTH) -> DataFrame:
+    """The samples of an indexed frame, without their lag features: ``split``, ``usable`` and
+    ``complete`` (all values of the ``length`` rows before and the target are numbers)."""
+    finite = lambda c: numeric(c).isNotNull() & (F.abs(numeric(c)) < F.lit(float("inf")))
+    whole = reduce(lambda a, b: a & b, [finite(c) for c in features])
+    base = expand_halo(df.withColumn("_whole", whole), spec, length, 0)
+    before = F.count_if("_whole").over(spec.window().rowsBetween(-length, -1))
+    out = drop_halo(base.withColumn("complete", (before == length) & finite(target)), spec)
+    out = chrono_split(out.where(F.col(IDX) >= length), length)
+    return out.drop("_whole", *(["_chunk"] if spec.chunked else []))
+
+
 def preprocess(
     df: DataFrame,
     spec: SeriesSpec,
@@ -196,16 +225,7 @@ def preprocess(
     """
     if not indexed:
         spec, _ = resolve(df, spec)
-    base = df if indexed else with_index(df, spec)
-    fit_rows = None
-    if fit_on == "train":
-        n_train, _, _ = split_sizes(F.col(N) - F.lit(length), test_size, validation_split)
-        fit_rows = F.col(IDX) < F.lit(length) + n_train
-    elif fit_on != "all":
-        raise ValueError("fit_on must be 'all' or 'train'")
-    # the target keeps its raw value; only the features are scaled
-    base = base.withColumn("_target", numeric(target))
-    scaled = scale_series(base, spec, features, scaler, fit_rows)
+    scaled = scaled_series(df, spec, features, target, length, scaler, fit_on, test_size, validation_split, indexed)
     seq = sequences(scaled, spec, features, "_target", length, indexed=True, flat=flat).drop("_target")
     out = chrono_split(seq, length, test_size, validation_split)
     keep = list(dict.fromkeys([*spec.keys, *spec.order, *carry]))

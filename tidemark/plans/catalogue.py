@@ -968,6 +968,51 @@ def q_linear(spark, sf):
     )
 
 
+_LAG_SQL = """WITH w AS (SELECT user_id % 5 AS pool, value AS y, lag(value) OVER s AS p1, lag(value, 2) OVER s AS p2, row_number() OVER s AS r FROM events WINDOW s AS (PARTITION BY user_id ORDER BY ts)),
+m AS (SELECT pool, count(*) AS n, avg(y) AS y0, avg(p1) AS a0, avg(p2) AS b0, covar_pop(p1, p1) AS aa, covar_pop(p2, p2) AS bb, covar_pop(p1, p2) AS ab, covar_pop(p1, y) AS ay, covar_pop(p2, y) AS byy
+  FROM w WHERE r > 2 GROUP BY pool),
+c AS (SELECT *, (ay * bb - byy * ab) / (aa * bb - ab * ab) AS c1, (byy * aa - ay * ab) / (aa * bb - ab * ab) AS c2 FROM m)
+SELECT pool, CAST(1 AS INTEGER) AS lags, round(regr_slope(y, p1), 6) AS near, CAST(NULL AS DOUBLE) AS far, round(regr_intercept(y, p1), 6) AS intercept, count(*) AS samples FROM w WHERE r > 1 GROUP BY pool
+UNION ALL SELECT pool, 2, round(c1, 6), round(c2, 6), round(y0 - c1 * a0 - c2 * b0, 6), n FROM c"""
+
+
+@query("linear_lag_moments", _LAG_SQL)
+def q_lag_moments(spark, sf):
+    """R1 per pool of users, on one lag and on two, from lagged moments (no lag features)."""
+    from tidemark.operators.index import resolve, with_index
+    from tidemark.operators.lagfit import fit_linear_lags
+
+    ev = _ev(spark, sf).withColumn("pool", F.col("user_id") % 5)
+    spec, _ = resolve(ev, EV_SPEC)
+    rows = with_index(ev, spec)
+    one, two = (fit_linear_lags(rows, spec, ["value"], "value", k, "pool", "all").withColumn("lags", F.lit(k)) for k in (1, 2))
+    far = F.when(F.col("lags") == 2, F.element_at("coef", 1))
+    return one.unionByName(two).select("pool", "lags", r6(F.element_at("coef", -1)).alias("near"), r6(far).alias("far"), r6(F.col("intercept")).alias("intercept"), F.col("n").alias("samples"))
+
+
+@query(
+    "experiment_with_infinity",
+    """WITH e AS (SELECT value AS y, lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS p, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS r, count(*) OVER (PARTITION BY user_id) AS n FROM events),
+t AS (SELECT count(*) AS rows FROM e WHERE r > 1 AND n >= 5 AND r - 2 >= n - 1 - ceil((n - 1) * CAST(0.3 AS DOUBLE)) + (ceil((n - 1) * CAST(0.3 AS DOUBLE)) - ceil(ceil((n - 1) * CAST(0.3 AS DOUBLE)) * CAST(0.5 AS DOUBLE))))
+SELECT f AS filter_type, CASE WHEN f = 'broken' THEN 'no samples to train or test on' END AS skipped_reason, CASE WHEN f <> 'broken' THEN rows END AS sample_count
+FROM t, (VALUES ('none'), ('broken'), ('median')) v(f)""",
+)
+def q_experiment_with_infinity(spark, sf):
+    """One filter turns every value into infinity; the others run, the reason is kept."""
+    from tidemark.plans.experiment import run_experiment
+
+    class Broken(FL.NoFilter):
+        def sql(self, x, w):
+            return f"{x} + CAST('Infinity' AS DOUBLE)"
+
+    res = run_experiment(_ev(spark, sf), EV_SPEC, ["value"], "value", ["value"], filters=["none", ("broken", Broken()), "median"], length=1)
+    reasons = {}
+    for name, reason in res.skipped:  # the last one says why there is no model
+        reasons[name] = reason
+    status = spark.createDataFrame([(n, reasons.get(n)) for n in ("none", "broken", "median")], "filter_type string, skipped_reason string")
+    return status.join(res.summary.select("filter_type", "sample_count"), "filter_type", "left")
+
+
 _CLOCK = ("training_time_s", "inference_time_per_sample_s", "total_inference_time_s", "total_experiment_time_s")
 
 
