@@ -1116,10 +1116,104 @@ def q_forest_stump(spark, sf):
     return rows.select("l_quantity", F.round("prediction", 4).alias("prediction"), "rows")
 
 
+@query(
+    "training_controls",
+    """WITH RECURSIVE l AS (SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts) AS INTEGER) AS epoch, value AS loss FROM events),
+s(user_id, epoch, loss, lr, best, best_epoch, flat, lr_best, lr_flat, stopped) AS (
+  SELECT DISTINCT user_id, 0, CAST(NULL AS DOUBLE), CAST(0.01 AS DOUBLE), 'Infinity'::DOUBLE, 0, 0, 'Infinity'::DOUBLE, 0, false FROM l
+  UNION ALL SELECT s.user_id, l.epoch, l.loss,
+    CASE WHEN l.loss < s.lr_best - 1e-4 OR s.lr_flat + 1 < 5 THEN s.lr WHEN s.lr > 1e-6 THEN greatest(s.lr * 0.5, 1e-6) ELSE s.lr END,
+    least(s.best, l.loss), CASE WHEN l.loss < s.best THEN l.epoch ELSE s.best_epoch END, CASE WHEN l.loss < s.best THEN 0 ELSE s.flat + 1 END,
+    CASE WHEN l.loss < s.lr_best - 1e-4 THEN l.loss ELSE s.lr_best END, CASE WHEN l.loss < s.lr_best - 1e-4 OR s.lr_flat + 1 >= 5 THEN 0 ELSE s.lr_flat + 1 END,
+    l.loss >= s.best AND s.flat + 1 >= 10 AND l.epoch > 1
+  FROM s JOIN l ON l.user_id = s.user_id AND l.epoch = s.epoch + 1 WHERE NOT s.stopped)
+SELECT user_id, epoch, round(loss, 6) AS loss, round(lr, 9) AS lr, round(best, 6) AS best, best_epoch, stopped FROM s WHERE epoch > 0""",
+)
+def q_training_controls(spark, sf):
+    """Every user's values taken as the losses of a training run, epoch by epoch."""
+    from tidemark.operators.training import ControlState, training_controls
+
+    ev = table(spark, sf, "events").select("user_id", "ts", "value")
+    out = training_controls(ev, "user_id", "ts", "value", ControlState(lr=0.01))
+    return out.select("user_id", "epoch", r6(F.col("loss")).alias("loss"), F.round("lr", 9).alias("lr"), r6(F.col("best")).alias("best"), "best_epoch", "stopped")
+
+
+_NET = {"a1": 0.02, "a2": -0.03, "b1": -0.5, "b2": 1.25, "v1": 0.75, "v2": -1.5, "c": 10.0}  # 1-2-1 network
+
+
+@query(
+    "mlp_one_step",
+    f"""WITH {_PAIRS},
+f AS (SELECT event_type, p, y, greatest({_NET['a1']} * p + {_NET['b1']}, 0) AS h1, greatest({_NET['a2']} * p + {_NET['b2']}, 0) AS h2 FROM pairs WHERE p IS NOT NULL),
+r AS (SELECT *, {_NET['v1']} * h1 + {_NET['v2']} * h2 + {_NET['c']} - y AS r FROM f),
+g AS (SELECT event_type, avg(r * {_NET['v1']} * p * CAST(h1 > 0 AS INT)) AS a1, avg(r * {_NET['v2']} * p * CAST(h2 > 0 AS INT)) AS a2,
+  avg(r * {_NET['v1']} * CAST(h1 > 0 AS INT)) AS b1, avg(r * {_NET['v2']} * CAST(h2 > 0 AS INT)) AS b2, avg(r * h1) AS v1, avg(r * h2) AS v2, avg(r) AS c FROM r GROUP BY event_type),
+u AS (UNPIVOT g ON a1, a2, b1, b2, v1, v2, c INTO NAME parameter VALUE gradient),
+w AS (SELECT * FROM (VALUES {', '.join(f"('{k}', {v})" for k, v in _NET.items())}) t(parameter, start))
+SELECT event_type, parameter, round(gradient, 6) AS gradient, round(start - 0.01 * gradient / (abs(gradient) + 1e-8), 6) AS weight FROM u JOIN w USING (parameter)""",
+)
+def q_mlp_one_step(spark, sf):
+    """Gradient and weights of one synchronous step of a 1-2-1 network per event type."""
+    import numpy as np
+
+    from tidemark.operators import models as MD
+    from tidemark.operators import training as TR
+
+    pr = _pairs(spark, sf).select("event_type", F.array("p").alias("features"), F.col("y").alias("label"))
+    rows = TR.dealt(pr, None, "event_type", "features", "label")
+    names, start = list(_NET), np.array(list(_NET.values()))
+    loss = MD.mlp_loss([(1, 2), (2, 1)])
+    types = [r[0] for r in rows.select("g").distinct().collect()]
+    out = []
+    for g, (grad, n, *_) in TR.gradient_sums(rows, dict.fromkeys(types, start), loss, ~F.col("_val")).items():
+        stepped = TR.train_synchronous(rows.where(F.col("g") == g), {g: start}, loss, 0.01, 1, 1)[g].w
+        out += [(g, name, float(d / n), float(w)) for name, d, w in zip(names, grad, stepped)]
+    frame = spark.createDataFrame(out, "event_type string, parameter string, gradient double, weight double")
+    return frame.select("event_type", "parameter", r6(F.col("gradient")).alias("gradient"), r6(F.col("weight")).alias("weight"))
+
+
+@query(
+    "svr_two_points",
+    """WITH t AS (SELECT user_id, arg_min(k, ts) AS x1, arg_max(k, ts) AS x2, arg_min(value, ts) AS y1, arg_max(value, ts) AS y2
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events) GROUP BY user_id HAVING count(*) > 1),
+b AS (SELECT *, exp(-0.001 * (x1 - x2) * (x1 - x2)) AS k12, greatest(abs(y1 - y2) - 0.2, 0) AS room FROM t),
+m AS (SELECT *, CASE WHEN room = 0 THEN 0 ELSE least(1.0, CASE WHEN k12 < 1 THEN room / (2 - 2 * k12) ELSE 1.0 END) * sign(y1 - y2) END AS beta FROM b)
+SELECT user_id, round((y1 + y2) / 2, 4) AS intercept, round(beta * (1 - k12) + (y1 + y2) / 2, 4) AS first_prediction, round(-beta * (1 - k12) + (y1 + y2) / 2, 4) AS last_prediction FROM m""",
+)
+def q_svr_two_points(spark, sf):
+    """R3 in closed form: a kernel machine per user on the first and the last event."""
+    from tidemark.operators.kernel_svr import fit_kernel_svr
+
+    ends = _ev(spark, sf).groupBy("user_id").agg(
+        *[f("value", "ts").alias(f"y{i}") for i, f in ((1, F.min_by), (2, F.max_by))], *[f("k", "ts").alias(f"x{i}") for i, f in ((1, F.min_by), (2, F.max_by))], F.count(F.lit(1)).alias("n")
+    ).where("n > 1")
+    two = ends.select("user_id", F.explode(F.array(*[F.struct(F.array(f"x{i}").alias("features"), F.col(f"y{i}").alias("label"), F.lit(i).alias("end")) for i in (1, 2)])).alias("s"))
+    model = fit_kernel_svr(two.select("user_id", "s.*"), "user_id", gamma=0.001, tolerance=1e-7)
+    at = ends.join(model, "user_id")
+    value = lambda x: F.col("bias") + F.col("beta") * F.coalesce(F.exp(-F.col("gamma") * (F.try_element_at("x", F.lit(1)) - F.col(x)) ** 2), F.lit(0.0))
+    sums = lambda x: F.sum(value(x) - F.col("bias")) + F.first("bias")
+    return at.groupBy("user_id").agg(F.round(F.first("bias"), 4).alias("intercept"), F.round(sums("x1"), 4).alias("first_prediction"), F.round(sums("x2"), 4).alias("last_prediction"))
+
+
+@query(
+    "svr_optimal",
+    f"WITH {_PAIRS} SELECT event_type, count(*) AS rows, true AS optimal FROM pairs WHERE p IS NOT NULL GROUP BY event_type",
+)
+def q_svr_optimal(spark, sf):
+    """Next value from the last two, per event type; no row misses the optimum's conditions."""
+    from tidemark.operators.kernel_svr import fit_kernel_svr
+
+    pr = _pairs(spark, sf)
+    model = fit_kernel_svr(pr.select("event_type", F.array("p", F.coalesce("p2", "p")).alias("features"), F.col("y").alias("label")), "event_type", max_support=1 << 17)
+    worst = model.groupBy("event_type").agg(F.max("violation").alias("v"))
+    return pr.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows")).join(worst, "event_type").select("event_type", "rows", (F.col("v") <= 1e-3).alias("optimal"))
+
+
 query("experiment_linear")(_experiment("linear_regression"))
 query("experiment_auto")(_experiment("auto"))
 query("forest_next_step")(_experiment("random_forest", ("moving_average",)))
 query("svr_next_step")(_experiment("svr", ("moving_average",)))
+query("experiment_svr_all")(_experiment("svr"))
 query("mlp_next_step")(_experiment("mlp", ("moving_average",)))
 
 
