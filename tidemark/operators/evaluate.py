@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
+from tidemark.operators import quantiles as Q
 from tidemark.operators.filters import qcol
-from tidemark.operators.index import IDX, N, SeriesSpec, with_index
+from tidemark.session import written
 
 ERROR_STATS = (
     "error_mean",
@@ -37,39 +38,8 @@ def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction"
     return joined.select(*[qcol(c) for c in group], "sample_count", *[F.col(M.column_name(m)) for m in metrics])
 
 
-def _abs_error_quantiles(df: DataFrame, y, p, group: list[str], method: str) -> DataFrame:
-    qs = (0.25, 0.5, 0.75)
-    a = F.abs(y - p)
-    df = df.where(a.isNotNull())  # rows without an error have no rank
-    g = df.groupBy(*[qcol(c) for c in group]) if group else df
-    if method == "exact":
-        # Spark's exact percentile keeps every distinct value of a group in memory.
-        pct = F.percentile(a, list(qs))
-        return g.agg(*[pct[i].alias(n) for i, n in enumerate(("error_q1", "abs_error_median", "error_q3"))])
-    if method == "approx":
-        pct = F.percentile_approx(a, list(qs), 1_000_000)
-        return g.agg(*[pct[i].cast("double").alias(n) for i, n in enumerate(("error_q1", "abs_error_median", "error_q3"))])
-    # "rank": exact linear-interpolated quantiles by distributed ranking. The
-    # absolute errors are range-partitioned per group (a hot group spreads over
-    # many tasks), numbered, and only the few rows at the needed ranks are kept.
-    # The row number breaks ties, so a value that most rows share spreads as well.
-    keyed = df.select(*[qcol(c) for c in group], a.alias("_ae"), F.monotonically_increasing_id().alias("_tie"))
-    ranked = with_index(keyed, SeriesSpec(keys=tuple(group), order=("_ae", "_tie"), chunk_rows=1 << 20))
-    names = ("error_q1", "abs_error_median", "error_q3")
-    idx = F.col(IDX)
-    spots = [(n, F.lit(q) * (F.col(N) - 1)) for q, n in zip(qs, names)]
-    keep = None
-    for _, pexpr in spots:
-        hit = (idx == F.floor(pexpr)) | (idx == F.ceil(pexpr))
-        keep = hit if keep is None else keep | hit
-    aggs = []
-    for name, pexpr in spots:
-        lo_v = F.max(F.when(idx == F.floor(pexpr), F.col("_ae")))
-        hi_v = F.max(F.when(idx == F.ceil(pexpr), F.col("_ae")))
-        frac = F.max(pexpr - F.floor(pexpr))
-        aggs.append((lo_v + (hi_v - lo_v) * frac).alias(name))
-    picked = ranked.where(keep)
-    return (picked.groupBy(*[qcol(c) for c in group]) if group else picked).agg(*aggs)
+QUANTILES = (0.25, 0.5, 0.75)
+_QUANTILE_NAMES = ("error_q1", "abs_error_median", "error_q3")
 
 
 def _join_groups(left: DataFrame, right: DataFrame, group: list[str]) -> DataFrame:
@@ -86,27 +56,37 @@ def error_stats(df: DataFrame, label="label", prediction="prediction", group=(),
     """Error distribution per group (population std, linear-interpolated quartiles).
 
     Rows whose label or prediction is missing do not count; a null group is a group.
-    ``quantiles``: ``rank`` (distributed, any group size), ``exact`` (Spark's percentile:
-    the distinct errors of a group in one task's memory) or ``approx``; the first two agree.
+    ``quantiles``: ``rank`` (exact by selection, any group size: two passes over the rows, see
+    :mod:`.quantiles`), ``exact`` (Spark's percentile: the distinct errors of a group in one
+    task's memory) or ``approx``; the first two agree.
     """
+    if quantiles not in ("rank", "exact", "approx"):
+        raise ValueError("quantiles must be 'rank', 'exact' or 'approx'")
     y, p = qcol(label).cast("double"), qcol(prediction).cast("double")
     e = y - p
+    a = F.abs(e)
+    aggs = {
+        "error_mean": F.avg(e), "error_std": F.stddev_pop(e), "abs_error_mean": F.avg(a), "error_max": F.max(a), "error_min": F.min(a),
+        "samples_within_5percent": M.within_ratio(0.05)(y, p), "samples_within_10percent": M.within_ratio(0.10)(y, p), "sample_count": F.count_if(M.present(y, p)),
+    }
+    if quantiles == "rank":
+        aggs |= Q.bracket_columns(a, QUANTILES)
+    else:
+        pct = F.percentile(a, list(QUANTILES)) if quantiles == "exact" else F.percentile_approx(a, list(QUANTILES), 1_000_000)
+        aggs |= {n: pct[i].cast("double") for i, n in enumerate(_QUANTILE_NAMES)}
     g = df.groupBy(*[qcol(c) for c in group]) if group else df
-    base = g.agg(
-        F.avg(e).alias("error_mean"),
-        F.stddev_pop(e).alias("error_std"),
-        F.avg(F.abs(e)).alias("abs_error_mean"),
-        F.max(F.abs(e)).alias("error_max"),
-        F.min(F.abs(e)).alias("error_min"),
-        M.within_ratio(0.05)(y, p).alias("samples_within_5percent"),
-        M.within_ratio(0.10)(y, p).alias("samples_within_10percent"),
-        F.count_if(M.present(y, p)).alias("sample_count"),
-    )
-    q = _abs_error_quantiles(df, y, p, list(group), quantiles)
-    if group:
-        out = _join_groups(base, q, list(group))
-    else:  # two one-row aggregates: equi-join on a constant key
-        out = base.withColumn("_one", F.lit(1)).join(q.withColumn("_one", F.lit(1)), "_one", "left")
+    out = g.agg(*[c.alias(n) for n, c in aggs.items()])
+    if quantiles == "rank":
+        out = written(out, "error-stats")  # one row per group: read by both passes
+        keys = [f"k{i}" for i in range(len(group))]
+        named = [qcol(c).alias(k) for c, k in zip(group, keys)]
+        found = out.select(*named, "_rows", "_least", "_most", "_ends")
+        picked = Q.exact_quantiles(df.select(*named, a.alias("_ae")), keys, "_ae", QUANTILES, found)
+        picked = picked.select(*[F.col(k).alias(c) for k, c in zip(keys, group)], *[F.col(f"q{i}").alias(n) for i, n in enumerate(_QUANTILE_NAMES)])
+        if group:
+            out = _join_groups(out, picked, list(group))
+        else:
+            out = out.withColumn("_one", F.lit(1)).join(picked.withColumn("_one", F.lit(1)), "_one", "left")
     return out.select(*[qcol(c) for c in group], *ERROR_STATS, "sample_count")
 
 
