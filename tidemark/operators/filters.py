@@ -17,12 +17,16 @@ import warnings
 from abc import ABC, abstractmethod
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import kernels
 from tidemark.operators.index import IDX, N, SeriesSpec, drop_halo, expand_halo, max_series_length, resolve, with_index_info
+from tidemark.operators.streamed import polynomial_smooth, sliding_median, streamed_columns
+
+WIDE = 25  # rows of a window from which a filter works on streamed rows instead of shifts
 
 
 def qcol(name: str) -> Column:
@@ -48,6 +52,7 @@ class SmoothingFilter(ABC):
 
     name: str = ""
     scan = False
+    streamed = False  # a window too wide for an expression: see ``streamed_columns``
 
     def params(self) -> dict[str, float]:
         return {}
@@ -143,6 +148,17 @@ class MedianFilter(SmoothingFilter):
         h = self.kernel_size // 2
         return (h, h)
 
+    @property
+    def streamed(self):
+        return self.kernel_size > WIDE
+
+    @property
+    def reach(self):
+        return self.kernel_size // 2
+
+    def smooth(self, x, idx, n, rows):
+        return sliding_median(x, idx, n, rows, self.kernel_size, self.edge)
+
     def sql(self, x, w):
         k = self.kernel_size
         h = k // 2
@@ -176,6 +192,17 @@ class SavitzkyGolayFilter(SmoothingFilter):
     def halo(self):
         return (self.window - 1, self.window - 1)
 
+    @property
+    def streamed(self):
+        return self.window > WIDE
+
+    @property
+    def reach(self):
+        return self.window - 1
+
+    def smooth(self, x, idx, n, rows):
+        return polynomial_smooth(x, idx, n, rows, np.array(kernels.savgol_hat(self.window, self.polyorder)))
+
     def sql(self, x, w):
         width = self.window
         h = width // 2
@@ -360,7 +387,8 @@ def apply_filters(
         base = df
     else:
         base, known_len = with_index_info(df, spec)
-    windowed = [(label, f) for label, f in pairs if not f.scan]
+    windowed = [(label, f) for label, f in pairs if not f.scan and not f.streamed]
+    wide = {out_name(c, label): (c, f) for label, f in pairs if f.streamed for c in cols}
     scans = [(label, f) for label, f in pairs if f.scan]
     out = base
     if windowed:
@@ -387,13 +415,16 @@ def apply_filters(
             out = out.withColumns(finals)
         out = out.drop(*helpers, *xs)
         out = drop_halo(out, spec)
-    if scans and spec.chunked and not windowed:
+    # a scan's blocks lie within chunks of the spec's own size; a wider halo has made longer ones
+    if scans and spec.chunked and (not windowed or max(left, right) > spec.rows_per_chunk):
         out = out.withColumn("_chunk", F.floor(F.col(IDX) / F.lit(spec.rows_per_chunk)).cast("long"))
     max_len = known_len
     if scans and max_len is None:
         max_len = max_series_length(df, spec)
     for label, f in scans:
         out = kalman_columns(out, spec, {out_name(c, label): c for c in cols}, f.process_variance, f.measurement_variance, max_len=max_len)
+    if wide:
+        out = streamed_columns(out, spec, wide)
     if spec.chunked:
         out = out.drop("_chunk")
     if not keep_index:

@@ -189,6 +189,26 @@ def q_long_series(spark, sf):
     return long.select("event_id", "filter_type", r6(F.col("value")).alias("value_f"))
 
 
+POOL = O.EV.replace("user_id AS g", "user_id % 6 AS g").replace("PARTITION BY user_id ORDER BY ts", "PARTITION BY user_id % 6 ORDER BY ts, event_id").replace("PARTITION BY user_id)", "PARTITION BY user_id % 6)").replace("ts AS ord", "row_number() OVER (PARTITION BY user_id % 6 ORDER BY ts, event_id) AS ord")
+
+
+def _pooled_filter(name: str, chunk_rows=None, **params):
+    def run(spark, sf):
+        ev = table(spark, sf, "events").select((F.col("user_id") % 6).alias("pool"), "ts", "event_id", "value")
+        out = FL.apply_filter(ev, SeriesSpec(keys=("pool",), order=("ts", "event_id"), chunk_rows=chunk_rows), name, ["value"], **params)
+        return out.select("pool", "event_id", r6(F.col("value")).alias("value_f"))
+
+    return run
+
+
+# wide windows: six pooled series, whole and in chunks shorter than the window
+_WIDE = "SELECT g AS pool, id AS event_id, round({}, 6) AS value_f FROM {}"
+query("filter_savgol_101", f"WITH {POOL},\n{O.savgol_cte('fs', 101)}\n" + _WIDE.format("f", "fs"))(_pooled_filter("savitzky_golay", window=101))
+query("filter_savgol_101_chunked", SQL["filter_savgol_101"])(_pooled_filter("savitzky_golay", 64, window=101))
+query("filter_median_101", f"WITH {POOL}\n" + _WIDE.format(O.f_median(kernel=101), "ev"))(_pooled_filter("median", kernel_size=101))
+query("filter_median_101_shrink", f"WITH {POOL}\n" + _WIDE.format(O.f_median_shrink(kernel=101), "ev"))(_pooled_filter("median", 300, kernel_size=101, edge="shrink"))
+
+
 # ------------------------------------------------------------------ comparison F9/F10
 
 

@@ -115,6 +115,16 @@ def _hat(width: int, order: int) -> list[list[float]]:
     return [[float(sum(x**i * rows[i][m + j] for i in range(m))) for j in range(width)] for x in xs]
 
 
+def savgol_cte(name: str, window: int, src: str = "ev", col: str = "x") -> str:
+    """Cubic fit by the polynomials that are orthogonal on ``window`` places, as joins."""
+    h = window // 2
+    return f"""gp AS (SELECT j, x, x * x - s2 / {window} AS p2, x * x * x - s4 / s2 * x AS p3, s2 FROM (
+    SELECT j, (j - {h})::DOUBLE AS x, sum((j - {h})::DOUBLE ** 2) OVER () AS s2, sum((j - {h})::DOUBLE ** 4) OVER () AS s4 FROM range({window}) t(j))),
+hat AS (SELECT r.j AS r, c.j AS j, 1.0 / {window} + r.x * c.x / r.s2 + r.p2 * c.p2 / (SELECT sum(p2 * p2) FROM gp) + r.p3 * c.p3 / (SELECT sum(p3 * p3) FROM gp) AS w FROM gp r, gp c),
+{name} AS (SELECT a.g, a.id, CASE WHEN any_value(a.n) < {window} THEN any_value(a.{col}) ELSE sum(hat.w * b.{col}) END AS f
+  FROM (SELECT *, least(greatest(idx - {h}, 0), greatest(n - {window}, 0)) AS lo FROM {src}) a JOIN hat ON hat.r = a.idx - a.lo JOIN {src} b ON b.g = a.g AND b.idx = a.lo + hat.j GROUP BY a.g, a.id)"""
+
+
 def f_savgol(col="x", window=config.SG_WINDOW, polyorder=config.SG_POLYORDER):
     width = window  # the queries pass odd windows above the order, which need no repair
     hat = _hat(width, polyorder)
