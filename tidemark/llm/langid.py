@@ -21,7 +21,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import crc_of_id, stored
@@ -30,6 +30,7 @@ SAMPLE_ROWS = 3000  # labelled rows per language that training reads, about
 MAX_WORDS = 50_000  # words kept, the most frequent ones
 MAX_GRAMS = 50_000  # n-grams kept of each length
 MIN_COUNT = 2  # of a word, to count as known
+MAX_GROUPS = 1000  # languages to learn, at most: each is a column of the model
 ORDERS = (4, 3, 2, 1)
 ALPHA = 0.5  # added to every count
 CACHE = 1 << 18  # words whose scores a worker remembers
@@ -153,8 +154,10 @@ def predict(scorer: Scorer, texts: list[str | None]) -> list[tuple[str, float]]:
 def sample(rows: DataFrame, group: str, per_group: int, key: Column) -> DataFrame:
     """About ``per_group`` rows of each group: those whose hashed key falls below the
     group's share (all rows of a smaller group). One count per group reaches the driver;
-    the groups are a label's values."""
-    counts = {r[group]: r["count"] for r in rows.groupBy(group).count().collect()}
+    the groups are a label's values, at most ``MAX_GROUPS`` (more are refused)."""
+    counts = {r[group]: r["count"] for r in rows.groupBy(group).count().limit(MAX_GROUPS + 1).collect()}
+    if len(counts) > MAX_GROUPS:
+        raise ValueError(f"column {group} has over {MAX_GROUPS} values: clean it before training")
     u = F.xxhash64(key, F.lit(7)).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
     share = F.lit(0.0)
     for value, n in counts.items():
@@ -194,25 +197,34 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _most(counts: DataFrame, words: int, grams: int, least: int) -> DataFrame:
-    """The items of at least ``least`` occurrences, above the threshold that leaves
-    ``words`` words and ``grams`` n-grams of each length at most (by a histogram of 16
-    steps per doubling, a few hundred rows)."""
+    """Of the items of at least ``least`` occurrences the ``words`` most frequent words and
+    ``grams`` most frequent n-grams of each length, ties to the smaller item.
+
+    A histogram of 16 steps per doubling (a few hundred rows) finds the step in which a limit
+    falls; only the items of that step are ranked one by one."""
     totals = counts.groupBy("kind", "item", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     step = F.floor(F.log2("n") * 16)
-    cut: dict[int, int] = {}
-    kept: dict[int, int] = {}
-    full: set[int] = set()
-    for r in sorted(totals.groupBy("kind", step.alias("s")).count().collect(), key=lambda r: -r["s"]):
+    totals = stored(totals.withColumn("s", step), "langid-items")
+    edge: dict[int, int] = {}  # by kind, the step in which its limit falls
+    room: dict[int, int] = {}  # and the places left for it
+    for r in sorted(totals.groupBy("kind", "s").count().collect(), key=lambda r: -r["s"]):
         k = r["kind"]
-        kept[k] = kept.get(k, 0) + r["count"]
-        if kept[k] > (grams if k else words):
-            full.add(k)
-        if k not in full:
-            cut[k] = r["s"]
-    limit = F.lit(None).cast("long")
-    for k, s in cut.items():
-        limit = F.when(F.col("kind") == k, F.lit(s)).otherwise(limit)
-    return totals.where(step >= limit).select("kind", "item", "gram")
+        left = room.setdefault(k, grams if k else words)
+        if k not in edge:
+            edge[k] = r["s"]
+            if r["count"] < left:
+                del edge[k]
+                room[k] = left - r["count"]
+    here, places = F.lit(None).cast("long"), F.lit(0)
+    for k, s in edge.items():
+        here = F.when(F.col("kind") == k, F.lit(s)).otherwise(here)
+        places = F.when(F.col("kind") == k, F.lit(room[k])).otherwise(places)
+    above = totals.where(here.isNull() | (F.col("s") > here)).select("kind", "item", "gram")
+    if not edge:
+        return above
+    order = Window.partitionBy("kind").orderBy(F.desc("n"), "item", "gram")
+    ranked = totals.where(F.col("s") == here).withColumn("rn", F.row_number().over(order))
+    return above.unionByName(ranked.where((F.col("rn") <= max(room.values())) & (F.col("rn") <= places)).select("kind", "item", "gram"))
 
 
 def train(
