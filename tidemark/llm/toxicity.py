@@ -30,7 +30,6 @@ from tidemark.llm.common import crc_of_id, stored
 from tidemark.llm.trees import Ensemble, balanced_sample
 
 SAMPLE_ROWS = 20_000  # labelled rows that training reads, about
-LEXICON_WORDS = 20_000  # entries of each lexicon, at most: the most telling ones
 LEAST_TEXTS = 4  # toxic texts an entry must occur in
 LEAST_RATIO = 8.0  # of its document frequencies, toxic to other
 BEGINNINGS = (4, 5, 6, 7)  # letters of word beginnings
@@ -83,12 +82,12 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def lexicon_of(counts: DataFrame, toxic_texts: int, other_texts: int) -> dict[str, float]:
-    """Term -> log ratio of document frequencies, for the telling terms."""
+    """Term -> log ratio of document frequencies, for all telling terms; they are bounded
+    by the texts of the labelled sample."""
     sums = counts.groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("other").alias("o"))
     ratio = ((F.col("t") + 0.5) / F.lit(toxic_texts + 1.0)) / ((F.col("o") + 0.5) / F.lit(other_texts + 1.0))
-    told = sums.where((F.col("t") >= LEAST_TEXTS) & (ratio >= LEAST_RATIO)).select("term", F.log(ratio).alias("w"), "t")
-    rows = told.orderBy(F.col("t").desc(), "term").limit(LEXICON_WORDS).collect()
-    return {r["term"]: float(r["w"]) for r in rows}
+    told = sums.where((F.col("t") >= LEAST_TEXTS) & (ratio >= LEAST_RATIO)).select("term", F.log(ratio).alias("w"))
+    return {r["term"]: float(r["w"]) for r in told.collect()}
 
 
 class Featurizer:
