@@ -11,8 +11,8 @@ is stored as flat neighbour arrays, one row of a table per shard.
 Data flow. Equal vectors are one point (a vector that a third of all rows share is one
 node); a point keeps its smallest ids, as many as a result can hold. Points are dealt to
 shards of ``SHARD`` points at most on average, by hashed id. Every query visits every
-shard: shard and slice of the queries make a task, so neither hot shards nor many
-queries meet in one. Each task returns its exact best per query; a window merges them.
+shard: pairs of a shard and a slice of the queries are dealt to a bounded number of tasks,
+which load a graph once and let its queries stream past. Each task returns its exact best per query; a window merges them.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import shuffle_partitions, stored
 
 SHARD = 8192  # points of a shard, about
 M, M0 = 16, 32  # neighbours of a point on upper layers and on the lowest
@@ -307,13 +307,24 @@ def build_index(points: DataFrame, shards: int) -> DataFrame:
     return dealt.select("shard", "rep", "members", "v").repartitionById(shards, "shard").mapInArrow(run, _INDEX)
 
 
+def _by_graph(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, dict | None]]:
+    """Rows sorted by shard, graphs before queries -> (queries, graph) in pieces; the graph is
+    given with its first piece only."""
+    for batch in batches:
+        graphs = np.flatnonzero(batch.column("kind").to_numpy() == 0).tolist()
+        cuts = [0, *graphs, batch.num_rows] if not graphs or graphs[0] else [*graphs, batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            rows = batch.slice(a, b - a).to_pylist()
+            index = rows.pop(0) if rows and rows[0]["kind"] == 0 else None
+            yield rows, index
+
+
 def _search_stage(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = None
-        for batch in batches:
-            rows = batch.to_pylist()
-            if rows and rows[0]["kind"] == 0:
-                index = rows.pop(0)
+        for batch, index in _by_graph(batches):
+            rows = batch
+            if index is not None:
                 reps = np.frombuffer(index["reps"], "<i8")
                 vectors = np.frombuffer(index["vectors"], "<f8").reshape(len(reps), -1)
                 ends = np.cumsum(np.frombuffer(index["sizes"], "<i4"))
@@ -327,7 +338,9 @@ def _search_stage(k: int):
                 for r, vector, found in zip(block, q, ids):
                     found = found[found >= 0]
                     exact = (vectors[found] * vector).sum(axis=1)
-                    best = np.argsort(-exact, kind="stable")[: 2 * k]
+                    # all points that tie with the last one that may be needed (one may be the query's own)
+                    least = np.partition(exact, -k - 1)[-k - 1] if len(exact) > k + 1 else -np.inf
+                    best = np.flatnonzero(exact >= least)
                     # copies of a point share its score; the query itself is no candidate
                     who = np.concatenate([members[f] for f in found[best]])
                     value = np.repeat(exact[best], [len(members[f]) for f in found[best]])
@@ -345,6 +358,11 @@ def _search_stage(k: int):
     return run
 
 
+def search_tasks(shards: int, slices: int, partitions: int) -> int:
+    """Tasks of a search: a pair of shard and slice each, but no more than a few waves."""
+    return min(shards * slices, max(shards, 4 * partitions))
+
+
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: for each vector that ``is_query`` (a condition
     on ``vec_id``) picks, its ``k`` nearest others by inner product, nearest first, ties
@@ -360,16 +378,18 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     index = stored(build_index(points, shards), "hnsw-index")
     queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "v")
     slices = max(1, -(-queries.count() // SLICE))
-    slice_ = F.pmod(F.xxhash64("query_id"), F.lit(slices)).cast("int")
-    asked = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select(
-        (F.col("shard") * slices + slice_).cast("int").alias("task"), F.lit(1).alias("kind"), "query_id", "v"
-    )
-    graphs = index.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).withColumn(
-        "task", (F.col("shard") * slices + F.col("slice")).cast("int")
-    )
-    graphs = graphs.select("task", F.lit(0).alias("kind"), "reps", "sizes", "members", "vectors", "links", "upper")
+    # pairs of shard and slice, dealt in order to a bounded number of tasks: a task loads a
+    # shard's graph once and the queries of its slices stream past it
+    parts = search_tasks(shards, slices, shuffle_partitions(vectors.sparkSession))
+    task = lambda pair: F.expr(f"cast(({pair}) * {parts}L div {shards * slices} as int)")
+    slice_ = F.pmod(F.xxhash64("query_id"), F.lit(slices)).alias("slice")
+    asked = queries.select("query_id", "v", slice_, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    asked = asked.select(task(f"shard * {slices}L + slice").alias("task"), "shard", F.lit(1).alias("kind"), "query_id", "v")
+    first, last = task(f"shard * {slices}L"), task(f"shard * {slices}L + {slices - 1}")
+    graphs = index.withColumn("task", F.explode(F.sequence(first, last)))
+    graphs = graphs.select("task", "shard", F.lit(0).alias("kind"), "reps", "sizes", "members", "vectors", "links", "upper")
     both = graphs.unionByName(asked, allowMissingColumns=True)
-    tasks = both.repartitionById(shards * slices, "task").sortWithinPartitions("kind")
+    tasks = both.repartitionById(parts, "task").sortWithinPartitions("shard", "kind")
     found = tasks.mapInArrow(_search_stage(k), "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
