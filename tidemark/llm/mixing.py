@@ -43,13 +43,18 @@ def tokens_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def draw(seed: int, epoch: Column, doc_id: Column) -> Column:
+def draw(seed: int, epoch: Column, doc_id: Column, sign: Column) -> Column:
     """A document's place in an epoch, 0 up to 2**60: digits of an MD5, as any engine
-    has it."""
-    key = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")))
+    has it. ``sign`` (of its text) sets documents of a null or repeated id apart."""
+    key = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")), sign)
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
+def sign_of(text: Column) -> Column:
+    """16 digits of a text's MD5 (null: of the empty one)."""
+    return F.substring(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")), 1, 16)
+
+
 def _weight(level: str, weights: Mapping[str, int]) -> Column:
     """The weight of a node by its value on ``level``."""
     weight = F.lit(1)
@@ -115,12 +120,12 @@ def mix(
     Null levels count as the value ``(none)``. Null and empty texts have no tokens; like
     any document they are in whole epochs, and in a prefix that has not ended (a leaf
     without any tokens selects nothing). Ties in
-    the order go by id, then length; equal rows are interchangeable. A null id is an id
-    of its own. Other columns are not read; an empty table gives an empty table.
+    the order go by id, then length; equal rows are interchangeable. Rows of a null or
+    repeated id are drawn apart by their texts. Other columns are not read; an empty table gives an empty table.
     """
     levels = list(LEVELS)
     cols = [domain.alias("domain"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source")]
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(n) for c, n in zip(cols, levels)], tokens_of(F.col(text_col)).alias("n_tokens"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(n) for c, n in zip(cols, levels)], tokens_of(F.col(text_col)).alias("n_tokens"), sign_of(F.col(text_col)).alias("sign"))
     rows = stored(rows, "mix-rows")
     leaves = stored(rows.groupBy(*levels).agg(F.count(F.lit(1)).alias("docs"), F.sum("n_tokens").alias("tokens")), "mix-leaves")
     tokens = int(leaves.agg(F.sum("tokens")).first()[0] or 0)
@@ -129,7 +134,7 @@ def mix(
     plan = plan.withColumn("epochs", F.floor(F.col("budget") / F.col("tokens")).cast("long"))
     plan = plan.withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
     plan = stored(plan.withColumn("buckets", F.ceil(F.col("docs") / F.lit(BUCKET_ROWS))).select(*levels, "epochs", "rest", "buckets"), "mix-plan")
-    placed = rows.join(plan, levels, "left").withColumn("u", draw(seed, F.col("epochs"), F.col("doc_id")))
+    placed = rows.join(plan, levels, "left").withColumn("u", draw(seed, F.col("epochs"), F.col("doc_id"), F.col("sign")))
     placed = placed.withColumn("bucket", F.floor(F.col("u") * F.col("buckets").cast("double") / F.lit(float(_TOP))))
     placed = stored(placed.select("doc_id", *levels, "n_tokens", "epochs", "rest", "u", "bucket"), "mix-placed")
     # the bucket of each leaf in which its prefix ends, and the tokens before it
@@ -149,9 +154,10 @@ def mix(
 
 
 def source_domain(source: Column) -> Column:
-    """The domain of a numbered source: its number's remainder by four."""
+    """The domain of a numbered source: its number's remainder by four, which its last two
+    digits tell, however long it is."""
     number = F.regexp_extract(source, r"[0-9]+", 0)
-    return F.when(number != "", F.concat(F.lit("d"), F.pmod(number.cast("long"), F.lit(4)).cast("string")))
+    return F.when(number != "", F.concat(F.lit("d"), F.pmod(F.substring(number, -2, 2).cast("int"), F.lit(4)).cast("string")))
 
 
 def op1_mixing_sources(spark, sf_dir: str) -> DataFrame:
@@ -184,17 +190,18 @@ b{i} AS (SELECT {', '.join(keys)}, {tail}
   (CASE WHEN filled THEN c ELSE least(c, greatest(0, floor(w * max(CASE WHEN NOT filled THEN t END) OVER ({by.strip()})))) END)::BIGINT AS budget FROM h{i})"""
 
     num, den = BUDGET_SHARE
+    weighs = " AND ".join(f"({weight(i)}) > 0" for i in range(len(LEVELS)))
     number = "regexp_extract(source, '[0-9]+')"
     return f"""
 WITH d AS (
-  SELECT doc_id, coalesce(CASE WHEN {number} <> '' THEN 'd' || ({number}::BIGINT % 4) END, '{NONE}') AS domain,
+  SELECT doc_id, coalesce(CASE WHEN {number} <> '' THEN 'd' || (right({number}, 2)::INTEGER % 4) END, '{NONE}') AS domain,
     coalesce(lang, '{NONE}') AS lang, coalesce(source, '{NONE}') AS source,
-    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens FROM documents),
-cap3 AS (SELECT domain, lang, source, count(*) AS docs, sum(n_tokens)::BIGINT AS tokens, (sum(n_tokens) * {MAX_EPOCHS})::BIGINT AS cap FROM d GROUP BY ALL),
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens, substr(md5(coalesce(text, '')), 1, 16) AS sign FROM documents),
+cap3 AS (SELECT domain, lang, source, count(*) AS docs, sum(n_tokens)::BIGINT AS tokens, (sum(CASE WHEN {weighs} THEN n_tokens ELSE 0 END) * {MAX_EPOCHS})::BIGINT AS cap FROM d GROUP BY ALL),
 total AS (SELECT (sum(tokens)::BIGINT * {num}) // {den} AS total FROM cap3),{share(0)},{share(1)},{share(2)},
 plan AS (SELECT domain, lang, source, floor(budget / tokens)::BIGINT AS epochs, budget - floor(budget / tokens)::BIGINT * tokens AS rest FROM b2 WHERE tokens > 0),
 u AS (SELECT d.*, coalesce(epochs, 0) AS epochs, coalesce(rest, 0) AS rest,
-  ('0x' || substr(md5('{SEED}:' || coalesce(epochs, 0)::VARCHAR || ':' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS u
+  ('0x' || substr(md5('{SEED}:' || coalesce(epochs, 0)::VARCHAR || ':' || coalesce(doc_id::VARCHAR, '') || ':' || sign), 1, 15))::BIGINT AS u
   FROM d LEFT JOIN plan USING (domain, lang, source))
 SELECT doc_id, domain, lang, source, n_tokens,
   epochs + (sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY u, doc_id, n_tokens ROWS UNBOUNDED PRECEDING) - n_tokens < rest)::BIGINT AS copies
