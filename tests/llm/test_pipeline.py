@@ -58,6 +58,21 @@ def test_awkward_and_empty_tables(lspark, awkward, nothing):
                 assert now.columns == docs.columns
         assert now.count() <= docs.count()
     assert now.count() == 0
-    # near-duplicates: one row per id stays, a null id passes
+    # near-duplicates: equal texts once (the null id's equals id 4's), both texts of id 5 stay
     left = P.near_dedup_stage(lspark, docs, SMALL).collect()
-    assert sorted(str(r["doc_id"]) for r in left) == ["-7", "1", "4", "5", "None"]
+    assert sorted(str(r["doc_id"]) for r in left) == ["-7", "1", "4", "5", "5"]
+
+
+def test_rows_are_named_by_all_their_columns(lspark):
+    """Null and repeated ids, a source with a long number, a column with a dot, equal rows."""
+    rows = [(None, f"text number {i} of many words {i * i}", "en", "src" + "9" * 25) for i in range(20)] + [(7, "a b c", "en", "s1"), (7, "d e f", "en", "s1")] + [(8, "x y z", None, None)] * 4
+    docs = lspark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr("*", "length(text) AS n_chars", "1 AS `a.b`")
+    docs = stored(docs, "test")
+    near = P.near_dedup_stage(lspark, docs, SMALL)
+    assert near.columns == docs.columns and near.where("doc_id = 7").count() == 2 and near.where("doc_id = 8").count() == 1
+    assert P.substring_stage(lspark, docs, SMALL).columns == docs.columns
+    taken = stored(P.mixing_stage(lspark, docs, SMALL), "test")
+    keyed = docs.select(P.row_key(docs).alias("key"), "text", "lang", "source")
+    plan = P.mixing.mix(keyed, P.mixing.source_domain(F.col("source")), budget_share=P.MIX_SHARE, max_epochs=1, id_col="key")
+    assert taken.count() == plan.agg(F.sum("copies")).first()[0] < docs.count()
+    assert {r["domain"] for r in plan.where("lang = 'en'").collect()} == {"d1", "d3"}

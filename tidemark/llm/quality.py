@@ -130,7 +130,7 @@ def score(docs: DataFrame, model: RuleEnsemble, id_col: str = "doc_id", text_col
 def keep_good(docs: DataFrame, model: RuleEnsemble, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text scores ``least`` or more. Nothing is
     shuffled or joined; names of columns cannot clash."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), statistics_of(F.col(text_col).cast("string")).alias("s"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), statistics_of(F.col(text_col).cast("string")).alias("s"))
     return rows.where(model.column(F.col("s")) >= least).select("row.*")
 
 

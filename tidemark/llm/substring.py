@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.common import shuffle_partitions
@@ -259,7 +260,7 @@ def dedup_substrings(
     all others. An empty table gives an empty table; other columns are not read.
     """
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *([F.struct(*carry).alias("carried")] if carry else [])
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else [])
     )
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = int(chars // 6 // BUCKET) + 1
@@ -274,11 +275,11 @@ def dedup_substrings(
     group = F.shiftright(order_id, GROUP_BITS)
     both = rows.withColumn("grp", group).unionByName(replies, allowMissingColumns=True)
     ordered = both.repartition("grp").sortWithinPartitions("grp", F.col("hashes").isNull(), F.col("doc_id").asc_nulls_last())
-    out, ddl = _OUT, _OUT_DDL
+    out, schema = _OUT, T.StructType.fromDDL(_OUT_DDL)
     if carry:
         kind = rows.schema["carried"].dataType
-        out, ddl = out.append(pa.field("carried", to_arrow_type(kind))), f"{ddl}, carried {kind.simpleString()}"
-    return ordered.select("grp", "hashes", *rows.columns).mapInArrow(_merge_stage(window, keep_layout, out), ddl)
+        out, schema = out.append(pa.field("carried", to_arrow_type(kind))), schema.add("carried", kind)
+    return ordered.select("grp", "hashes", *rows.columns).mapInArrow(_merge_stage(window, keep_layout, out), schema)
 
 
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:
