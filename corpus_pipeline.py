@@ -1,21 +1,22 @@
 """The corpus pipeline: stages over ``documents``, each one operator's decision.
 
 quality classifier      rejected documents go
-SimHash near-dedup      one document of each group stays, the one with the smallest id
+SimHash near-dedup      one document of each group stays, the one with the smallest id (nulls last)
 substring dedup         repeated 20-word windows go; a text that loses nothing stays as it is,
                         a document that loses all its words goes
 mixing                  nine tenths of the tokens, by the production weights, from one epoch
                         (more would put copies back that the stages before took out)
 BPE                     ids and digests of every text left
 
-Rows with a null id pass the near-duplicate stage unjudged, as no decision can name
-them; of rows with the same id that stage keeps one. Null texts count as empty. Every stage
+Decisions come back to rows by a key of all their columns, not by id: different rows of a null
+or repeated id are judged apart, and of equal rows as many stay as the decision names (one
+after near-dedup; as many as the mixture takes). Null texts count as empty. Every stage
 takes an empty table to an empty table. All but the last return the columns of their input.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, mixing, quality, simhash, substring
@@ -27,6 +28,18 @@ MIX_SHARE = (9, 10)
 MIX_EPOCHS = 1
 
 
+def row_key(docs: DataFrame) -> Column:
+    """64 bits of all columns of a row, nulls told from values."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``key, row``: every different row once."""
+    rows = docs.select(row_key(docs).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.groupBy("key").agg(F.first("row").alias("row"))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble scores 0.5 or more."""
     ship_package(spark)
@@ -37,13 +50,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (3-word shingles, 3 bits)."""
     ship_package(spark)
-    groups = simhash.near_duplicates(docs, shingle=3, radius=3)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row"))
-    named = rows.join(stored(kept, "pipeline-kept"), "doc_id", "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("row.text"))
-    one = named.withColumn("rn", first).where(F.col("rn") <= 1).select("row.*")
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = docs.select(row_key(docs).alias("key"), F.col("doc_id").alias("id"), F.col("text"))
+    groups = simhash.near_duplicates(rows, shingle=3, radius=3, id_col="key")
+    classes = groups.groupBy(F.col("doc_id").alias("key")).agg(F.first("component_id").alias("class"))
+    named = classes.join(rows.groupBy("key").agg(F.first("id").alias("id")), "key")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "key"))["key"].alias("key")
+    kept = stored(named.groupBy("class").agg(first).select("key"), "pipeline-kept")
+    return whole_rows(docs).join(kept, "key").select("row.*")
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,15 +66,16 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     cut = substring.dedup_substrings(docs, window=20, carry=rest, keep_layout=True)
     left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
     columns = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return left.select(*[columns.get(c, F.col(f"carried.`{c}`")).alias(c) for c in docs.columns])
+    return left.select(*[columns[c].alias(c) if c in columns else F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mixture, as often as it takes them."""
-    plan = mixing.mix(docs, mixing.source_domain(F.col("source")), budget_share=MIX_SHARE, max_epochs=MIX_EPOCHS)
-    copies = stored(plan.where(F.col("copies") > 0).groupBy(F.col("doc_id").alias("id")).agg(F.max("copies").alias("copies")), "pipeline-mix")
-    rows = docs.select(F.struct(*docs.columns).alias("row")).join(copies, F.col("row.doc_id").eqNullSafe(F.col("id")))
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    rows = docs.select(row_key(docs).alias("key"), "text", "lang", "source")
+    plan = mixing.mix(rows, mixing.source_domain(F.col("source")), budget_share=MIX_SHARE, max_epochs=MIX_EPOCHS, id_col="key")
+    copies = plan.where(F.col("copies") > 0).groupBy(F.col("doc_id").alias("key")).agg(F.sum("copies").alias("copies"))
+    taken = whole_rows(docs).join(stored(copies, "pipeline-mix"), "key")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
