@@ -75,6 +75,9 @@ def main() -> None:
     timed("preprocess", lambda: noop(FE.preprocess(ev, spec, ["value", "k"], "value", config.SEQUENCE_LENGTH)))
     timed("metrics", lambda: C.QUERIES["metrics_regression"](spark, sf_dir).collect())
     timed("error_stats", lambda: C.QUERIES["error_stats"](spark, sf_dir).collect())
+    timed("savgol_101", lambda: noop(FL.apply_filter(pooled, pool_spec, "savitzky_golay", ["value"], window=101)))
+    timed("median_101", lambda: noop(FL.apply_filter(pooled, pool_spec, "median", ["value"], kernel_size=101)))
+    timed("linear_lag_moments", lambda: C.QUERIES["linear_lag_moments"](spark, sf_dir).collect())
     timed("data_summary", lambda: C.QUERIES["data_summary"](spark, sf_dir).collect())
 
     def linear_fit():
@@ -95,8 +98,11 @@ def main() -> None:
         MD.create_and_fit(kind, train, val, **params)
 
     timed("forest_fit_20x6", lambda: fit("random_forest", n_estimators=20, max_depth=6))
-    timed("svr_fit_50_epochs", lambda: fit("svr", controls=MD.TrainControls(max_iter=50, local_epochs=25)))
-    timed("mlp_fit_50_epochs", lambda: fit("mlp", hidden=(32,), max_iter=50))
+    timed("svr_fit_50_epochs", lambda: fit("svr", kernel="fourier", controls=MD.TrainControls(max_iter=50, local_epochs=25)))
+    timed("mlp_fit_50_epochs", lambda: fit("mlp", hidden=(32,), max_iter=50, trainer="averaged"))
+    # the defaults: 100 trees of depth 10; layers of 100 and 50, synchronous steps (2 epochs)
+    timed("forest_fit_default", lambda: fit("random_forest"))
+    timed("mlp_sync_2_epochs_default", lambda: fit("mlp", max_iter=2))
     timed("stream_kalman", lambda: noop(C.QUERIES["stream_kalman"](spark, sf_dir)))
 
     def experiment():
