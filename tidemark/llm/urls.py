@@ -2,10 +2,16 @@
 
 A url's own verdict is that of the longest rule that fits it. Pages name other
 addresses of themselves: a canonical link, or a refresh to another url; a table of
-redirects may add more. These are edges between urls (without fragments); connected
-components over them are groups of aliases. A page without a rule takes its
-group's decision: allow if a rule allows any alias (explicit allow goes first), else
-block if a rule blocks any alias, else allow.
+redirects may add more. These are edges between urls (without fragments, dot segments
+and default ports); connected components over them are groups of aliases. A page
+without a rule takes its group's decision: allow if a rule allows any alias (explicit
+allow goes first), else block if a rule blocks any alias, else allow.
+
+How a page is read: comments go first (an open one reaches to the end). A tag runs to its
+first ``>``, so an attribute value that holds one cuts it short. Attributes are told by
+their whole names; of a repeated one the first counts. Targets are seen from the
+first ``<base href>``, itself seen from the page's url. Empty targets, fragments alone and
+other schemes (``mailto:``) name no alias.
 """
 
 from __future__ import annotations
@@ -23,12 +29,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 
 _URL = r"(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?"
-_ATTRIBUTE = r"""("[^"]*"|'[^']*'|[^\s>"']+)"""
-_LINK, _META = r"(?is)<link\b[^>]*>", r"(?is)<meta\b[^>]*>"
-_CANONICAL = r"""(?is)\brel\s*=\s*["']?canonical\b"""
-_HREF = rf"(?is)\bhref\s*=\s*{_ATTRIBUTE}"
-_REFRESH = r"""(?is)\bhttp-equiv\s*=\s*["']?refresh\b"""
+_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+_LINK, _META, _BASE = (rf"(?is)<{name}[\s/][^>]*>" for name in ("link", "meta", "base"))
+#: An attribute with the sign before it, without the closing quote (the next one may need it).
+_ATTRIBUTES = r"""(?is)[\s"'/][^\s=>"'/<]+\s*=\s*(?:"[^"]*|'[^']*|[^\s>"']+)"""
+_VALUE = r"""(?s)^[^=]*=\s*["']?(.*)$"""
+_CANONICAL, _REFRESH = r"(?is)(?:^|\s)canonical(?:\s|$)", r"(?is)^\s*refresh\s*$"
 _TARGET = r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)"""
+_PORT = r"(?s)^(?:(http://.*):(?:80)?|(https://.*):(?:443)?)\z"
 
 
 def _part(url: Column, k: int) -> Column:
@@ -57,17 +65,17 @@ def without_dots(path: Column) -> Column:
     return F.when(path.contains("/."), F.concat(F.lit("/"), F.array_join(F.concat(kept, last), "/"))).otherwise(path)
 
 
-def address_of(url: Column, remove_dots: bool = False) -> Column:
-    """A url as a node: scheme and host lower-cased, at least ``/`` as path, the query
-    kept, no fragment; null without ``://``. ``remove_dots`` removes dot segments."""
+def address_of(url: Column) -> Column:
+    """A url as a node: scheme and host lower-cased, no default port, at least ``/`` as path,
+    no dot segments, the query kept, no fragment; null without ``://``."""
     start = F.translate(F.concat(_part(url, 1), F.lit("://"), _part(url, 2)), UPPER, LOWER)
-    path = without_dots(path_of(url)) if remove_dots else path_of(url)
-    return F.when(url.contains("://"), F.concat(start, F.regexp_replace(path, "^$", "/"), _part(url, 4)))
+    path = F.regexp_replace(without_dots(path_of(url)), "^$", "/")
+    return F.when(url.contains("://"), F.concat(F.regexp_replace(start, _PORT, "$1$2"), path, _part(url, 4)))
 
 
 def resolve(base: Column, target: Column) -> Column:
     """``target`` as an absolute url, seen from a page at ``base`` (dot segments stay;
-    ``address_of`` removes them)."""
+    ``address_of`` removes them); null where it names no other page."""
     scheme = _part(base, 1)
     root = F.concat(scheme, F.lit("://"), host_of(base))
     path = path_of(base)
@@ -99,23 +107,33 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Col
     return F.array_max(F.array(*found)) if found else F.lit(None).cast("struct<length:int,host_length:int,allows:boolean,rule:string,action:string>")
 
 
-def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html", remove_dots: bool = False) -> DataFrame:
+def attribute_of(tag: Column, name: str) -> Column:
+    """The value of a tag's first attribute of this name; null if it has none."""
+    given = F.filter(F.regexp_extract_all(tag, F.lit(_ATTRIBUTES), F.lit(0)), lambda a: a.rlike(rf"(?is)^.{name}\s*="))
+    return F.regexp_extract(F.get(given, F.lit(0)), _VALUE, 1)
+
+
+def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(a, b)``: addresses that a page's canonical links and refreshes make aliases."""
     rows = pages.select(F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     rows = rows.where(F.col("html").rlike(r"(?i)\bcanonical\b|\brefresh\b") & F.col("url").contains("://"))
-    links = F.filter(F.regexp_extract_all("html", F.lit(_LINK), F.lit(0)), lambda t: t.rlike(_CANONICAL))
-    metas = F.filter(F.regexp_extract_all("html", F.lit(_META), F.lit(0)), lambda t: t.rlike(_REFRESH))
-    hrefs = F.transform(links, lambda t: F.regexp_replace(F.regexp_extract(t, _HREF, 1), r"""^["']|["']$""", ""))
-    moves = F.transform(metas, lambda t: F.regexp_extract(t, _TARGET, 1))
-    named = rows.select("url", F.explode(F.concat(hrefs, moves)).alias("target"))
-    target = F.trim(F.replace(F.col("target"), F.lit("&amp;"), F.lit("&")))
-    seen = named.select("url", resolve(F.col("url"), target).alias("target"))
-    return seen.select(address_of(F.col("url"), remove_dots).alias("a"), address_of(F.col("target"), remove_dots).alias("b"))
+    rows = rows.withColumn("html", F.regexp_replace("html", _COMMENT, " "))
+    tags = lambda pattern: F.regexp_extract_all("html", F.lit(pattern), F.lit(0))
+    links = F.filter(tags(_LINK), lambda t: attribute_of(t, "rel").rlike(_CANONICAL))
+    metas = F.filter(tags(_META), lambda t: attribute_of(t, "http-equiv").rlike(_REFRESH))
+    hrefs = F.transform(links, lambda t: attribute_of(t, "href"))
+    moves = F.transform(metas, lambda t: F.regexp_extract(attribute_of(t, "content"), _TARGET, 1))
+    bases = F.filter(F.transform(tags(_BASE), lambda t: attribute_of(t, "href")), lambda h: h.isNotNull())
+    clean = lambda c: F.trim(F.replace(c, F.lit("&amp;"), F.lit("&")))
+    named = rows.select("url", clean(F.get(bases, F.lit(0))).alias("base"), F.explode(F.concat(hrefs, moves)).alias("target"))
+    base = F.coalesce(resolve(F.col("url"), F.col("base")), F.col("url"))
+    seen = named.select("url", resolve(base, clean(F.col("target"))).alias("target"))
+    return seen.select(address_of(F.col("url")).alias("a"), address_of(F.col("target")).alias("b"))
 
 
 def judge(
     pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, redirects: DataFrame | None = None,
-    id_col: str = "page_id", url_col: str = "url", html_col: str = "html", remove_dots: bool = False,
+    id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
 ) -> DataFrame:
     """One row per input row: ``page_id, host, path, rule, verdict``.
 
@@ -123,11 +141,11 @@ def judge(
     may hold ``(src, dst)`` urls. Null urls and urls without ``://`` have empty host and
     path, fit no rule with a host and have no aliases: allow. Null html names no alias.
     Repeated rows and null ids are kept; other columns are not read; an empty table
-    gives an empty table. ``remove_dots`` takes addresses that differ in dot segments
-    only as one (the query does); without it they stay apart, as in the SQL.
+    gives an empty table. ``host`` keeps its port, default or not, and rules are held
+    against it as it stands; only aliases leave default ports out.
     """
-    node = lambda c: address_of(F.col(c), remove_dots)
-    edges = alias_edges(pages, url_col, html_col, remove_dots)
+    node = lambda c: address_of(F.col(c))
+    edges = alias_edges(pages, url_col, html_col)
     if redirects is not None:
         edges = edges.unionByName(redirects.select(node("src").alias("a"), node("dst").alias("b")))
     groups = connected_components(edges)
@@ -138,7 +156,7 @@ def judge(
     blocked = decided.where(F.col("blocked") & ~F.col("allowed")).select("root")
     aliases = stored(groups.join(blocked, "root").select(F.col("node").alias("_alias"), F.lit(True).alias("_blocked")), "url-aliases")
     url = F.col(url_col).cast("string")
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), address_of(url, remove_dots).alias("_address"))
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), address_of(url).alias("_address"))
     rows = rows.withColumn("_r", rule_of(F.col("host"), F.col("path"), rules))
     rows = rows.join(aliases, F.col("_address") == F.col("_alias"), "left")
     verdict = F.coalesce(F.col("_r.action"), F.when(F.col("_blocked"), F.lit("block")).otherwise(F.lit("allow")))
@@ -149,7 +167,7 @@ def op2_url_filter(spark, sf_dir: str) -> DataFrame:
     """Verdict on every page's url."""
     from tidemark.sources.tables import table
 
-    return judge(table(spark, sf_dir, "pages"), remove_dots=True)
+    return judge(table(spark, sf_dir, "pages"))
 
 
 def _sql() -> str:
@@ -164,36 +182,51 @@ def _sql() -> str:
     def path(u: str) -> str:
         return part(u, 3)
 
+    def dotless(u: str) -> str:
+        parts = f"string_split(substr({path(u)}, 2), '/')"
+        step = "CASE x WHEN '.' THEN kept WHEN '..' THEN regexp_replace(kept, '/[^/]*$', '') ELSE kept || '/' || x END"
+        kept = f"list_reduce({parts}, lambda kept, x: {step}, '') || CASE WHEN {parts}[-1] IN ('.', '..') THEN '/' ELSE '' END"
+        return f"CASE WHEN contains({path(u)}, '/.') THEN {kept} ELSE {path(u)} END"
+
     def address(u: str) -> str:
         start = f"translate({part(u, 1)} || '://' || {part(u, 2)}, '{UPPER}', '{LOWER}')"
-        return f"CASE WHEN strpos({u}, '://') > 0 THEN {start} || regexp_replace({path(u)}, '^$', '/') || {part(u, 4)} END"
+        start = f"regexp_replace({start}, '{_PORT}', '\\1\\2')"
+        return f"CASE WHEN strpos({u}, '://') > 0 THEN {start} || regexp_replace({dotless(u)}, '^$', '/') || {part(u, 4)} END"
+
+    def attribute(t: str, name: str) -> str:
+        given = f"list_filter(regexp_extract_all({t}, '{q(_ATTRIBUTES)}'), lambda a: regexp_matches(a, '(?is)^.{name}\\s*='))"
+        return f"regexp_extract({given}[1], '{q(_VALUE)}', 1)"
+
+    def resolved(b: str, t: str) -> str:
+        root = f"{part(b, 1)} || '://' || {host(b)}"
+        folder = f"regexp_replace({path(b)}, '[^/]*$', '')"
+        return f"""CASE
+    WHEN regexp_matches({t}, '^[A-Za-z][A-Za-z0-9+.\\-]*://') THEN {t}
+    WHEN starts_with({t}, '//') THEN {part(b, 1)} || ':' || {t}
+    WHEN {t} = '' OR starts_with({t}, '#') OR regexp_matches({t}, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN NULL
+    WHEN starts_with({t}, '/') THEN {root} || {t}
+    WHEN starts_with({t}, '?') THEN {root} || {path(b)} || {t}
+    ELSE {root} || regexp_replace({folder}, '^$', '/') || {t} END"""
 
-    folder = f"regexp_replace({path('url')}, '[^/]*$', '')"
-    root = f"{part('url', 1)} || '://' || {host('url')}"
+    q = lambda s: s.replace("'", "''")
+    clean = lambda c: f"trim(replace({c}, '&amp;', '&'))"
+    named = lambda tag, name, kind: f"list_filter(regexp_extract_all(html, '{tag}'), lambda t: regexp_matches({attribute('t', name)}, '{kind}'))"
+    bases = f"list_filter(list_transform(regexp_extract_all(html, '{_BASE}'), lambda t: {attribute('t', 'href')}), lambda h: h IS NOT NULL)"
     best = "row_number() OVER (PARTITION BY k ORDER BY length(rh || rp) DESC, length(rh) DESC, action) = 1"
     fits = "(host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)"
-    q = lambda s: s.replace("'", "''")
     return f"""
 WITH RECURSIVE rules(action, rh, rp) AS (VALUES {values}),
 p AS (SELECT row_number() OVER () AS k, page_id, coalesce(url, '') AS url, html FROM pages),
 j AS (SELECT k, page_id, {host('url')} AS host, {path('url')} AS path, {address('url')} AS address FROM p),
 r AS (SELECT k, action, rh || rp AS rule FROM j JOIN rules ON {fits} QUALIFY {best}),
+h AS (SELECT url, regexp_replace(html, '{_COMMENT}', ' ', 'g') AS html FROM p WHERE strpos(url, '://') > 0 AND html IS NOT NULL),
 tag AS (
-  SELECT url, unnest(list_concat(
-    list_transform(list_filter(regexp_extract_all(html, '{q(_LINK)}'), lambda t: regexp_matches(t, '{q(_CANONICAL)}')),
-                   lambda t: regexp_replace(regexp_extract(t, '{q(_HREF)}', 1), '^["'']|["'']$', '', 'g')),
-    list_transform(list_filter(regexp_extract_all(html, '{q(_META)}'), lambda t: regexp_matches(t, '{q(_REFRESH)}')),
-                   lambda t: regexp_extract(t, '{q(_TARGET)}', 1)))) AS target
-  FROM p WHERE strpos(url, '://') > 0 AND html IS NOT NULL),
-t AS (SELECT url, trim(replace(target, '&amp;', '&')) AS target FROM tag),
-u AS (
-  SELECT url, CASE
-    WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.\\-]*://') THEN target
-    WHEN starts_with(target, '//') THEN {part('url', 1)} || ':' || target
-    WHEN target = '' OR starts_with(target, '#') OR regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN NULL
-    WHEN starts_with(target, '/') THEN {root} || target
-    WHEN starts_with(target, '?') THEN {root} || {path('url')} || target
-    ELSE {root} || regexp_replace({folder}, '^$', '/') || target END AS target FROM t),
+  SELECT url, {clean(bases + '[1]')} AS base, unnest(list_concat(
+    list_transform({named(_LINK, 'rel', _CANONICAL)}, lambda t: {attribute('t', 'href')}),
+    list_transform({named(_META, 'http-equiv', _REFRESH)}, lambda t: regexp_extract({attribute('t', 'content')}, '{q(_TARGET)}', 1)))) AS target
+  FROM h),
+t AS (SELECT url, coalesce({resolved('url', 'base')}, url) AS base, {clean('target')} AS target FROM tag),
+u AS (SELECT url, {resolved('base', 'target')} AS target FROM t),
 e AS (SELECT {address('url')} AS a, {address('target')} AS b FROM u),
 s AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
 reach(a, b) AS (SELECT a, b FROM s UNION SELECT reach.a, s.b FROM reach JOIN s ON reach.b = s.a),
