@@ -95,22 +95,28 @@ def _int_label(lo: F.Column, hi: F.Column) -> F.Column:
 
 
 def distinct_counts(df: DataFrame, columns, exact: bool = True) -> dict[str, int]:
-    """Distinct non-null values of each column. Exact counts group every column by
-    itself (a scan of that column, pre-aggregated before its shuffle): several exact
-    counts in one aggregate would copy every row once per column."""
+    """Distinct non-null values of each column, of all columns in one scan: exact counts
+    from (column, value) pairs that are pre-aggregated in the task that reads them."""
     if not columns:
         return {}
     if not exact:
         row = df.agg(*[F.approx_count_distinct(qcol(c)).alias(f"_d{i}") for i, c in enumerate(columns)]).first()
         return {c: int(row[i]) for i, c in enumerate(columns)}
-    each = [df.select(qcol(c).alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.lit(1)).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
-            for i, c in enumerate(columns)]
-    return {columns[r["i"]]: int(r["n"]) for r in reduce(DataFrame.union, each).collect()}  # a row per column
+    counts = column_values(df, columns).groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per column
+    return dict.fromkeys(columns, 0) | {columns[r["i"]]: int(r["n"]) for r in counts}
+
+
+def column_values(df: DataFrame, columns) -> DataFrame:
+    """``(i, v)``: the different non-null values, as text, of the ``i``-th column."""
+    real = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    value = lambda c: qcol(c) + F.lit(0.0) if c in real else qcol(c)  # noqa: E731 - -0.0 is 0.0
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), value(c).cast("string").alias("v")) for i, c in enumerate(columns)])
+    return df.select(F.inline(pairs)).where(F.col("v").isNotNull()).distinct()
 
 
 def downcast_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
-    """The type each column would get, from one aggregation pass (and one per
-    string column for its distinct values).
+    """The type each column would get, from one aggregation pass (and one for the
+    distinct values of all string columns).
 
     Integers follow the min/max rule; double becomes float; a string column becomes
     a dictionary-coded category when distinct/rows < 0.5. Also reports the
@@ -185,17 +191,20 @@ def size_saving(profile: DataFrame) -> DataFrame:
 
 def optimize(df: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """Apply the downcasts. Category columns become dense codes in sorted value
-    order; the dictionary is numbered with the distributed range index and joined
-    back (Spark picks the join by its bytes)."""
+    order. The values of all of them come from one scan and are numbered together, each column
+    from 0, with the distributed range index; the dictionary is stored by column, and each
+    column is joined with its part of it (Spark picks the join by its bytes)."""
     prof = profile if profile is not None else downcast_profile(df)
     decisions = {r["column"]: (r["target_type"], r["numpy_type"]) for r in prof.select("column", "target_type", "numpy_type").collect()}
     out = df
+    categories = [f.name for f in df.schema.fields if decisions[f.name][1] == "category"]
+    if categories:
+        values = with_index(column_values(df, categories), SeriesSpec(keys=("i",), order=("v",), chunk_rows=1 << 20))
+        dictionary = written(values.select("i", F.col("v").alias("_v"), F.col(IDX).cast("int").alias("_code")), "dictionary", by="i")
     for f in df.schema.fields:
         target, label = decisions[f.name]
         if label == "category":
-            dic = df.select(qcol(f.name).alias("_v")).where(F.col("_v").isNotNull()).distinct()
-            dic = with_index(dic, SeriesSpec(keys=(), order=("_v",), chunk_rows=1 << 20)).select("_v", F.col(IDX).cast("int").alias("_code"))
-            dic = written(dic, "dictionary")
+            dic = dictionary.where(F.col("i") == categories.index(f.name)).select("_v", "_code")
             out = out.join(dic, out[f"`{f.name}`"] == dic["_v"], "left").drop("_v").withColumn(f.name, F.col("_code")).drop("_code")
         elif target != f.dataType.simpleString():
             out = out.withColumn(f.name, qcol(f.name).cast(target))

@@ -58,15 +58,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     """Write a (small) table to the shared folder and read it back: lineage is cut, and
-    Spark knows its bytes when it picks a join."""
+    Spark knows its bytes when it picks a join. ``by``: a column whose values get folders
+    of their own, so that a filter on it reads only its files."""
     import uuid
 
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return spark.read.schema(schema).parquet(path)
 
 
