@@ -82,9 +82,11 @@ def scale_series(df: DataFrame, spec: SeriesSpec, columns, kind: str = "standard
     """Z1/Z2 per series without a join: statistics as whole-series window aggregates.
 
     ``fit_rows`` (a boolean column) limits the rows the statistics are fitted on,
-    e.g. ``F.col("_idx") < train_end`` for a leak-free fit. For chunked specs the
-    statistics are aggregated per series and joined back instead.
+    e.g. ``F.col("_idx") < train_end`` for a leak-free fit. For chunked specs (a hot
+    series under ``chunk_rows="auto"``, too) the statistics are aggregated per series and
+    joined back instead.
     """
+    spec, _ = resolve(df, spec)
     if spec.chunked:
         keys = list(spec.keys)
         if keys:

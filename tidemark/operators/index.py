@@ -104,7 +104,9 @@ def with_index(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 def with_index_info(df: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, int | None]:
     """:func:`with_index` plus the longest series length when it is known without
-    an extra job (the range index measures it while sizing its offset table)."""
+    an extra job (the range index measures it while sizing its offset table). An
+    unsettled ``chunk_rows="auto"`` is settled first (:func:`resolve`)."""
+    spec, _ = resolve(df, spec)
     if spec.check_order:
         check_unique_order(df, spec)
     if spec.chunked:
