@@ -18,6 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark import config
+from tidemark.operators.mergeable import Mergeable
 
 def NAN():
     return F.lit(float("nan"))
@@ -137,6 +138,7 @@ class MetricSpec:
     build: Callable[[Column, Column], Column]
     higher_is_better: bool = False
     python: bool = False  # a pandas aggregate: Spark keeps these apart from its own
+    merged: Mergeable | None = None  # states folded batch by batch (no ``build``)
 
 
 REGISTRY: dict[str, MetricSpec] = {}
@@ -150,7 +152,8 @@ def python_metric(name: str, fn: Callable, higher_is_better: bool = False) -> Me
     """A metric from any Python function of two numpy arrays (label, prediction).
 
     Runs as a grouped pandas aggregate: a group's rows meet in one task, so this is for
-    groups that fit there; rows without a label or prediction do not reach ``fn``.
+    groups that fit there (:func:`mergeable_metric` is for groups of any size); rows without
+    a label or prediction do not reach ``fn``.
     """
     from pyspark.sql.types import DoubleType
 
@@ -161,6 +164,12 @@ def python_metric(name: str, fn: Callable, higher_is_better: bool = False) -> Me
     return MetricSpec(name, lambda y, p: F.pandas_udf(run, DoubleType(), F.PandasUDFType.GROUPED_AGG)(y, p), higher_is_better, python=True)
 
 
+def mergeable_metric(name: str, start: Callable, add: Callable, merge: Callable, finish: Callable, higher_is_better: bool = False) -> MetricSpec:
+    """A metric from Python functions over states that merge (see
+    :mod:`tidemark.operators.mergeable`); groups may be of any size."""
+    return MetricSpec(name, lambda y, p: NAN(), higher_is_better, merged=Mergeable(start, add, merge, finish))
+
+
 for _spec in (
     MetricSpec("RMSE", rmse),
     MetricSpec("MSE", mse),

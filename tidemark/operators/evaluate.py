@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import metrics as M
 from tidemark.operators import quantiles as Q
 from tidemark.operators.filters import qcol
+from tidemark.operators.mergeable import fold
 from tidemark.session import written
 
 ERROR_STATS = (
@@ -25,8 +26,17 @@ ERROR_STATS = (
 
 
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction", group=(), metrics=M.SUMMARY_METRICS) -> DataFrame:
-    """One row per group with one DOUBLE column per metric (single aggregation; a second one for Python metrics)."""
+    """One row per group with one DOUBLE column per metric (single aggregation; a second one for Python metrics,
+    a third for mergeable ones, which are NaN where no row has a label and a prediction)."""
     y, p = qcol(label).cast("double"), qcol(prediction).cast("double")
+    merged = {M.column_name(m): M.REGISTRY[m].merged for m in metrics if M.REGISTRY[m].merged}
+    if merged:
+        names = [M.column_name(m) for m in metrics]
+        out = evaluate(df, label, prediction, group, [m for m in metrics if not M.REGISTRY[m].merged])
+        more = fold(df, y, p, list(group), merged)
+        joined = _join_groups(out, more, list(group))
+        values = [F.coalesce(F.col(n), M.NAN()).alias(n) if n in merged else F.col(n) for n in names]
+        return joined.select(*[qcol(c) for c in group], "sample_count", *values)
     own = [m for m in metrics if not M.REGISTRY[m].python]
     g = df.groupBy(*[qcol(c) for c in group]) if group else df
     out = g.agg(F.count_if(M.present(y, p)).alias("sample_count"), *M.metric_columns(y, p, own))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -599,6 +600,30 @@ def q_metrics(spark, sf):
     return out.select("event_type", "sample_count", *[r6(F.col(M.column_name(m))).alias(M.column_name(m)) for m in M.SUMMARY_METRICS])
 
 
+def _pinball(s, y, p):
+    d = y - p
+    return s + [np.where(d >= 0, 0.9 * d, -0.1 * d).sum(), len(d)]
+
+
+def _worst(s, y, p):
+    return np.maximum(s, np.abs(y - p).max())
+
+
+@query(
+    "custom_metric",
+    f"""WITH {_PAIRS}
+SELECT event_type, count(*) AS sample_count, round(avg(abs(y - p)), 6) AS mae,
+  round(avg(CASE WHEN y >= p THEN 0.9 * (y - p) ELSE 0.1 * (p - y) END), 6) AS pinball_90, round(max(abs(y - p)), 6) AS worst_error
+FROM pairs WHERE p IS NOT NULL GROUP BY event_type""",
+)
+def q_custom_metric(spark, sf):
+    """Two metrics of Python functions over states that merge, beside a built-in one."""
+    M.register_metric(M.mergeable_metric("pinball_90", lambda: np.zeros(2), _pinball, np.add, lambda s: s[0] / s[1]))
+    M.register_metric(M.mergeable_metric("worst_error", lambda: np.zeros(1), _worst, np.maximum, lambda s: s[0]))
+    out = EV.evaluate(_pairs(spark, sf), "y", "p", ["event_type"], ("MAE", "pinball_90", "worst_error"))
+    return out.select("event_type", "sample_count", *[r6(F.col(c)).alias(c) for c in ("mae", "pinball_90", "worst_error")])
+
+
 @query(
     "metrics_full",
     f"""WITH {_PAIRS}
@@ -1319,3 +1344,43 @@ def q_csv(spark, sf):
     spec = SeriesSpec(keys=("source_file",), order=("row_id",))
     out = FL.apply_filter(loaded, spec, "savitzky_golay", ["value"])
     return out.select("user_id", "event_id", r6(F.col("value")).alias("value_f"))
+
+
+_NINE_SQL = f"""WITH {O.EV}
+SELECT g AS user_id, id AS event_id, idx AS position, event_type, round(x, 6) AS pack_voltage, round(-x, 6) AS charge_current,
+  round(k, 6) AS soc, round(CASE WHEN id % 7 <> 0 THEN x END, 6) AS max_cell_voltage, round(k, 6) AS min_cell_voltage,
+  round(CASE WHEN id % 3 <> 0 THEN k END, 6) AS max_temperature, round(CASE WHEN id % 5 <> 0 THEN x END, 6) AS min_temperature,
+  round(x * 1e-9, 15) AS available_capacity
+FROM ev"""
+
+
+@query("telemetry_csv_nine", _NINE_SQL)
+def q_csv_nine(spark, sf):
+    """Events as telemetry files with the nine named columns, among them missing-value words,
+    empty fields, spaces, exponents and texts that are no numbers, loaded and typed."""
+    import uuid
+
+    from tidemark.operators.index import with_index
+    from tidemark.session import checkpoint_dir
+    from tidemark.sources import telemetry as TM
+
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex[:12]}"
+    text = lambda c: F.col(c).cast("string")
+    every = lambda n: F.col("event_id") % n == 0
+    values = (
+        text("event_id"), text("k"), text("value"), (-F.col("value")).cast("string"), F.when(every(7), "NA").otherwise(text("value")),
+        F.concat(F.lit("  "), text("k"), F.lit(" ")), F.when(~every(3), text("k")), F.when(every(5), "12,5 V").otherwise(text("value")),
+        (F.col("value") * F.lit(1e-9)).cast("string"),
+    )
+    ev = _ev(spark, sf).repartition("user_id").sortWithinPartitions("user_id", "ts")
+    files = ev.select("user_id", *[v.alias(c) for c, v in zip(TM.NUMERIC_COLUMNS, values)], "event_type")
+    plain = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    files.write.options(**plain).partitionBy("user_id").csv(folder)
+    loaded = TM.load_telemetry_csv(spark, f"{folder}/*/*.csv", bad_values="null")
+    loaded = loaded.withColumn("user_id", F.regexp_extract("source_file", r"user_id=(-?[0-9]+)", 1).cast("long"))
+    placed = with_index(loaded, SeriesSpec(keys=("source_file",), order=("row_id",)))
+    short = {c: c.split(" (")[0] for c in TM.NUMERIC_COLUMNS if c not in (TM.TIME_COLUMN, TM.TARGET_COLUMN)}
+    return placed.select(
+        "user_id", F.col(f"`{TM.TIME_COLUMN}`").cast("long").alias("event_id"), F.col(IDX).cast("long").alias("position"), "event_type",
+        *[r6(F.col(f"`{c}`")).alias(n) for c, n in short.items()], F.round(f"`{TM.TARGET_COLUMN}`", 15).alias("available_capacity"),
+    )

@@ -18,16 +18,37 @@ FILTER_TARGET_COLUMNS = (
     "max_temperature (℃)", "min_temperature (℃)",
 )
 NUMERIC_COLUMNS = FEATURE_COLUMNS + (TARGET_COLUMN,)
+# What the usual CSV readers take for a missing number.
+MISSING_VALUES = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 
+def _number(c: str, bad_values: str):
+    """A CSV field as double; missing values are null."""
+    text = F.trim(F.col("`" + c.replace("`", "``") + "`"))
+    number = text.try_cast("double")
+    if bad_values == "raise":
+        message = F.concat(F.lit(f"not a number in column {c}: "), text)
+        number = F.when(number.isNull(), F.raise_error(message).cast("double")).otherwise(number)
+    return F.when(text.isNotNull() & ~text.isin(*MISSING_VALUES), number).alias(c)
 
-def load_telemetry_csv(spark: SparkSession, path: str, series_from_file: bool = True) -> DataFrame:
+
+def load_telemetry_csv(spark: SparkSession, path: str, series_from_file: bool = True, bad_values: str = "raise") -> DataFrame:
     """Header CSV(s); the nine named columns as double, others as string.
 
+    Missing numbers (:data:`MISSING_VALUES`, spaces around them or not) are null. Any other
+    text in a named column stops the load (``bad_values="raise"``) or is null (``"null"``),
+    whatever the session's ANSI mode.
+
     ``path`` may be a glob of many files (the reference reads one). With
     ``series_from_file`` each file becomes one series keyed by ``source_file``;
     rows keep their file order in ``row_id`` (the reference's time order): the place of
     the split in the file, then the row in the split, whatever the file's size.
     """
+    if bad_values not in ("raise", "null"):
+        raise ValueError("bad_values must be 'raise' or 'null'")
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.globStatus(hadoop_path):
@@ -36,7 +57,7 @@ def load_telemetry_csv(spark: SparkSession, path: str, series_from_file: bool =
     cols = []
     for c in raw.columns:
         col = F.col("`" + c.replace("`", "``") + "`")
-        cols.append(col.cast("double").alias(c) if c in NUMERIC_COLUMNS else col)
+        cols.append(_number(c, bad_values) if c in NUMERIC_COLUMNS else col)
     out = raw.select(*cols)
     if series_from_file:
         # a split lies in one task: its start in the file, then the row's number in the task
