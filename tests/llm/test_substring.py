@@ -63,6 +63,25 @@ def test_passage_in_many_documents_and_buckets(lspark, monkeypatch):
     assert got == [(i * 37, 28, 25 if i else 0) for i in range(300)]
 
 
+def test_shared_ids_are_dealt_over_parts(lspark, monkeypatch):
+    """Null and repeated ids, equal texts among them, in groups of at most four consecutive ids."""
+    monkeypatch.setattr(S, "GROUP_BITS", 2)
+    monkeypatch.setattr(S, "GROUP", 4)
+    monkeypatch.setattr(S, "BUCKET", 50)
+    say = lambda i, n=9: " ".join(f"w{(i * 5 + j) % 23}" for j in range(n))
+    rows = [(i, say(i)) for i in range(-3, 14)] + [(5, say(i % 7, 12)) for i in range(30)] + [(6, say(i)) for i in range(5)]
+    rows += [(None, say(40)) for _ in range(25)] + [(None, say(i, 30)) for i in range(15)] + [(8, None)] * 9 + [(12, say(3))] * 3
+    df = lspark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"].encode()) for r in S.dedup_substrings(df, window=4).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, slow(rows, 4)))
+    grouped, shared = S._grouped(df)
+    assert {r["h_id"] for r in shared.collect()} == {5, 6, 8, S.LAST_ID}
+    where = {(r["doc_id"], r["grp"]) for r in grouped.collect()}
+    assert {(4, 4), (5, 5), (6, 6), (7, 7), (8, 8), (9, 9), (11, 9), (12, 12), (-3, -4), (None, S.LAST_ID)} <= where
+    copies = shared.where(f"h_id = {S.LAST_ID} AND parts >= 7").collect()
+    assert len(copies) == 1  # 25 equal texts: one class, in parts of four
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from("abc"), max_size=14), min_size=1, max_size=5), st.integers(1, 4))
 def test_group_settles_its_own_repeats(docs, window):

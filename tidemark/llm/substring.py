@@ -12,8 +12,11 @@
 4. Merge. A word is removed if a removed window covers it; windows merge into maximal
    intervals.
 
-A group is the documents of ``GROUP`` consecutive ids, so no task ever holds more
-than that many documents, whatever repeats. A passage that a third of all documents
+A group is the documents of ``GROUP`` consecutive ids. An id that more than ``GROUP`` rows
+share (null is one) is a group of its own, before and after which its neighbours go on; as
+its rows are not earlier than each other, they need not meet, and are dealt by a hash of
+their text into classes, and a class with more than ``GROUP`` rows into parts that all get
+its replies. So no task holds more than some ``2 * GROUP`` documents, whatever repeats. A passage that a third of all documents
 share costs its bucket one entry per group of documents and map task, not one per
 document. Windows are compared by 64-bit hashes: two different windows collide with a
 chance near 2**-64 each pair (0.0005 expected collisions among 130 million windows).
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import shuffle_partitions
+from tidemark.llm.common import shuffle_partitions, stored
 
 WINDOW = 20
 GROUP_BITS = 9  # ids with the same value above these bits form a group of documents
@@ -39,6 +42,7 @@ GROUP = 1 << GROUP_BITS
 PACK = 1 << 20  # windows that a map task packs at once
 BUCKET = 1 << 20  # windows that a bucket holds, about
 LAST_ID = (1 << 63) - 1  # a null id comes after all others
+CLASSES = 256  # of the texts of one id
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that powers keep all bits
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -79,17 +83,19 @@ def _unplanes(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
 
 
-def _pack(docs: list[tuple[int, np.ndarray]], buckets: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-    """One row per bucket: sorted hashes, the place of each one's document, and ids."""
-    docs = sorted(docs, key=lambda d: d[0])
-    ids = np.array([d[0] for d in docs], dtype="<i8")
-    h = np.concatenate([d[1] for d in docs])
-    at = np.repeat(np.arange(len(docs), dtype="<u4"), [len(d[1]) for d in docs])
+def _pack(docs: list[tuple[int, int, np.ndarray]], buckets: int) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
+    """One row per bucket: sorted hashes, the place of each one's group, groups and classes."""
+    docs = sorted(docs, key=lambda d: d[:2])
+    groups, classes = (np.array(x, dtype="<i8") for x in zip(*(d[:2] for d in docs)))
+    new = np.concatenate([[False], (groups[1:] != groups[:-1]) | (classes[1:] != classes[:-1])])
+    h = np.concatenate([d[2] for d in docs])
+    at = np.repeat(np.cumsum(new).astype("<u4"), [len(d[2]) for d in docs])
+    new[0] = True
+    groups, classes = groups[new], classes[new]
     order = np.argsort(h, kind="stable")
     h, at = h[order], at[order]
-    group = (ids >> GROUP_BITS)[at]
-    first = np.ones(len(h), bool)  # of the group with this hash: its smallest document
-    first[1:] = (h[1:] != h[:-1]) | (group[1:] != group[:-1])
+    first = np.ones(len(h), bool)  # a hash once a group and class
+    first[1:] = (h[1:] != h[:-1]) | (at[1:] != at[:-1])
     h, at = h[first], at[first]
     step = (1 << 64) // buckets + 1
     cuts = np.searchsorted(h, np.array([i * step for i in range(1, buckets)], dtype=np.uint64))
@@ -97,21 +103,21 @@ def _pack(docs: list[tuple[int, np.ndarray]], buckets: int) -> Iterator[tuple[in
         if len(hs):
             used, places = np.unique(places, return_inverse=True)
             gaps = np.diff(hs, prepend=np.uint64(0)).astype("<u8")
-            yield bucket, _planes(gaps), _planes(places.astype("<u4")), _planes(np.diff(ids[used], prepend=0).astype("<i8"))
+            yield bucket, _planes(gaps), _planes(places.astype("<u4")), _planes(np.diff(groups[used], prepend=0).astype("<i8")), _planes(classes[used])
 
 
-_PACKED = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("places", pa.binary()), ("ids", pa.binary())])
+_PACKED = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("places", pa.binary()), ("groups", pa.binary()), ("classes", pa.binary())])
 
 
 def _pack_stage(window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
+            for group, cls, text in zip(*batch.columns):
                 h = window_hashes(words_of(text.as_py()), window)
                 if not len(h):
                     continue
-                held.append((doc_id.as_py(), h))
+                held.append((group.as_py(), cls.as_py(), h))
                 size += len(h)
                 if size >= PACK:
                     for row in _pack(held, buckets):
@@ -124,32 +130,36 @@ def _pack_stage(window: int, buckets: int):
     return run
 
 
-def _repeated(rows: list[tuple[bytes, bytes, bytes]]) -> Iterator[tuple[int, np.ndarray]]:
-    """(group, its hashes that also start in an earlier group) of one bucket."""
-    hs, groups = [], []
-    for hashes, places, ids in rows:
+def _repeated(rows: list[tuple[bytes, bytes, bytes, bytes]]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(group, class, its hashes that also start in an earlier group) of one bucket."""
+    hs, groups, classes = [], [], []
+    for hashes, places, starts, cls in rows:
+        at = _unplanes(places, "<u4")
         hs.append(np.cumsum(_unplanes(hashes, "<u8"), dtype=np.uint64))
-        groups.append((np.cumsum(_unplanes(ids, "<i8")) >> GROUP_BITS)[_unplanes(places, "<u4")])
-    h, group = np.concatenate(hs), np.concatenate(groups)
+        groups.append(np.cumsum(_unplanes(starts, "<i8"))[at])
+        classes.append(_unplanes(cls, "<i8")[at])
+    h, group, cls = np.concatenate(hs), np.concatenate(groups), np.concatenate(classes)
     order = np.argsort(h)
-    h, group = h[order], group[order]
+    h, group, cls = h[order], group[order], cls[order]
     starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
     first = np.minimum.reduceat(group, starts)
     later = group > np.repeat(first, np.diff(np.append(starts, len(h))))
-    h, group = h[later], group[later]
-    order = np.argsort(group, kind="stable")
-    h, group = h[order], group[order]
-    for part, g in zip(np.split(h, cuts := np.flatnonzero(np.diff(group)) + 1), group[np.append(0, cuts)] if len(group) else []):
-        yield int(g), np.unique(part)
+    h, group, cls = h[later], group[later], cls[later]
+    order = np.lexsort((cls, group))
+    h, group, cls = h[order], group[order], cls[order]
+    cuts = np.flatnonzero((group[1:] != group[:-1]) | (cls[1:] != cls[:-1])) + 1
+    for at, part in zip(np.append(0, cuts), np.split(h, cuts) if len(h) else []):
+        yield int(group[at]), int(cls[at]), np.unique(part)
 
 
 def _count_stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket -> (group, repeated hashes)."""
+    """Rows sorted by bucket -> (group, class, repeated hashes)."""
     now, held = None, []
 
     def reply() -> Iterator[pa.RecordBatch]:
-        for group, h in _repeated(held):
-            yield pa.RecordBatch.from_arrays([pa.array([group], pa.int64()), pa.array([h.astype("<u8").tobytes()])], names=["grp", "hashes"])
+        for group, cls, h in _repeated(held):
+            row = [pa.array([group], pa.int64()), pa.array([cls], pa.int64()), pa.array([h.astype("<u8").tobytes()])]
+            yield pa.RecordBatch.from_arrays(row, names=["grp", "cls", "hashes"])
 
     for batch in batches:
         for bucket, *row in zip(*batch.columns):
@@ -205,7 +215,7 @@ _OUT_DDL = "doc_id long, n_words long, n_removed long, removed array<struct<firs
 
 
 def _merge_stage(window: int, keep_layout: bool, out: pa.Schema):
-    """Rows sorted by (group, kind, id): replies, then documents -> result rows."""
+    """Rows sorted by (group, class, part, kind, id): replies, then documents -> result rows."""
 
     def result(docs, elsewhere) -> Iterator[pa.RecordBatch]:
         ids = [d if d is not None else LAST_ID for d, *_ in docs]
@@ -228,11 +238,12 @@ def _merge_stage(window: int, keep_layout: bool, out: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, docs, elsewhere = None, [], []
         for batch in batches:
-            for group, hashes, *doc in zip(*batch.columns):
-                if group.as_py() != now:
+            for group, cls, part, hashes, *doc in zip(*batch.columns):
+                place = group.as_py(), cls.as_py(), part.as_py()
+                if place != now:
                     if docs:
                         yield from result(docs, elsewhere)
-                    now, docs, elsewhere = group.as_py(), [], []
+                    now, docs, elsewhere = place, [], []
                 if hashes.is_valid:
                     elsewhere.append(np.frombuffer(hashes.as_py(), "<u8"))
                 else:
@@ -243,6 +254,31 @@ def _merge_stage(window: int, keep_layout: bool, out: pa.Schema):
     return run
 
 
+def _grouped(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with their group ``grp`` (the first id of it), class ``cls`` and a ``draw`` from
+    0 to 1, and the table ``(h_id, h_cls, parts)`` of ids that more than ``GROUP`` rows share.
+
+    Counts are one row per id; the tables of such ids are stored, so that Spark knows their bytes
+    when it picks the joins.
+    """
+    order_id = F.coalesce("doc_id", F.lit(LAST_ID))
+    text_class = F.pmod(F.xxhash64("text"), F.lit(CLASSES))
+    counts = rows.select(order_id.alias("h_id"), text_class.alias("h_cls")).groupBy("h_id", "h_cls").agg(F.count(F.lit(1)).alias("n"))
+    each = F.collect_list(F.struct("h_cls", F.ceil(F.col("n") / GROUP).cast("long").alias("parts"))).alias("each")
+    shared = counts.groupBy("h_id").agg(F.sum("n").alias("n"), each).where(F.col("n") > GROUP)
+    shared = stored(shared.select("h_id", F.inline("each")), "substring-shared-ids")
+    block = F.shiftright("h_id", GROUP_BITS).alias("h_block")
+    blocks = stored(shared.groupBy(block).agg(F.collect_set("h_id").alias("h_ids")), "substring-shared-blocks")
+    own = F.shiftright(order_id, GROUP_BITS)
+    # drawn before any shuffle, where the order of rows outlives a lost executor
+    joined = rows.withColumn("draw", F.rand(7)).join(blocks, own == F.col("h_block"), "left")
+    hot = F.coalesce(F.array_contains("h_ids", order_id), F.lit(False))
+    before = F.array_max(F.filter("h_ids", lambda x: x < order_id))
+    start = F.greatest(F.shiftleft(own, GROUP_BITS), before + F.lit(1))  # greatest skips a null
+    grp, cls = F.when(hot, order_id).otherwise(start), F.when(hot, text_class).otherwise(F.lit(0)).cast("long")
+    return joined.select(*rows.columns, "draw", grp.alias("grp"), cls.alias("cls")), shared
+
+
 def dedup_substrings(
     docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), keep_layout: bool = False
 ) -> DataFrame:
@@ -264,22 +300,28 @@ def dedup_substrings(
     )
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = int(chars // 6 // BUCKET) + 1
-    order_id = F.coalesce("doc_id", F.lit(LAST_ID))
-    packed = rows.select(order_id.alias("doc_id"), "text").mapInArrow(
-        _pack_stage(window, buckets), "bucket int, hashes binary, places binary, ids binary"
+    grouped, shared = _grouped(rows)
+    packed = grouped.select("grp", "cls", "text").mapInArrow(
+        _pack_stage(window, buckets), "bucket int, hashes binary, places binary, groups binary, classes binary"
     )
     # buckets dealt evenly; a task takes its buckets one by one
     parts = min(buckets, 4 * shuffle_partitions(docs.sparkSession))
     dealt = packed.repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket")
-    replies = dealt.mapInArrow(_count_stage, "grp long, hashes binary")
-    group = F.shiftright(order_id, GROUP_BITS)
-    both = rows.withColumn("grp", group).unionByName(replies, allowMissingColumns=True)
-    ordered = both.repartition("grp").sortWithinPartitions("grp", F.col("hashes").isNull(), F.col("doc_id").asc_nulls_last())
+    replies = dealt.mapInArrow(_count_stage, "grp long, cls long, hashes binary")
+    # a row of a shared id goes to one part of its class, a reply to all of them
+    same = (F.col("grp") == F.col("h_id")) & (F.col("cls") == F.col("h_cls"))
+    part = F.coalesce(F.floor(F.col("draw") * F.col("parts")), F.lit(0)).cast("long").alias("part")
+    placed = grouped.join(shared, same, "left").select(*rows.columns, "grp", "cls", part)
+    parts_of = F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1).cast("long")) - 1)
+    told = replies.join(shared, same, "left").select(*replies.columns, F.explode(parts_of).alias("part"))
+    both = placed.unionByName(told, allowMissingColumns=True)
+    place = ("grp", "cls", "part")
+    ordered = both.repartition(*place).sortWithinPartitions(*place, F.col("hashes").isNull(), F.col("doc_id").asc_nulls_last())
     out, schema = _OUT, T.StructType.fromDDL(_OUT_DDL)
     if carry:
         kind = rows.schema["carried"].dataType
         out, schema = out.append(pa.field("carried", to_arrow_type(kind))), schema.add("carried", kind)
-    return ordered.select("grp", "hashes", *rows.columns).mapInArrow(_merge_stage(window, keep_layout, out), schema)
+    return ordered.select(*place, "hashes", *rows.columns).mapInArrow(_merge_stage(window, keep_layout, out), schema)
 
 
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:
