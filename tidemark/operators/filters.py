@@ -422,7 +422,7 @@ def apply_filters(
     if scans and max_len is None:
         max_len = max_series_length(df, spec)
     for label, f in scans:
-        out = kalman_columns(out, spec, {out_name(c, label): c for c in cols}, f.process_variance, f.measurement_variance, max_len=max_len)
+        out = kalman_columns(out, spec, {out_name(c, label): c for c in cols}, f.process_variance, f.measurement_variance, max_len=max_len, base=base)
     if wide:
         out = streamed_columns(out, spec, wide)
     if spec.chunked:

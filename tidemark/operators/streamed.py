@@ -118,12 +118,13 @@ def streamed_columns(df: DataFrame, spec: SeriesSpec, outputs: dict[str, tuple[s
     sources = list(dict.fromkeys(c for c, _ in outputs.values()))
     base = base.withColumns(marks | {f"_z{i}": numeric(c) for i, c in enumerate(sources)})
     ordered = base.repartition(*keys).sortWithinPartitions(*keys, F.col(IDX))
-    ordered = ordered.select(*[F.col(f"`{c}`") for c in kept], "_seg", "_own", *[f"_z{i}" for i in range(len(sources))])
-    schema = T.StructType([*ordered.schema.fields[: len(kept)], *[T.StructField(o, T.DoubleType()) for o in outputs]])
+    schema = T.StructType([*[ordered.schema[c] for c in kept], *[T.StructField(o, T.DoubleType()) for o in outputs]])
+    names = {c: f"_c{j}" for j, c in enumerate(kept)}  # mapInArrow takes no names with dots
+    ordered = ordered.select(*[F.col(f"`{c}`").alias(name) for c, name in names.items()], "_seg", "_own", *[f"_z{i}" for i in range(len(sources))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, first, end in pieces(batches, reach, PIECE_ROWS):
-            idx, n, seg = (table[c].combine_chunks().to_numpy() for c in (IDX, N, "_seg"))
+            idx, n, seg = (table[c].combine_chunks().to_numpy() for c in (names[IDX], names[N], "_seg"))
             xs = [table[f"_z{i}"].combine_chunks().to_numpy(zero_copy_only=False).astype(np.float64) for i in range(len(sources))]
             cuts = np.flatnonzero((seg[1:] != seg[:-1]) | (idx[1:] != idx[:-1] + 1)) + 1
             results = {o: np.full(len(idx), np.nan) for o in outputs}
@@ -135,7 +136,7 @@ def streamed_columns(df: DataFrame, spec: SeriesSpec, outputs: dict[str, tuple[s
                     continue
                 for o, (c, f) in outputs.items():
                     results[o][a + rows] = f.smooth(xs[sources.index(c)][a:b], idx[a:b], n[a:b], rows)
-            whole = table.select(kept)
+            whole = table.select(list(names.values())).rename_columns(kept)
             for o, v in results.items():
                 whole = whole.append_column(o, pa.array(v, mask=np.isnan(v)))
             yield from whole.slice(first, end - first).filter(pa.array(own[first:end])).combine_chunks().to_batches()
