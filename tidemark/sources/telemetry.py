@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.index import range_partitions
+
 # Fixed column names of the telemetry CSV (reference schema).
 TIME_COLUMN = "Time Elapsed (s)"
 TARGET_COLUMN = "available_capacity (Ah)"
@@ -35,25 +38,51 @@ def _number(c: str, bad_values: str):
     return F.when(text.isNotNull() & ~text.isin(*MISSING_VALUES), number).alias(c)
 
 
-def load_telemetry_csv(spark: SparkSession, path: str, series_from_file: bool = True, bad_values: str = "raise") -> DataFrame:
+def _folder(spark: SparkSession, reader, path: str) -> DataFrame:
+    """All ``*.csv`` files below a folder, as strings. The names come from one file's header (Spark
+    would list all files once more to infer them); a few tasks a core list the folders."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.listFiles(top, True) if files.exists(top) else None
+    first = None
+    while found is not None and first is None and found.hasNext():
+        one = found.next().getPath()
+        first = one.toString() if one.getName().endswith(".csv") and one.getName()[0] not in "._" else None
+    if first is None:
+        raise FileNotFoundError(f"no file at {path}")
+    names = T.StructType([T.StructField(c, T.StringType()) for c in reader.csv(first).columns])
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        return reader.schema(names).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def load_telemetry_csv(spark: SparkSession, path: str, series_from_file: bool = True, bad_values: str = "raise", recursive: bool = False) -> DataFrame:
     """Header CSV(s); the nine named columns as double, others as string.
 
     Missing numbers (:data:`MISSING_VALUES`, spaces around them or not) are null. Any other
     text in a named column stops the load (``bad_values="raise"``) or is null (``"null"``),
     whatever the session's ANSI mode.
 
-    ``path`` may be a glob of many files (the reference reads one). With
+    ``path`` may be a glob of many files (the reference reads one), or with ``recursive`` a
+    folder whose ``*.csv`` files are found at any depth, listed by Spark's tasks and not one
+    by one in the driver. Small files are put together to parts by their bytes. With
     ``series_from_file`` each file becomes one series keyed by ``source_file``;
     rows keep their file order in ``row_id`` (the reference's time order): the place of
     the split in the file, then the row in the split, whatever the file's size.
     """
     if bad_values not in ("raise", "null"):
         raise ValueError("bad_values must be 'raise' or 'null'")
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.globStatus(hadoop_path):
-        raise FileNotFoundError(f"no file at {path}")
-    raw = spark.read.option("header", True).option("mode", "FAILFAST").option("inferSchema", False).csv(path)
+    reader = spark.read.option("header", True).option("mode", "FAILFAST").option("inferSchema", False)
+    try:
+        raw = _folder(spark, reader, path) if recursive else reader.csv(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no file at {path}") from exc
+        raise
     cols = []
     for c in raw.columns:
         col = F.col("`" + c.replace("`", "``") + "`")
@@ -64,7 +93,7 @@ def load_telemetry_csv(spark: SparkSession, path: str, series_from_file: bool =
         row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         out = raw.select(*cols, F.col("_metadata.file_path").alias("source_file"),
                          F.struct(F.col("_metadata.file_block_start").alias("block"), row.alias("row")).alias("row_id"))
-    return out
+    return out.coalesce(range_partitions(raw))
 
 
 def load(spark: SparkSession, fmt: str, path: str, **options) -> DataFrame:
